@@ -30,13 +30,17 @@ class Data:
         self.folder = folder.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES and name not in VIEWS:
+            raise AttributeError(name)
+        self.__dict__[name] = df = self._load(name)
+        return df
+
+    def _load(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name in VIEWS:
-            text = VIEWS[name]
-            inputs = {n: getattr(self, n) for n in dict.fromkeys(_REFERENCE.findall(text))}
-            return self.spark.sql(re.sub(r"EPOCH\((\w+)\)", r"unix_timestamp(\1)", text), **inputs)
-        raise AttributeError(name)
+        text = VIEWS[name]
+        inputs = {n: getattr(self, n) for n in dict.fromkeys(_REFERENCE.findall(text))}
+        return self.spark.sql(re.sub(r"EPOCH\((\w+)\)", r"unix_timestamp(\1)", text), **inputs)
 
 
 def duckdb_sql(text: str) -> str:
@@ -60,12 +64,12 @@ def duckdb_sql(text: str) -> str:
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Plain types only: zoneless instants, doubles at six digits, arrays as text."""
+    """Plain types only: zoneless instants (dates too), doubles at six digits, arrays as text."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         kind = field.dataType
-        if isinstance(kind, T.TimestampType):
+        if isinstance(kind, (T.TimestampType, T.DateType)):
             column = column.cast("timestamp_ntz")
         elif isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
             column = F.round(column.cast("double"), 6)

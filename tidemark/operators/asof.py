@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hot import HOT_ROWS, all_present
+from .hot import SPLIT, Split, all_present
 from .running import run_last, running
 
 
@@ -35,8 +35,9 @@ def asof_join(
     features: Sequence[str] | Mapping[str, str] | None = None,
     *,
     strict: bool = False,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
+    left_rows: DataFrame | None = None,
+    right_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to every left row the right row with equal key and the greatest time <= its own.
 
@@ -44,7 +45,8 @@ def asof_join(
     key, no fan-out, every left row comes out exactly once. ``strict`` asks for a time < its own.
     ``on`` may map left names to right names, ``features`` right names to output names. The left
     key and time are compared in the type of the right side. Right rows must be unique per key
-    and time. Left rows without a key match nothing and are spread by time.
+    and time. Left rows without a key match nothing and are spread by time. ``left_rows`` and
+    ``right_rows`` name cheaper tables with at least as many rows per key, to count hot keys in.
     """
     pairs = key_pairs(on)
     right_keys = [r for _, r in pairs]
@@ -69,14 +71,22 @@ def asof_join(
         F.struct(*left.columns).alias("__label"),
     )
     stacked = labels.unionByName(lookups, allowMissingColumns=True)
+    left_keys = [l for l, _ in pairs]
+
+    def keyed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+        return df.select(*[F.col(c).cast(types[k]).alias(k) for c, k in names.items()])
+
     carried = running(
         stacked,
         keys,
         "__t",
         {"__hit": run_last("__feature")},
         ties=["__side"],
-        hot_rows=hot_rows,
-        unit=unit,
+        split=split,
+        sized_by=[
+            keyed(left if left_rows is None else left_rows, dict(zip(left_keys, keys))),
+            keyed(right if right_rows is None else right_rows, dict(zip(right_keys, keys))),
+        ],
         spread_null_keys=True,
     )
     return carried.where(F.col("__side") != 0).select("__label.*", "__hit.*")

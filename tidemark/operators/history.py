@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hot import HOT_ROWS
+from .hot import SPLIT, Split
 from .running import run_previous, run_sum, running
 
 OPEN_START = "2001-01-01"
@@ -25,8 +25,7 @@ def change_log_to_history(
     value: str,
     prefer: Sequence[str] = (),
     entities: DataFrame | None = None,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """(entity, effective start) -> value, from the current state and the log of edits.
 
@@ -51,7 +50,7 @@ def change_log_to_history(
     return running(
         settled, entity, "__until",
         {"start_date": run_previous("__until", F.lit(OPEN_START).cast(kind))},
-        hot_rows=hot_rows, unit=unit,
+        split=split, sized_by=[edits],
     ).select(entity, value, "start_date")
 
 
@@ -69,8 +68,8 @@ def in_force_counts(
     at: str,
     counts: Mapping[str, str],
     *,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
+    sized_by: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Counts in force from each instant on: the running sum of signed changes.
 
@@ -79,6 +78,7 @@ def in_force_counts(
     """
     instants = deltas.groupBy(*keys, at).agg(*[F.sum(c).alias(f"__d_{out}") for out, c in counts.items()])
     sums = running(
-        instants, keys, at, {out: run_sum(f"__d_{out}") for out in counts}, hot_rows=hot_rows, unit=unit
+        instants, keys, at, {out: run_sum(f"__d_{out}") for out in counts}, split=split,
+        sized_by=[deltas] if sized_by is None else sized_by,
     )
     return sums.select(*keys, at, *counts)

@@ -4,25 +4,40 @@ A window partitioned by an entity puts the whole history of that entity into one
 fine for most entities and hopeless for one that owns a third of the data. Keys above a row
 threshold are therefore cut into blocks of time; each block is a window partition of its own and
 receives what came before it as a carry (see ``running``). Keys below the threshold keep one
-partition and pay for nothing but the count.
+partition.
+
+Which keys are hot is counted beforehand, on the narrowest input that bounds the rows per key
+(usually the key column of a source table). Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key that a single task may still sort on its own.
-HOT_ROWS = 1_000_000
-
 BLOCK = "__block"
 HOT = "__hot"
 
 
+@dataclass(frozen=True)
+class Split:
+    """When a key is too big for one task, and the unit of time it is cut into.
+
+    ``hot_rows`` is the number of rows a task may still sort on its own.
+    """
+
+    hot_rows: int = 1_000_000
+    unit: str = "day"
+
+
+SPLIT = Split()
+
+
 def as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
@@ -35,37 +50,26 @@ def any_missing(columns: Sequence[str]) -> Column:
     return reduce(or_, [F.col(c).isNull() for c in columns])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most (rows / hot_rows) of them can exist."""
-    return (
-        df.select(*keys)
-        .where(all_present(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") > hot_rows)
-        .select(*keys, F.lit(True).alias(HOT))
-    )
-
-
-def tag_blocks(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    hot_rows: int,
-    unit: str,
-    spread_null_keys: bool = False,
-) -> DataFrame:
-    """Add the hot flag and the block: the truncated time for hot keys, NULL for all others.
+def find_hot_keys(sources: Sequence[DataFrame], keys: Sequence[str], hot_rows: int) -> DataFrame | None:
+    """Keys with more than ``hot_rows`` rows over all sources, or None. Runs one counting job.
 
-    The list of hot keys is broadcast. Its length is bounded by rows / hot_rows, which the default
-    threshold keeps at a million keys for 10^12 rows.
+    At most rows / hot_rows keys can qualify (a million at 10^12 rows and the default), so the
+    result is a small local table that may be broadcast.
     """
-    hot = F.broadcast(hot_keys(df, keys, hot_rows))
-    split = F.col(HOT).isNotNull()
-    if spread_null_keys:
-        split = split | any_missing(keys)
-    return df.join(hot, list(keys), "left").select(
-        *[F.col(c) for c in df.columns],
-        HOT,
-        F.when(split, F.date_trunc(unit, F.col(order))).alias(BLOCK),
+    counts = None
+    for source in sources:
+        known = source.select(*keys).where(all_present(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+        counts = known if counts is None else counts.unionByName(known)
+    if len(sources) > 1:
+        counts = counts.groupBy(*keys).agg(F.sum("__rows").alias("__rows"))
+    hot = counts.where(F.col("__rows") > hot_rows).select(*keys)
+    found = hot.collect()
+    return hot.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
+def tag_blocks(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame, unit: str) -> DataFrame:
+    """Add a hot flag and the block: the truncated time for hot keys, NULL for all others."""
+    flagged = df.join(F.broadcast(hot.withColumn(HOT, F.lit(True))), list(keys), "left")
+    return flagged.select(
+        *[F.col(f"`{c}`") for c in df.columns], HOT, F.when(F.col(HOT), F.date_trunc(unit, F.col(order))).alias(BLOCK)
     )

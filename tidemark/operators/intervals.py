@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .asof import asof_join, check_new_names, key_pairs
-from .hot import HOT_ROWS, all_present
+from .hot import SPLIT, Split, all_present
 
 BOUNDS = ("[)", "(]", "[]", "()")
 
@@ -32,8 +32,9 @@ def valid_at(
     features: Sequence[str],
     *,
     bounds: str = "[)",
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
+    point_rows: DataFrame | None = None,
+    history_rows: DataFrame | None = None,
 ) -> DataFrame:
     """Attach the history row in force at each point, for histories whose intervals do not overlap.
 
@@ -52,8 +53,9 @@ def valid_at(
         start,
         {**{c: f"__f_{c}" for c in features}, end: "__end"},
         strict=bounds[0] == "(",
-        hot_rows=hot_rows,
-        unit=unit,
+        split=split,
+        left_rows=point_rows,
+        right_rows=history_rows,
     )
     instant = F.col(point_ts).cast(dict(history.dtypes)[end])
     live = instant <= F.col("__end") if bounds[1] == "]" else instant < F.col("__end")

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, as_column
-from .hot import BLOCK, HOT, HOT_ROWS, as_list, tag_blocks
+from ..sources.staging import stage
+from .hot import BLOCK, HOT, SPLIT, Split, any_missing, as_list, find_hot_keys, tag_blocks
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,10 @@ class Measure:
     def merge(self, local: Column, carry: Column) -> Column:
         raise NotImplementedError
 
+    def nothing(self) -> Column:
+        """The carry where there is nothing before."""
+        return F.lit(None)
+
 
 @dataclass(frozen=True)
 class _Sum(Measure):
@@ -48,6 +53,9 @@ class _Sum(Measure):
     def merge(self, local, carry):
         return F.when(carry.isNull(), local).otherwise(F.coalesce(local, F.lit(0)) + carry)
 
+    def nothing(self):
+        return F.lit(None).cast("int")
+
 
 @dataclass(frozen=True)
 class _Count(_Sum):
@@ -177,42 +185,45 @@ def running(
     *,
     frame: str = "rows",
     ties: Sequence[Column | str] = (),
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
+    sized_by: Sequence[DataFrame] | None = None,
     spread_null_keys: bool = False,
 ) -> DataFrame:
     """Add running measures per key in time order.
 
     ``frame="range"`` gives rows at one instant the same value; ``"rows"`` needs ``ties`` to make
     the order total wherever one instant can hold several rows. Blocks are whole units of the
-    order column, so tied rows never part. ``hot_rows=None`` switches the splitting off for inputs
-    whose groups are bounded, such as one row per entity and day.
+    order column, so tied rows never part. ``split=None`` switches the splitting off for inputs
+    whose groups are bounded, such as one row per entity and day. ``sized_by`` names cheaper inputs
+    with at least as many rows per key (same key names) to find hot keys in. Rows with a NULL key
+    form a group, unless ``spread_null_keys`` says that nothing is asked of them.
     """
     if frame not in ("rows", "range"):
         raise ValueError(f"frame must be 'rows' or 'range', not {frame!r}")
     keys = as_list(keys)
     ordering = [F.col(order), *ties] if frame == "rows" else [F.col(order)]
 
-    def windows(partition: list[str]) -> tuple[WindowSpec, WindowSpec]:
+    def windows(partition: Sequence[Column | str]) -> tuple[WindowSpec, WindowSpec]:
         ordered = Window.partitionBy(*partition).orderBy(*ordering)
         start, now = Window.unboundedPreceding, Window.currentRow
         framed = ordered.rowsBetween(start, now) if frame == "rows" else ordered.rangeBetween(start, now)
         return framed, ordered
 
-    if hot_rows is None:
-        rows, ordered = windows(keys)
-        nothing = F.lit(None)
+    hot = None if split is None else find_hot_keys(sized_by or [df], keys, split.hot_rows)
+    if hot is None:
+        spread = (
+            [F.when(any_missing(keys), F.date_trunc(split.unit, F.col(order)))] if split and spread_null_keys else []
+        )
+        rows, ordered = windows([*keys, *spread])
         plain = df.select("*", *[m.local(rows, ordered).alias(f"__local_{n}") for n, m in measures.items()])
         return plain.select(
-            *df.columns,
-            *[
-                (m.merge(F.col(f"__local_{n}"), nothing) if isinstance(m, _Previous) else F.col(f"__local_{n}")).alias(n)
-                for n, m in measures.items()
-            ],
+            *df.columns, *[m.merge(F.col(f"__local_{n}"), m.nothing()).alias(n) for n, m in measures.items()]
         )
 
-    tagged = tag_blocks(df, keys, order, hot_rows, unit, spread_null_keys)
-    rows, ordered = windows([*keys, BLOCK])
+    # read twice below, so computed once
+    tagged = stage(tag_blocks(df, keys, order, hot, split.unit))
+    spread = [F.when(any_missing(keys), F.date_trunc(split.unit, F.col(order)))] if spread_null_keys else []
+    rows, ordered = windows([*keys, BLOCK, *spread])
     local = tagged.select(
         *keys,
         BLOCK,
@@ -226,9 +237,7 @@ def running(
         .agg(*[m.total(position).alias(n) for n, m in measures.items()])
     )
     # one row per hot key and block: as many as the history has units of time
-    before = (
-        Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
+    before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *keys, BLOCK, *[m.carry(F.col(n), before).alias(f"__carry_{n}") for n, m in measures.items()]
     )

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.weekhours import WEEK_HOURS
-from .hot import BLOCK, HOT, HOT_ROWS, as_list, tag_blocks
+from ..sources.staging import stage
+from .hot import BLOCK, HOT, SPLIT, Split, as_list, find_hot_keys, tag_blocks
 
 
 def vector_total(df: DataFrame, keys: str | Sequence[str], slots: Column, name: str) -> DataFrame:
@@ -115,8 +116,8 @@ def running_vector(
     hours: Column,
     name: str,
     *,
-    hot_rows: int = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
+    sized_by: Sequence[DataFrame] | None = None,
 ) -> DataFrame:
     """Per key and instant, the element-wise sum of the week vectors so far, own row included.
 
@@ -128,19 +129,27 @@ def running_vector(
     shifts = df.select(
         *keys, order, first_slot.cast("int").alias("__first"), hours.cast("int").alias("__hours")
     )
-    tagged = tag_blocks(shifts, keys, order, hot_rows, unit)
     vector = T.ArrayType(T.IntegerType())
+    nothing = F.lit(None)
 
+    hot = None if split is None else find_hot_keys(sized_by or [shifts], keys, split.hot_rows)
+    if hot is None:
+        rows = shifts.withColumn("__ready", nothing.cast(vector))
+        return _stream(rows, [*keys, order], [*keys, order], False, len(keys)).select(
+            *keys, order, F.col("vector").alias(name)
+        )
+
+    tagged = stage(tag_blocks(shifts, keys, order, hot, split.unit))
     slots = F.transform(
         F.sequence(F.col("__first"), F.col("__first") + F.col("__hours") - 1),
         lambda slot: F.pmod(slot, F.lit(WEEK_HOURS)),
     )
     totals = vector_total(tagged.where(F.col(HOT)), [*keys, BLOCK], slots, "__ready").select(
-        "*", F.lit(None).cast("int").alias("__first"), F.lit(None).cast("int").alias("__hours")
+        "*", nothing.cast("int").alias("__first"), nothing.cast("int").alias("__hours")
     )
     seeds = _stream(totals, [*keys, BLOCK], [*keys, BLOCK], True, len(keys)).withColumnRenamed("vector", "__ready")
 
-    rows = tagged.drop(HOT).withColumn("__ready", F.lit(None).cast(vector))
+    rows = tagged.drop(HOT).withColumn("__ready", nothing.cast(vector))
     both = rows.unionByName(seeds, allowMissingColumns=True).withColumn("__event", F.col("__ready").isNull())
     ordered = [*keys, BLOCK, "__event", order]
     return _stream(both, [*keys, BLOCK, order], ordered, False, len(keys) + 1).select(

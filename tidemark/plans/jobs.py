@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from ..functions import complete_units, percent_delta, ratio
 from ..operators.asof import asof_join
 from ..operators.history import change_log_to_history, change_points, in_force_counts
-from ..operators.hot import HOT_ROWS
+from ..operators.hot import SPLIT, Split
 from ..operators.radius import near_sites
 from ..operators.running import run_previous, run_sum, running
+from ..sources.staging import stage
 
 
 def value_change_history(
     current: DataFrame, edits: DataFrame, value: str, *, jobs: DataFrame | None = None,
-    prefer: Sequence[str] = (), hot_rows: int | None = HOT_ROWS, unit: str = "day",
+    prefer: Sequence[str] = (), split: Split | None = SPLIT,
 ) -> DataFrame:
     """History of a job attribute such as its overfill or needed count: (job, effective start) -> value.
 
@@ -27,7 +28,7 @@ def value_change_history(
     history = change_log_to_history(
         current.select("job_id", F.col(value).alias(f"new_{value}")), edits, "job_id",
         f"old_{value}", f"new_{value}", "created_at",
-        value=value, prefer=prefer, entities=jobs, hot_rows=hot_rows, unit=unit,
+        value=value, prefer=prefer, entities=jobs, split=split,
     )
     return history.withColumn("job_id", F.col("job_id").cast("string"))
 
@@ -55,7 +56,7 @@ def views_and_applications(views: DataFrame, applications: DataFrame, from_date:
     ).agg(F.sum("view").alias("__views"), F.sum(1 - F.col("view")).alias("__apps"))
     # bounded by the hours of the calendar
     sums = running(
-        hourly, "job_id", "start_date", {"views": run_sum("__views"), "apps": run_sum("__apps")}, hot_rows=None
+        hourly, "job_id", "start_date", {"views": run_sum("__views"), "apps": run_sum("__apps")}, split=None
     )
     return sums.select(F.col("job_id").cast("string").alias("job_id"), "start_date", "views", "apps")
 
@@ -74,8 +75,7 @@ def applicant_tracker(
     created_from: str | None = None,
     *,
     confirm_at_instant: bool = True,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """Per job and instant of change: applicants in force, of these requested and confirmed.
 
@@ -155,7 +155,7 @@ def applicant_tracker(
         instants, "job_id", "start_date",
         {"total_applicants": run_sum("d_total"), "requested": run_sum("d_requested"),
          "confirmed": run_sum("d_confirmed")},
-        hot_rows=hot_rows, unit=unit,
+        split=split, sized_by=[applications, requests],
     )
     return counted.where(F.col("point") == 1).select(
         F.col("job_id").cast("string").alias("job_id"), "start_date", "total_applicants", "requested", "confirmed"
@@ -254,7 +254,7 @@ def activity_days(logs: Sequence[DataFrame], since: str | None = None, strict: b
 
 def presence_changes(
     status: DataFrame, sessions: DataFrame, active_days: int = 7,
-    *, hot_rows: int | None = HOT_ROWS, unit: str = "day",
+    *, split: Split | None = SPLIT,
 ) -> DataFrame:
     """Signed changes of a user's state: d_eligible (status 1) and d_active (any status and a recent session).
 
@@ -289,7 +289,8 @@ def presence_changes(
     ).select("user_id", "s.*")
     counts = in_force_counts(
         status_steps.unionByName(session_steps), ["user_id"], "at",
-        {"any": "any", "eligible": "eligible", "recent": "recent"}, hot_rows=hot_rows, unit=unit,
+        {"any": "any", "eligible": "eligible", "recent": "recent"},
+        split=split, sized_by=[status, sessions],
     )
     states = counts.select(
         "user_id",
@@ -301,7 +302,7 @@ def presence_changes(
     chained = running(
         states, "user_id", "at",
         {"was_eligible": run_previous("is_eligible", none), "was_active": run_previous("is_active", none)},
-        hot_rows=hot_rows, unit=unit,
+        split=split, sized_by=[status, sessions],
     )
     return chained.select(
         "user_id",
@@ -315,13 +316,14 @@ RADII_MILES = (1, 5, 10, 15)
 
 
 def supply_counts(
-    jobs: DataFrame, users: DataFrame, changes: DataFrame, radii: Sequence[float] = RADII_MILES,
-    *, hot_rows: int | None = HOT_ROWS, unit: str = "day",
+    jobs: DataFrame, users: DataFrame, changes: DataFrame, status: DataFrame, radii: Sequence[float] = RADII_MILES,
+    *, split: Split | None = SPLIT,
 ) -> DataFrame:
     """Eligible and active users of a job's county at its creation, in all and within each radius.
 
     ``jobs``: job_id, county, job_created_at, job_address_latitude / _longitude. ``users``: user_id,
-    county, user_address_latitude / _longitude. ``changes``: see ``presence_changes``.
+    county, user_address_latitude / _longitude. ``changes``: see ``presence_changes``; ``status``: what
+    they came from, to count hot counties and sites in.
 
     Counts in force are running sums per county and per user site, looked up as of the job's
     creation. Jobs meet sites, not users, and only sites near them.
@@ -332,24 +334,28 @@ def supply_counts(
         users.select("user_id", "county", *user_at).where(F.col("county").isNotNull()), "user_id"
     )
     outputs = {"eligible": "d_eligible", "active": "d_active"}
-    by_county = in_force_counts(placed, ["county"], "at", outputs, hot_rows=hot_rows, unit=unit)
+    sized = status.select("user_id").join(users.select("user_id", "county", *user_at), "user_id")
+    by_county = in_force_counts(placed, ["county"], "at", outputs, split=split, sized_by=[sized])
     by_site = in_force_counts(
         placed.where(F.col(user_at[0]).isNotNull() & F.col(user_at[1]).isNotNull()),
-        ["county", *user_at], "at", outputs, hot_rows=hot_rows, unit=unit,
+        ["county", *user_at], "at", outputs, split=split, sized_by=[sized],
     )
     spots = jobs.select("county", *job_at, "job_created_at").distinct()
     county_wide = asof_join(
         spots, by_county, "county", "job_created_at", "at",
-        {"eligible": "eligible_users", "active": "active_users_7_days"}, hot_rows=hot_rows, unit=unit,
+        {"eligible": "eligible_users", "active": "active_users_7_days"},
+        split=split, left_rows=jobs, right_rows=sized,
     )
     pairs = near_sites(
         spots.select("county", *job_at).distinct(), by_site.select("county", *user_at).distinct(),
         job_at, user_at, max(radii), by=["county"],
     )
     met = spots.join(pairs, ["county", *job_at])
+    if split is not None:
+        met = stage(met)  # counted per site and then looked up: the pairs are formed once
     seen = asof_join(
         met, by_site, ["county", *user_at], "job_created_at", "at", ["eligible", "active"],
-        hot_rows=hot_rows, unit=unit,
+        split=split, right_rows=sized,
     )
     spot = ["county", *job_at, "job_created_at"]
     within = [
@@ -380,15 +386,15 @@ def job_market(
     jobs: DataFrame, zip_counties: DataFrame, users: DataFrame, status: DataFrame, logs: Sequence[DataFrame],
     created_from: str | None = None, activity_from: str | None = None, *,
     radii: Sequence[float] = RADII_MILES, strict: bool = False,
-    hot_rows: int | None = HOT_ROWS, unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """Job attributes at creation: market wage, demand, and eligible and active users by radius."""
     changes = presence_changes(
-        status, activity_days(logs, activity_from, strict), hot_rows=hot_rows, unit=unit
+        status, activity_days(logs, activity_from, strict), split=split
     )
     supplied = supply_counts(
         market_stats(jobs, zip_counties, created_from), users_with_county(users, zip_counties), changes,
-        radii, hot_rows=hot_rows, unit=unit,
+        status, radii, split=split,
     )
     return supplied.drop("job_zipcode").withColumn("job_id", F.col("job_id").cast("string"))
 
@@ -404,12 +410,12 @@ WIDE_STATISTICS = (
 def job_market_wide(
     jobs: DataFrame, zip_counties: DataFrame, users: DataFrame, status: DataFrame, logs: Sequence[DataFrame],
     detail_columns: Sequence[str], created_from: str | None = None, activity_from: str | None = None, *,
-    radii: Sequence[float] = RADII_MILES, hot_rows: int | None = HOT_ROWS, unit: str = "day",
+    radii: Sequence[float] = RADII_MILES, split: Split | None = SPLIT,
 ) -> DataFrame:
     """The same metrics on the job key, joined again with the job table for its raw columns."""
     market = job_market(
         jobs, zip_counties, users, status, logs, created_from, activity_from, radii=radii,
-        hot_rows=hot_rows, unit=unit,
+        split=split,
     )
     counts = [c for c in market.columns if c.endswith("_mile") or c in ("eligible_users", "active_users_7_days")]
     narrow = market.select("job_id", *WIDE_STATISTICS, *counts)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import epoch_to_timestamp, local_time, minutes_between, ratio
 from ..operators.dedupe import keep_first
-from ..operators.hot import HOT_ROWS
+from ..operators.hot import SPLIT, Split
 from ..operators.intervals import valid_at
 from ..operators.rolling import rolling_totals
 from ..operators.running import run_first, run_last, run_sum, running
@@ -25,8 +25,7 @@ def first_shifts(
     *,
     since_year: int = 2020,
     ahead_days: int = 28,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """First active shift per job, with the head count needed at that time.
 
@@ -49,7 +48,7 @@ def first_shifts(
     )
     needed = valid_at(
         first, needed_history, "job_id", "job_start_time", "start_date", "end_date", ["needed"],
-        hot_rows=hot_rows, unit=unit,
+        split=split, point_rows=jobs,
     )
     wanted = F.coalesce("needed", "job_needed_original_count")
     return (
@@ -77,8 +76,7 @@ def work_history(
     as_of: str,
     *,
     short_notice_hours: int = 16,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """Per user and job start: shares of Worked / SNC / Early Cancel / No Cancel outcomes so far.
 
@@ -87,7 +85,7 @@ def work_history(
     counted. Outcomes are summed per user and instant before the running totals, which settles
     ties and leaves the window one row per instant.
     """
-    shifts = first_shifts(segments, jobs, needed_history, as_of, hot_rows=hot_rows, unit=unit)
+    shifts = first_shifts(segments, jobs, needed_history, as_of, split=split)
     applied = (
         applications.where((F.col("applied_status_enum") == 0) & F.col("user_id").isNotNull())
         .groupBy("user_id", "job_id")
@@ -120,7 +118,7 @@ def work_history(
     names = ["all", *labels]
     sums = running(
         instants, "user_id", "job_start_time", {f"n_{n}": run_sum(f"__{n}") for n in names},
-        hot_rows=hot_rows, unit=unit,
+        split=split, sized_by=[applications],
     )
     kept = F.col("n_worked") + F.col("n_no_cancel")
     return sums.select(
@@ -184,8 +182,7 @@ def user_ratings(
     dont_send: DataFrame,
     favorites: DataFrame,
     *,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """Per user and instant: average rating, favourites and do-not-send flags so far.
 
@@ -223,7 +220,7 @@ def user_ratings(
     sums = running(
         instants, "user_id", "event_time_stamp",
         {n: run_sum(f"__{n}") for n in ("rating", "rated", "fav", "dns")},
-        hot_rows=hot_rows, unit=unit,
+        split=split, sized_by=[ratings],
     )
     return sums.select(
         F.col("user_id").cast("string").alias("user_id"),
@@ -239,8 +236,7 @@ def user_certifications(
     names: Sequence[str],
     *,
     keep: str = "first",
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """One column per certification, carried forward per user; 0 before the first.
 
@@ -263,7 +259,7 @@ def user_certifications(
     carried = running(
         renamed, "user_id", "cert_completed_on",
         {f"__v{i}": measure(f"__c{i}") for i in range(len(names))},
-        hot_rows=hot_rows, unit=unit,
+        split=split, sized_by=[certifications],
     )
     return sanitize_names(
         carried.select(
@@ -325,7 +321,7 @@ def funnel_timeline(
 
 def signed_applicants(
     status_changes: DataFrame, plus: Sequence[str], minus: Sequence[str],
-    *, hot_rows: int | None = HOT_ROWS, unit: str = "day",
+    *, split: Split | None = SPLIT,
 ) -> DataFrame:
     """Applicants per job by a signed running sum over status changes: + for one set, - for the other.
 
@@ -339,6 +335,7 @@ def signed_applicants(
         .agg(F.sum("__step").alias("__step"))
     )
     return running(
-        instants, "job_id", "start_date", {"total_applicants": run_sum("__step")}, hot_rows=hot_rows, unit=unit
+        instants, "job_id", "start_date", {"total_applicants": run_sum("__step")}, split=split,
+        sized_by=[status_changes],
     ).select("job_id", "start_date", "total_applicants")
 

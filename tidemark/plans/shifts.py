@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import complete_units, shift_hours, shift_slots, start_slot
 from ..operators.dedupe import keep_first, most_frequent
-from ..operators.hot import HOT_ROWS
+from ..operators.hot import SPLIT, Split
 from ..operators.rolling import rolling_distinct, rolling_means, rolling_totals
 from ..operators.spine import days_of_periods, entity_days
 from ..operators.vectors import running_vector, vector_total
@@ -35,8 +35,7 @@ def user_schedule(
     shifts: DataFrame,
     start_date: str | None = None,
     end_date: str | None = None,
-    hot_rows: int = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """Running 168-vector per user and shift start; of shifts starting together the longest counts.
 
@@ -65,8 +64,8 @@ def user_schedule(
         start_slot(start_hour, start_day),
         shift_hours(start_hour, end_hour),
         "running_schedule_array",
-        hot_rows=hot_rows,
-        unit=unit,
+        split=split,
+        sized_by=[measured],
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.asof import asof_join, key_lookup
-from ..operators.hot import HOT_ROWS
+from ..operators.hot import SPLIT, Split
 from ..sources.tables import FeatureTable
 
 
@@ -67,8 +67,7 @@ def build_training_set(
     label: str | None = None,
     exclude_columns: Sequence[str] = (),
     *,
-    hot_rows: int | None = HOT_ROWS,
-    unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """One output row per label row. Lookups run first, then the derived columns in their order."""
     if label is not None and label.lower() not in {c.lower() for c in labels.columns}:
@@ -84,6 +83,7 @@ def build_training_set(
             continue
         if feature.timestamp_lookup_key is None:
             raise ValueError(f"{feature.table.name} has a time key, the lookup names none")
+        own = set(feature.keys())
         built = asof_join(
             built,
             feature.table.df,
@@ -91,8 +91,9 @@ def build_training_set(
             feature.timestamp_lookup_key,
             feature.table.timestamp_key,
             renames,
-            hot_rows=hot_rows,
-            unit=unit,
+            split=split,
+            right_rows=feature.table.rows,
+            left_rows=labels if own <= set(labels.columns) else None,
         )
     for feature in [f for f in features if isinstance(f, Derived)]:
         _check_binding(feature, built.columns)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -10,19 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.hot import any_missing
+from .staging import stage
 
 SAVE_MODES = ("append", "overwrite", "ignore", "error")
 
 
 @dataclass(frozen=True)
 class FeatureTable:
-    """A DataFrame with its primary key, optional timestamp key and description."""
+    """A DataFrame with its primary key, optional timestamp key and description.
+
+    ``rows`` may name a cheaper table with the entity keys and at least as many rows per entity; hot
+    keys are then counted there and the features are not computed for the count.
+    """
 
     name: str
     df: DataFrame = field(repr=False)
     primary_keys: tuple[str, ...]
     timestamp_key: str | None = None
     description: str = ""
+    rows: DataFrame | None = field(default=None, repr=False)
 
     def __post_init__(self) -> None:
         columns = {c.lower() for c in self.df.columns}
@@ -47,12 +52,6 @@ class KeyViolation(ValueError):
     """Primary keys that are NULL or occur more than once."""
 
 
-def work_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: the shared one the cluster names, a local one only without it."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tidemark-")
-
-
 def read_query(
     spark: SparkSession, fmt: str, options: Mapping[str, str], query: str | None = None
 ) -> DataFrame:
@@ -67,12 +66,6 @@ def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: Seq
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write and read back: cuts the lineage and survives the loss of executors."""
-    write_table(df, path, "overwrite")
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that are incomplete or occur more than once, with their row count in ``rows``."""
     return (
