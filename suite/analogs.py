@@ -12,7 +12,7 @@ VIEWS: dict[str, str] = {}
 VIEWS["shifts"] = """
 SELECT user_id, event_id % 97 AS job_id, event_id AS segment_id, ts AS shift_start,
        ts + hours * INTERVAL '1' HOUR AS shift_end, hours AS hours_worked,
-       floor(value) AS job_wage
+       CAST(floor(value) AS DOUBLE) AS job_wage
 FROM (SELECT *, CAST(floor(value) AS INT) % 12 + 1 AS hours FROM {events}) e
 """
 
@@ -177,7 +177,7 @@ WHERE n = 1
 VIEWS["market_jobs"] = """
 SELECT o_orderkey AS job_id, o_orderdate AS job_created_at,
        o_orderdate + (o_orderkey % 30) * INTERVAL '1' DAY + INTERVAL '6' HOUR AS job_start_date_time,
-       o_orderpriority AS job_type, c_mktsegment AS job_title, floor(o_totalprice) AS job_wage,
+       o_orderpriority AS job_type, c_mktsegment AS job_title, CAST(floor(o_totalprice) AS DOUBLE) AS job_wage,
        CAST(c_nationkey AS VARCHAR(10)) AS job_zipcode,
        CASE o_orderkey % 8 WHEN 0 THEN '1st Shift' WHEN 1 THEN 'Second crew' WHEN 2 THEN '3RD'
             WHEN 3 THEN 'Early AM shift' WHEN 4 THEN 'Night' WHEN 5 THEN 'Mon - Fri' WHEN 6 THEN 'flexible' END

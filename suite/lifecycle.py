@@ -1 +1,133 @@
-"""Placeholder."""
+"""Sources, staging, publishing, upserts and the training-set operators."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions import safe_divide
+from tidemark.plans import people, training
+from tidemark.sources.staging import stage, work_dir
+from tidemark.sources.tables import FeatureTable, look_back, publish, read_query, upsert, write_table
+
+from .base import Data, query
+
+
+def _folder(d: Data, name: str) -> str:
+    return f"{work_dir(d.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _daily_activity(events: DataFrame) -> DataFrame:
+    return events.groupBy("user_id", F.to_date("ts").alias("calendar_date")).agg(
+        F.count(F.lit(1)).alias("activities"), F.max("value").alias("top_value")
+    )
+
+
+@query(
+    "s_source_query",
+    """SELECT CAST(user_id AS VARCHAR) AS user_id, date_trunc('day', ts) AS calendar_date, count(*) AS activities, max(value) AS top_value
+       FROM events GROUP BY 1, 2""",
+)
+def s_source_query(d: Data) -> DataFrame:
+    events = read_query(d.spark, "parquet", {"path": f"{d.folder}/events.parquet"})
+    return people.activity_calendar(_daily_activity(events))
+
+
+@query("s_stage_roundtrip", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, CAST(job_id AS VARCHAR) AS job_id, 1 AS direct_invite FROM {worked_pairs}")
+def s_stage_roundtrip(d: Data) -> DataFrame:
+    return stage(people.direct_invites(d.worked_pairs), _folder(d, "direct_invites"))
+
+
+_DAILY = "SELECT user_id, date_trunc('day', ts) AS calendar_date, count(*) AS activities, max(value) AS top_value FROM events GROUP BY 1, 2"
+
+
+@query("l_publish_keys", _DAILY)
+def l_publish_keys(d: Data) -> DataFrame:
+    table = FeatureTable(
+        "user_activity", _daily_activity(d.events), ("user_id", "calendar_date"), "calendar_date", "activity per day"
+    )
+    return publish(table, _folder(d, "user_activity")).df
+
+
+@query("s_full_refresh", _DAILY)
+def s_full_refresh(d: Data) -> DataFrame:
+    """The second write replaces the first whole, also where the first held more."""
+    path = _folder(d, "refreshed")
+    stale = _daily_activity(d.events).withColumn("activities", F.lit(-1).cast("bigint"))
+    write_table(stale.unionByName(stale.withColumn("user_id", -1 - F.col("user_id"))), path, "overwrite")
+    write_table(_daily_activity(d.events), path, "overwrite")
+    return d.spark.read.parquet(path)
+
+
+@query(
+    "s_upsert",
+    """SELECT user_id, date_trunc('day', ts) AS calendar_date,
+         CASE WHEN min(ts) >= TIMESTAMP '2024-01-20' THEN count(*) ELSE -count(*) END AS activities FROM events GROUP BY 1, 2""",
+)
+def s_upsert(d: Data) -> DataFrame:
+    """Days up to the 24th hold negated counts; the update brings the true ones from the 20th on."""
+    path = _folder(d, "upserted")
+    truth = _daily_activity(d.events).drop("top_value")
+    day = F.col("calendar_date")
+    old = truth.where(day < F.to_date(F.lit("2024-01-25"))).withColumn("activities", -F.col("activities"))
+    write_table(old, path, "error", partition_by=["calendar_date"])
+    updates = stage(truth.where(day >= F.to_date(F.lit("2024-01-20"))), _folder(d, "updates"))
+    return upsert(d.spark, path, updates, ["user_id", "calendar_date"], partition_by="calendar_date")
+
+
+@query(
+    "s_lookback_upsert",
+    """SELECT user_id, date_trunc('day', ts) AS calendar_date, CASE WHEN min(ts) >= TIMESTAMP '2024-01-10' THEN count(*) ELSE 0 END AS activities
+       FROM events WHERE ts < TIMESTAMP '2024-01-30' GROUP BY 1, 2""",
+)
+def s_lookback_upsert(d: Data) -> DataFrame:
+    """Reload of the 21 days before the 31st, its eve excluded, into a table whose counts are all 0."""
+    path = _folder(d, "incremental")
+    blank = _daily_activity(look_back(d.events, "ts", "2024-01-31", 60, 1)).select(
+        "user_id", "calendar_date", F.lit(0).cast("bigint").alias("activities")
+    )
+    write_table(blank, path)
+    recent = _daily_activity(look_back(d.events, "ts", "2024-01-31", 21, 1)).drop("top_value")
+    return upsert(d.spark, path, stage(recent, _folder(d, "recent")), ["user_id", "calendar_date"])
+
+
+def _purchases(d: Data) -> FeatureTable:
+    bought = d.events.where(F.col("event_type") == "purchase").select(
+        F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("bought_at"), "event_id", "value", "props"
+    )
+    return FeatureTable("purchases", bought, ("user_id", "bought_at"), "bought_at", "what a user bought when")
+
+
+@query(
+    "l_lookup_subset",
+    """SELECT c.cancel_id, c.cancel_user_id, c.cancel_created_at, c.job_type, p.value AS last_spent FROM {cancel_labels} c
+       ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') p
+         ON p.user_id = c.cancel_user_id AND p.ts <= c.cancel_created_at""",
+)
+def l_lookup_subset(d: Data) -> DataFrame:
+    """Two of the table's five columns are read; the integer lookup key meets a string key."""
+    labels = d.cancel_labels.select("cancel_id", "cancel_user_id", "cancel_created_at", "job_type")
+    spent = training.Lookup(_purchases(d), "cancel_user_id", "cancel_created_at", ("value",), {"value": "last_spent"})
+    return training.build_training_set(labels, [spent], label="job_type")
+
+
+@query(
+    "l_derived",
+    """SELECT c.cancel_id, c.job_type, p.value AS value,
+       round(CAST(CAST(CASE WHEN c.cancel_job_id <> 0 AND p.value <> 0 THEN p.value / c.cancel_job_id END AS FLOAT) AS DOUBLE), 6) AS per_job
+       FROM {cancel_labels} c ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') p
+         ON p.user_id = c.cancel_user_id AND p.ts <= c.cancel_created_at""",
+)
+def l_derived(d: Data) -> DataFrame:
+    labels = d.cancel_labels.select("cancel_id", "cancel_user_id", "cancel_job_id", "cancel_created_at", "job_type")
+    return training.build_training_set(
+        labels,
+        [
+            training.Lookup(_purchases(d), "cancel_user_id", "cancel_created_at", ("value",)),
+            training.Derived(safe_divide, "per_job", {"numerator": "value", "denominator": "cancel_job_id"}),
+        ],
+        label="job_type",
+        exclude_columns=["cancel_user_id", "cancel_job_id", "cancel_created_at"],
+    )

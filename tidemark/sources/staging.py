@@ -9,9 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession) -> str:
-    """Folder for staged tables: the shared one the cluster names, a local one only without it."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="tidemark-")
+    """Folder for staged tables: the shared one the session names.
+
+    Without one, a local run gets a temporary folder and a cluster is refused, since a folder of
+    one machine is invisible to the others.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return tempfile.mkdtemp(prefix="tidemark-")
 
 
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
