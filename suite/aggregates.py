@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import shift_slots
+from tidemark.functions import shift_hours, start_slot
 from tidemark.operators.dedupe import most_frequent
 from tidemark.operators.history import change_points
 from tidemark.operators.radius import near_sites
@@ -141,8 +141,8 @@ def a_hour_bucket(d: Data) -> DataFrame:
          GROUP BY 1, 2) q GROUP BY 1""",
 )
 def a_vector_sum(d: Data) -> DataFrame:
-    slots = shift_slots(F.hour("shift_start"), F.hour("shift_end"), F.dayofweek("shift_start"))
-    return vector_total(d.shifts, "user_id", slots, "vector")
+    start, end, day = F.hour("shift_start"), F.hour("shift_end"), F.dayofweek("shift_start")
+    return vector_total(d.shifts, "user_id", start_slot(start, day), shift_hours(start, end), "vector")
 
 
 # --- set operations and ordering ---------------------------------------------------------------

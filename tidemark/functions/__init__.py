@@ -14,7 +14,6 @@ from .scalars import (
 from .weekhours import (
     cosine_similarity,
     shift_hours,
-    shift_slots,
     start_slot,
     week_vector,
 )
@@ -31,7 +30,6 @@ __all__ = [
     "ratio",
     "safe_divide",
     "shift_hours",
-    "shift_slots",
     "start_slot",
     "week_vector",
 ]

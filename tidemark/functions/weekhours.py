@@ -20,13 +20,6 @@ def shift_hours(start_hour: ColumnOrName, end_hour: ColumnOrName) -> Column:
     return F.when(span > 0, span).otherwise(span + 24)
 
 
-def shift_slots(start_hour: ColumnOrName, end_hour: ColumnOrName, start_day: ColumnOrName) -> Column:
-    """The hour-of-week slots a shift covers, as a short array; Saturday night wraps to Sunday."""
-    first = start_slot(start_hour, start_day)
-    last = first + shift_hours(start_hour, end_hour) - 1
-    return F.transform(F.sequence(first, last), lambda slot: F.pmod(slot, F.lit(WEEK_HOURS)))
-
-
 def week_vector(start_hour: ColumnOrName, end_hour: ColumnOrName, start_day: ColumnOrName) -> Column:
     """168 zeros and ones: 1 where the shift covers that hour of the week."""
     first = start_slot(start_hour, start_day)

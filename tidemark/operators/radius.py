@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,12 +10,16 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_MILES, haversine_miles
 
+CUBE = ("__i", "__j", "__k")
 
-def _cells(lat: str, lon: str, edge: float, radius: float) -> list[Column]:
-    """Cube of edge ``edge`` that holds the point on the sphere."""
-    phi, lam = F.radians(F.col(lat)), F.radians(F.col(lon))
-    axes = (F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi))
-    return [F.floor(axis * F.lit(radius / edge)).cast("int") for axis in axes]
+
+def _on_sphere(df: DataFrame, at: tuple[str, str], side: str, edge: float) -> DataFrame:
+    """Add the unit vector of each located row and the cube of width ``edge`` it falls into."""
+    known = df.where(F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull())
+    phi, lam = F.radians(F.col(at[0])), F.radians(F.col(at[1]))
+    axes: tuple[Column, ...] = (F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi))
+    placed = known.withColumns({f"__{side}{n}": axis for n, axis in enumerate(axes)})
+    return placed.withColumns({c: F.floor(F.col(f"__{side}{n}") / edge).cast("int") for n, c in enumerate(CUBE)})
 
 
 def near_sites(
@@ -29,23 +34,27 @@ def near_sites(
 ) -> DataFrame:
     """Pairs of sites at most ``within`` miles apart, with their distance in ``distance_miles``.
 
-    Points are put on the sphere and into cubes as wide as the distance. A chord is never longer
-    than its arc, so a partner is in the same or a neighbouring cube: an equi join on the cube,
-    exact at the poles and the date line too, and only near pairs are ever formed. Pass distinct
-    sites, so that many rows at one address make one pair.
+    Points are put on the unit sphere and into cubes as wide as the distance. A chord is never
+    longer than its arc, so a partner is in the same or a neighbouring cube: an equi join on the
+    cube, exact at the poles and the date line too, and only near candidates are ever compared.
+    The chord sorts out most of them before the distance is computed. Pass distinct sites, so that
+    many rows at one address make one pair.
     """
-    edge = within * (1 + 1e-6)
-    cube = ["__x", "__y", "__z"]
-    right_known = right.where(F.col(right_at[0]).isNotNull() & F.col(right_at[1]).isNotNull())
-    left_known = left.where(F.col(left_at[0]).isNotNull() & F.col(left_at[1]).isNotNull())
-    targets = right_known.select("*", *[c.alias(n) for c, n in zip(_cells(*right_at, edge, radius), cube)])
-    probes = left_known.select("*", *[c.alias(n) for c, n in zip(_cells(*left_at, edge, radius), cube)])
-    for axis in cube:
+    slack = 1 + 1e-6
+    edge = within / radius * slack
+    angle = min(within / radius, math.pi)
+    longest = (2 * math.sin(angle / 2) * slack) ** 2
+    targets = _on_sphere(right, right_at, "r", edge)
+    probes = _on_sphere(left, left_at, "l", edge)
+    for axis in CUBE:
         probes = probes.withColumn(axis, F.explode(F.sequence(F.col(axis) - 1, F.col(axis) + 1)))
+    steps = [F.col(f"__l{n}") - F.col(f"__r{n}") for n in range(3)]
+    chord = steps[0] * steps[0] + steps[1] * steps[1] + steps[2] * steps[2]
+    kept = [*by, *[c for c in left.columns if c not in by], *[c for c in right.columns if c not in by]]
     distance = haversine_miles(F.col(left_at[0]), F.col(left_at[1]), F.col(right_at[0]), F.col(right_at[1]), radius)
     return (
-        probes.join(targets, [*by, *cube])
-        .drop(*cube)
-        .withColumn("distance_miles", distance)
+        probes.join(targets, [*by, *CUBE])
+        .where(chord <= longest)
+        .select(*kept, distance.alias("distance_miles"))
         .where(F.col("distance_miles") <= within)
     )

@@ -15,26 +15,65 @@ from ..sources.staging import stage
 from .hot import BLOCK, HOT, SPLIT, Split, as_list, find_hot_keys, tag_blocks
 
 
-def vector_total(df: DataFrame, keys: str | Sequence[str], slots: Column, name: str) -> DataFrame:
-    """Element-wise sum per key of 0/1 vectors given by their slots.
+def _week_vectors(groups: int):
+    """Arrow function: one dense vector per group from (group, slot, count) rows sorted by group."""
 
-    Only the covered hours are exploded and counted; the vector is filled up at the end from at
-    most 168 counts per key.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, open_keys, open_vector = _GroupStarts(), None, None
+        schema = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            fresh = starts.mark(batch.columns[:groups])
+            heads = np.flatnonzero(fresh)
+            continued = open_keys is not None and not fresh[0]
+            member = np.cumsum(fresh) - (0 if continued else 1)
+            vectors = np.zeros((member[-1] + 1, WEEK_HOURS), dtype=np.int32)
+            slot, count = (c.to_numpy(zero_copy_only=False) for c in batch.columns[-2:])
+            np.add.at(vectors, (member, slot), count)
+            keys = batch.select(range(groups)).take(pa.array(heads))
+            schema = keys.schema
+            if continued:
+                vectors[0] += open_vector
+            if open_keys is not None:
+                keys = pa.concat_batches([open_keys, keys])
+                if not continued:
+                    vectors = np.concatenate([open_vector[None, :], vectors])
+            # the last group may go on in the next batch
+            done = len(vectors) - 1
+            if done:
+                yield _with_vectors(keys.slice(0, done), vectors[:done])
+            open_keys, open_vector = keys.slice(done), vectors[done]
+        if open_keys is not None and schema is not None:
+            yield _with_vectors(open_keys, open_vector[None, :])
+
+    return run
+
+
+def _with_vectors(kept: pa.RecordBatch, vectors: np.ndarray) -> pa.RecordBatch:
+    offsets = pa.array(np.arange(len(vectors) + 1, dtype=np.int32) * WEEK_HOURS)
+    arrays = pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(vectors).reshape(-1)))
+    return pa.RecordBatch.from_arrays([*kept.columns, arrays], names=[*kept.schema.names, "vector"])
+
+
+def vector_total(
+    df: DataFrame, keys: str | Sequence[str], first_slot: Column, hours: Column, name: str
+) -> DataFrame:
+    """Element-wise sum per key of the week vectors of shifts.
+
+    Only the covered hours are exploded and counted, map-side first; at most 168 counts per key are
+    then laid out as a vector.
     """
     keys = as_list(keys)
     counted = (
-        df.select(*keys, F.explode(slots).alias("__slot"))
-        .groupBy(*keys, "__slot")
+        df.select(*keys, first_slot.cast("int").alias("__first"), hours.cast("int").alias("__hours"))
+        .select(*keys, F.explode(F.sequence("__first", F.col("__first") + F.col("__hours") - 1)).alias("__hour"))
+        .groupBy(*keys, F.pmod("__hour", F.lit(WEEK_HOURS)).alias("__slot"))
         .agg(F.count(F.lit(1)).cast("int").alias("__n"))
     )
-    filled = counted.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("__slot", "__n"))).alias("__counts")
-    )
-    dense = F.transform(
-        F.sequence(F.lit(0), F.lit(WEEK_HOURS - 1)),
-        lambda slot: F.coalesce(F.try_element_at(F.col("__counts"), slot), F.lit(0)),
-    )
-    return filled.select(*keys, dense.alias(name))
+    schema = T.StructType([counted.schema[k] for k in keys] + [T.StructField(name, T.ArrayType(T.IntegerType()))])
+    placed = counted.repartition(*keys).sortWithinPartitions(*keys)
+    return placed.mapInArrow(_week_vectors(len(keys)), schema)
 
 
 class _GroupStarts:
@@ -92,9 +131,7 @@ def _accumulate(groups: int, exclusive: bool):
             kept = batch.columns[:-3]
             if not exclusive and seeded.any():
                 kept = [c.filter(pa.array(~seeded)) for c in kept]
-            offsets = pa.array(np.arange(len(emitted) + 1, dtype=np.int32) * WEEK_HOURS)
-            vectors = pa.ListArray.from_arrays(offsets, pa.array(emitted.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*kept, vectors], names=[*batch.schema.names[:-3], "vector"])
+            yield _with_vectors(pa.RecordBatch.from_arrays(kept, names=batch.schema.names[:-3]), emitted)
 
     return run
 
@@ -140,11 +177,8 @@ def running_vector(
         )
 
     tagged = stage(tag_blocks(shifts, keys, order, hot, split.unit))
-    slots = F.transform(
-        F.sequence(F.col("__first"), F.col("__first") + F.col("__hours") - 1),
-        lambda slot: F.pmod(slot, F.lit(WEEK_HOURS)),
-    )
-    totals = vector_total(tagged.where(F.col(HOT)), [*keys, BLOCK], slots, "__ready").select(
+    hot_rows = tagged.where(F.col(HOT))
+    totals = vector_total(hot_rows, [*keys, BLOCK], F.col("__first"), F.col("__hours"), "__ready").select(
         "*", nothing.cast("int").alias("__first"), nothing.cast("int").alias("__hours")
     )
     seeds = _stream(totals, [*keys, BLOCK], [*keys, BLOCK], True, len(keys)).withColumnRenamed("vector", "__ready")

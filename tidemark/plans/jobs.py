@@ -201,16 +201,20 @@ def attach_group_stats(df: DataFrame, by: dict[str, Column], stats: dict[str, Co
     return left.join(right, same, "left").select(*[F.col(f"l.`{c}`") for c in df.columns], *[F.col(f"r.{n}") for n in stats])
 
 
-def market_stats(jobs: DataFrame, zip_counties: DataFrame, created_from: str | None = None) -> DataFrame:
-    """Job rows with county, wage against its county / type / title / month, and monthly demand.
-
-    ``jobs``: job_id, job_created_at, job_start_date_time, job_type, job_title, job_wage, job_zipcode,
-    schedule_name, job_needed_last_count, invited_worker_count and whatever else should pass through.
-    """
+def located_jobs(jobs: DataFrame, zip_counties: DataFrame, created_from: str | None = None) -> DataFrame:
+    """Jobs with the county of their zip code."""
     if created_from is not None:
         jobs = jobs.where(F.col("job_created_at") >= F.lit(created_from).cast(dict(jobs.dtypes)["job_created_at"]))
     counties = zip_counties.groupBy(F.col("zip").alias("job_zipcode")).agg(F.min("county").alias("county"))
-    located = jobs.join(counties, "job_zipcode", "left")
+    return jobs.join(counties, "job_zipcode", "left")
+
+
+def market_stats(located: DataFrame) -> DataFrame:
+    """Job rows with their wage against its county / type / title / month, and monthly demand.
+
+    ``located``: job_id, county, job_created_at, job_start_date_time, job_type, job_title, job_wage,
+    schedule_name, job_needed_last_count, invited_worker_count and whatever else should pass through.
+    """
     month = {"county": F.col("county"), "year": F.year("job_created_at"), "month": F.month("job_created_at")}
     peers = {**month, "type": F.col("job_type"), "title": F.col("job_title")}
     compared = attach_group_stats(
@@ -315,65 +319,80 @@ def presence_changes(
 RADII_MILES = (1, 5, 10, 15)
 
 
+JOB_AT = ("job_address_latitude", "job_address_longitude")
+USER_AT = ("user_address_latitude", "user_address_longitude")
+
+
+def count_names(radii: Sequence[float]) -> list[str]:
+    near = [f"{kind}_cms_{r}_mile" for kind in ("eligible", "active") for r in radii]
+    return ["eligible_users", "active_users_7_days", *near]
+
+
 def supply_counts(
-    jobs: DataFrame, users: DataFrame, changes: DataFrame, status: DataFrame, radii: Sequence[float] = RADII_MILES,
+    located: DataFrame, users: DataFrame, changes: DataFrame, radii: Sequence[float] = RADII_MILES,
     *, split: Split | None = SPLIT,
 ) -> DataFrame:
     """Eligible and active users of a job's county at its creation, in all and within each radius.
 
-    ``jobs``: job_id, county, job_created_at, job_address_latitude / _longitude. ``users``: user_id,
-    county, user_address_latitude / _longitude. ``changes``: see ``presence_changes``; ``status``: what
-    they came from, to count hot counties and sites in.
+    ``located``: job_id, county, job_created_at, job_address_latitude / _longitude. ``users``:
+    user_id, county, user_address_latitude / _longitude. ``changes``: see ``presence_changes``.
+    One row per county, job site and instant of creation.
 
-    Counts in force are running sums per county and per user site, looked up as of the job's
-    creation. Jobs meet sites, not users, and only sites near them.
+    Counts in force are running sums per county and per user site, looked up as of the creation.
+    Job sites meet user sites, not users, and only those near them.
     """
-    job_at, user_at = ("job_address_latitude", "job_address_longitude"), ("user_address_latitude", "user_address_longitude")
-    kind = dict(jobs.dtypes)["job_created_at"]
-    placed = changes.withColumn("at", F.col("at").cast(kind)).join(
-        users.select("user_id", "county", *user_at).where(F.col("county").isNotNull()), "user_id"
+    user_sites = users.where(F.col("county").isNotNull()).groupBy("county", *USER_AT).agg(
+        F.min("user_id").alias("user_site")
+    )
+    placed = users.join(user_sites, ["county", *USER_AT], "left")
+    kind = dict(located.dtypes)["job_created_at"]
+    deltas = (
+        changes.join(placed.select("user_id", "county", "user_site"), "user_id")
+        .groupBy("county", "user_site", F.col("at").cast(kind).alias("at"))
+        .agg(F.sum("d_eligible").alias("d_eligible"), F.sum("d_active").alias("d_active"))
     )
+    deltas = stage(deltas)  # the base of two histories
     outputs = {"eligible": "d_eligible", "active": "d_active"}
-    sized = status.select("user_id").join(users.select("user_id", "county", *user_at), "user_id")
-    by_county = in_force_counts(placed, ["county"], "at", outputs, split=split, sized_by=[sized])
+    by_county = in_force_counts(deltas, ["county"], "at", outputs, split=split)
     by_site = in_force_counts(
-        placed.where(F.col(user_at[0]).isNotNull() & F.col(user_at[1]).isNotNull()),
-        ["county", *user_at], "at", outputs, split=split, sized_by=[sized],
+        deltas.where(F.col("user_site").isNotNull()), ["user_site"], "at", outputs, split=split
     )
-    spots = jobs.select("county", *job_at, "job_created_at").distinct()
+
+    spots = located.select("county", *JOB_AT, "job_created_at").distinct()
     county_wide = asof_join(
         spots, by_county, "county", "job_created_at", "at",
         {"eligible": "eligible_users", "active": "active_users_7_days"},
-        split=split, left_rows=jobs, right_rows=sized,
-    )
-    pairs = near_sites(
-        spots.select("county", *job_at).distinct(), by_site.select("county", *user_at).distinct(),
-        job_at, user_at, max(radii), by=["county"],
+        split=split, left_rows=located, right_rows=deltas,
     )
-    met = spots.join(pairs, ["county", *job_at])
+    job_sites = located.groupBy("county", *JOB_AT).agg(F.min("job_id").alias("job_site"))
+    pairs = near_sites(job_sites, user_sites, JOB_AT, USER_AT, max(radii), by=["county"])
+    met = spots.join(pairs.select("county", *JOB_AT, "job_site", "user_site", "distance_miles"), ["county", *JOB_AT])
+    met = met.select("job_site", "job_created_at", "user_site", "distance_miles")
     if split is not None:
         met = stage(met)  # counted per site and then looked up: the pairs are formed once
     seen = asof_join(
-        met, by_site, ["county", *user_at], "job_created_at", "at", ["eligible", "active"],
-        split=split, right_rows=sized,
+        met, by_site, "user_site", "job_created_at", "at", ["eligible", "active"], split=split, right_rows=deltas
     )
-    spot = ["county", *job_at, "job_created_at"]
     within = [
-        F.sum(F.when(F.col("distance_miles") <= r, F.col(kind_))).alias(f"{name}_{r}_mile")
-        for kind_, name in (("eligible", "eligible_cms"), ("active", "active_cms"))
+        F.sum(F.when(F.col("distance_miles") <= r, F.col(state))).alias(f"{state}_cms_{r}_mile")
+        for state in ("eligible", "active")
         for r in radii
     ]
-    nearby = seen.groupBy(*spot).agg(*within)
-    names = [f"{n}_{r}_mile" for n in ("eligible_cms", "active_cms") for r in radii]
-    supplied = county_wide.join(nearby, spot, "left").fillna(
-        0, ["eligible_users", "active_users_7_days", *names]
+    nearby = seen.groupBy("job_site", "job_created_at").agg(*within)
+    return (
+        county_wide.join(job_sites, ["county", *JOB_AT], "left")
+        .join(nearby, ["job_site", "job_created_at"], "left")
+        .fillna(0, count_names(radii))
+        .drop("job_site")
     )
+
+
+def attach_supply(jobs: DataFrame, supply: DataFrame, radii: Sequence[float]) -> DataFrame:
     same = F.lit(True)
-    for c in spot:
+    for c in ("county", *JOB_AT, "job_created_at"):
         same = same & F.col(f"j.{c}").eqNullSafe(F.col(f"s.{c}"))
-    return jobs.alias("j").join(supplied.alias("s"), same, "left").select(
-        *[F.col(f"j.`{c}`") for c in jobs.columns],
-        "s.eligible_users", "s.active_users_7_days", *[F.col(f"s.{n}") for n in names],
+    return jobs.alias("j").join(supply.alias("s"), same, "left").select(
+        *[F.col(f"j.`{c}`") for c in jobs.columns], *[F.col(f"s.{n}") for n in count_names(radii)]
     )
 
 
@@ -389,13 +408,10 @@ def job_market(
     split: Split | None = SPLIT,
 ) -> DataFrame:
     """Job attributes at creation: market wage, demand, and eligible and active users by radius."""
-    changes = presence_changes(
-        status, activity_days(logs, activity_from, strict), split=split
-    )
-    supplied = supply_counts(
-        market_stats(jobs, zip_counties, created_from), users_with_county(users, zip_counties), changes,
-        status, radii, split=split,
-    )
+    located = located_jobs(jobs, zip_counties, created_from)
+    changes = presence_changes(status, activity_days(logs, activity_from, strict), split=split)
+    supply = supply_counts(located, users_with_county(users, zip_counties), changes, radii, split=split)
+    supplied = attach_supply(market_stats(located), supply, radii)
     return supplied.drop("job_zipcode").withColumn("job_id", F.col("job_id").cast("string"))
 
 
@@ -417,7 +433,6 @@ def job_market_wide(
         jobs, zip_counties, users, status, logs, created_from, activity_from, radii=radii,
         split=split,
     )
-    counts = [c for c in market.columns if c.endswith("_mile") or c in ("eligible_users", "active_users_7_days")]
-    narrow = market.select("job_id", *WIDE_STATISTICS, *counts)
+    narrow = market.select("job_id", *WIDE_STATISTICS, *count_names(radii))
     details = jobs.select(F.col("job_id").cast("string").alias("job_id"), *detail_columns)
     return narrow.join(details, "job_id", "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import complete_units, shift_hours, shift_slots, start_slot
+from ..functions import complete_units, shift_hours, start_slot
 from ..operators.dedupe import keep_first, most_frequent
 from ..operators.hot import SPLIT, Split
 from ..operators.rolling import rolling_distinct, rolling_means, rolling_totals
@@ -24,7 +24,10 @@ def job_schedule(segments: DataFrame, jobs: DataFrame, created_from: str | None
     """
     if created_from is not None:
         jobs = jobs.where(F.col("job_created_at") >= F.lit(created_from).cast(dict(jobs.dtypes)["job_created_at"]))
-    totals = vector_total(segments, "job_id", shift_slots(*_clock("start_time", "end_time")), "job_schedule")
+    start_hour, end_hour, start_day = _clock("start_time", "end_time")
+    totals = vector_total(
+        segments, "job_id", start_slot(start_hour, start_day), shift_hours(start_hour, end_hour), "job_schedule"
+    )
     # vectors are summed per job before the join, which then has one row per job on both sides
     return totals.join(jobs.select("job_id", "job_created_at"), "job_id").select(
         F.col("job_id").cast("string").alias("job_id"), "job_created_at", "job_schedule"
