@@ -35,10 +35,11 @@ def log(spark):
     return spark.createDataFrame(data, "id int, k string, t timestamp_ntz, v int").cache()
 
 
-@pytest.mark.parametrize("unit", ["day", "hour", "month"])
-def test_rows_frame_equals_plain_window(log, unit):
+@pytest.mark.parametrize("unit", ["day", "hour", "week"])
+@pytest.mark.parametrize("rows_per_task", [10, 100])  # 10: units are cut further
+def test_rows_frame_equals_plain_window(log, unit, rows_per_task):
     measures = {**{n: kind("v") for n, kind in KINDS.items()}, "prev": run_previous("id", F.lit(-1))}
-    split = running(log, "k", "t", measures, ties=["id"], split=Split(100, unit))
+    split = running(log, "k", "t", measures, ties=["id"], split=Split(rows_per_task, unit))
     plain = running(log, "k", "t", measures, ties=["id"], split=None)
     assert rows(split, "id") == rows(plain, "id")
 
@@ -77,3 +78,14 @@ def test_hot_path_reads_a_staged_copy_and_spreads_the_key(log):
     text = plan(running(log, "k", "t", {"s": run_sum("v")}, ties=["id"], split=Split(100, "day")))
     assert "__block" in text and "staged-" in text
     assert "Nested" not in text and "Cartesian" not in text
+
+
+def test_crowded_units_are_cut_by_their_rows(log):
+    from tidemark.operators.hot import BLOCK, HOT, cut_hot_keys
+
+    tagged = cut_hot_keys(log, ["k"], "t", Split(30, "week"), [log])
+    sizes = tagged.where(F.col(HOT)).groupBy("k", BLOCK).count()
+    assert sizes.where("k = 'hot'").count() >= 8
+    assert tagged.where(F.col(HOT).isNull()).where(F.col(BLOCK).isNotNull()).count() == 0
+    with pytest.raises(ValueError):
+        Split(10, "month")

@@ -7,7 +7,9 @@ receives what came before it as a carry (see ``running``). Keys below the thresh
 partition.
 
 Which keys are hot is counted beforehand, on the narrowest input that bounds the rows per key
-(usually the key column of a source table). Without hot keys the plan is the plain window.
+(usually the key column of a source table). Without hot keys the plan is the plain window. With
+them the input is staged once, counted per unit of time, and units that are still too big are cut
+further, into as many equal parts as their rows ask for.
 """
 
 from __future__ import annotations
@@ -20,13 +22,19 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
+
 BLOCK = "__block"
 HOT = "__hot"
 
 
+# Length of the units in microseconds
+UNIT_MICROS = {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+
+
 @dataclass(frozen=True)
 class Split:
-    """When a key is too big for one task, and the unit of time it is cut into.
+    """When a key is too big for one task, and the unit of time it is cut into first.
 
     ``hot_rows`` is the number of rows a task may still sort on its own.
     """
@@ -34,6 +42,10 @@ class Split:
     hot_rows: int = 1_000_000
     unit: str = "day"
 
+    def __post_init__(self) -> None:
+        if self.unit not in UNIT_MICROS or self.hot_rows < 1:
+            raise ValueError(f"unit must be one of {sorted(UNIT_MICROS)} and hot_rows positive: {self}")
+
 
 SPLIT = Split()
 
@@ -67,9 +79,38 @@ def find_hot_keys(sources: Sequence[DataFrame], keys: Sequence[str], hot_rows: i
     return hot.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def tag_blocks(df: DataFrame, keys: Sequence[str], order: str, hot: DataFrame, unit: str) -> DataFrame:
-    """Add a hot flag and the block: the truncated time for hot keys, NULL for all others."""
-    flagged = df.join(F.broadcast(hot.withColumn(HOT, F.lit(True))), list(keys), "left")
-    return flagged.select(
-        *[F.col(f"`{c}`") for c in df.columns], HOT, F.when(F.col(HOT), F.date_trunc(unit, F.col(order))).alias(BLOCK)
+def cut_hot_keys(
+    df: DataFrame, keys: Sequence[str], order: str, split: Split, sources: Sequence[DataFrame]
+) -> DataFrame | None:
+    """A staged copy of the input with a hot flag and a block, or None if no key is hot.
+
+    The block is NULL for the other keys. Both lists that are broadcast, of hot keys and of
+    (key, unit) pairs to cut further, hold at most rows / hot_rows entries.
+    """
+    hot = find_hot_keys(sources, keys, split.hot_rows)
+    if hot is None:
+        return None
+    flagged = stage(df.join(F.broadcast(hot.withColumn(HOT, F.lit(True))), list(keys), "left").select(*df.columns, HOT))
+    unit = F.date_trunc(split.unit, F.col(order))
+    counts = flagged.where(F.col(HOT)).groupBy(*keys, unit.alias(BLOCK)).agg(F.count(F.lit(1)).alias("__rows"))
+    crowded = counts.where(F.col("__rows") > split.hot_rows).select(
+        *keys, F.unix_micros(BLOCK).alias("__unit"), F.ceil(F.col("__rows") / split.hot_rows).alias("__parts")
+    )
+    parts = crowded.collect()
+    tagged = flagged.withColumn(BLOCK, F.when(F.col(HOT), unit))
+    if not parts:
+        return tagged
+    tagged = tagged.withColumn("__unit", F.unix_micros(BLOCK))
+    finer = F.broadcast(df.sparkSession.createDataFrame(parts, crowded.schema))
+    start = F.col("__unit")
+    width = F.lit(UNIT_MICROS[split.unit]) / F.col("__parts")
+    part = F.floor((F.unix_micros(F.col(order).cast("timestamp")) - start) / width)
+    cut = F.timestamp_micros(start + F.floor(part * width).cast("bigint"))
+    return tagged.join(finer, [*keys, "__unit"], "left").select(
+        *df.columns, HOT, F.when(F.col("__parts").isNull(), F.col(BLOCK)).otherwise(cut).alias(BLOCK)
     )
+
+
+def spread_missing(keys: Sequence[str], order: str) -> Column:
+    """Extra window key that scatters rows with a NULL key, of which nothing is asked."""
+    return F.when(any_missing(keys), F.xxhash64(order))

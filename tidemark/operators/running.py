@@ -14,8 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, as_column
-from ..sources.staging import stage
-from .hot import BLOCK, HOT, SPLIT, Split, any_missing, as_list, find_hot_keys, tag_blocks
+from .hot import BLOCK, HOT, SPLIT, Split, as_list, cut_hot_keys, spread_missing
 
 
 @dataclass(frozen=True)
@@ -209,20 +208,15 @@ def running(
         framed = ordered.rowsBetween(start, now) if frame == "rows" else ordered.rangeBetween(start, now)
         return framed, ordered
 
-    hot = None if split is None else find_hot_keys(sized_by or [df], keys, split.hot_rows)
-    if hot is None:
-        spread = (
-            [F.when(any_missing(keys), F.date_trunc(split.unit, F.col(order)))] if split and spread_null_keys else []
-        )
+    spread = [spread_missing(keys, order)] if spread_null_keys else []
+    tagged = None if split is None else cut_hot_keys(df, keys, order, split, sized_by or [df])
+    if tagged is None:
         rows, ordered = windows([*keys, *spread])
         plain = df.select("*", *[m.local(rows, ordered).alias(f"__local_{n}") for n, m in measures.items()])
         return plain.select(
             *df.columns, *[m.merge(F.col(f"__local_{n}"), m.nothing()).alias(n) for n, m in measures.items()]
         )
 
-    # read twice below, so computed once
-    tagged = stage(tag_blocks(df, keys, order, hot, split.unit))
-    spread = [F.when(any_missing(keys), F.date_trunc(split.unit, F.col(order)))] if spread_null_keys else []
     rows, ordered = windows([*keys, BLOCK, *spread])
     local = tagged.select(
         *keys,

@@ -20,9 +20,7 @@ def rename_all(df: DataFrame, rule: Callable[[str], str]) -> DataFrame:
     return df.toDF(*names)
 
 
-# Fixed value: characters removed from column names (the range runs from '+' to the blank's end
-# of the class as written: parentheses, comma, percent, plus, blank, semicolon, braces, newline,
-# tab, equals).
+# Fixed value: characters removed from column names
 UNSAFE_NAME_CHARACTERS = "()|,%+ ;{}\n\t="
 
 

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.weekhours import WEEK_HOURS
-from ..sources.staging import stage
-from .hot import BLOCK, HOT, SPLIT, Split, as_list, find_hot_keys, tag_blocks
+from .hot import BLOCK, HOT, SPLIT, Split, as_list, cut_hot_keys
 
 
 def _week_vectors(groups: int):
@@ -169,14 +168,13 @@ def running_vector(
     vector = T.ArrayType(T.IntegerType())
     nothing = F.lit(None)
 
-    hot = None if split is None else find_hot_keys(sized_by or [shifts], keys, split.hot_rows)
-    if hot is None:
+    tagged = None if split is None else cut_hot_keys(shifts, keys, order, split, sized_by or [shifts])
+    if tagged is None:
         rows = shifts.withColumn("__ready", nothing.cast(vector))
         return _stream(rows, [*keys, order], [*keys, order], False, len(keys)).select(
             *keys, order, F.col("vector").alias(name)
         )
 
-    tagged = stage(tag_blocks(shifts, keys, order, hot, split.unit))
     hot_rows = tagged.where(F.col(HOT))
     totals = vector_total(hot_rows, [*keys, BLOCK], F.col("__first"), F.col("__hours"), "__ready").select(
         "*", nothing.cast("int").alias("__first"), nothing.cast("int").alias("__hours")
