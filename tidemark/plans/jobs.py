@@ -12,7 +12,7 @@ from ..operators.asof import asof_join
 from ..operators.history import change_log_to_history, change_points, in_force_counts
 from ..operators.hot import SPLIT, Split
 from ..operators.radius import near_sites
-from ..operators.running import run_previous, run_sum, running
+from ..operators.running import run_sum, running
 from ..sources.staging import stage
 
 
@@ -291,28 +291,24 @@ def presence_changes(
             )
         ).alias("s"),
     ).select("user_id", "s.*")
-    counts = in_force_counts(
-        status_steps.unionByName(session_steps), ["user_id"], "at",
-        {"any": "any", "eligible": "eligible", "recent": "recent"},
-        split=split, sized_by=[status, sessions],
+    steps = ("any", "eligible", "recent")
+    instants = status_steps.unionByName(session_steps).groupBy("user_id", "at").agg(
+        *[F.sum(c).alias(f"d_{c}") for c in steps]
     )
-    states = counts.select(
-        "user_id",
-        "at",
-        (F.col("eligible") > 0).cast("int").alias("is_eligible"),
-        ((F.col("any") > 0) & (F.col("recent") > 0)).cast("int").alias("is_active"),
-    )
-    none = F.lit(0)
-    chained = running(
-        states, "user_id", "at",
-        {"was_eligible": run_previous("is_eligible", none), "was_active": run_previous("is_active", none)},
-        split=split, sized_by=[status, sessions],
+    counts = running(
+        instants, "user_id", "at", {c: run_sum(f"d_{c}") for c in steps}, split=split, sized_by=[status, sessions]
     )
-    return chained.select(
+
+    def state(after: bool) -> tuple[Column, Column]:
+        held, eligible, recent = (F.col(c) if after else F.col(c) - F.col(f"d_{c}") for c in steps)
+        return (eligible > 0).cast("int"), ((held > 0) & (recent > 0)).cast("int")
+
+    (is_eligible, is_active), (was_eligible, was_active) = state(True), state(False)
+    return counts.select(
         "user_id",
         "at",
-        (F.col("is_eligible") - F.col("was_eligible")).alias("d_eligible"),
-        (F.col("is_active") - F.col("was_active")).alias("d_active"),
+        (is_eligible - was_eligible).alias("d_eligible"),
+        (is_active - was_active).alias("d_active"),
     ).where((F.col("d_eligible") != 0) | (F.col("d_active") != 0))
 
 
@@ -341,6 +337,8 @@ def supply_counts(
     Counts in force are running sums per county and per user site, looked up as of the creation.
     Job sites meet user sites, not users, and only those near them.
     """
+    # the jobs are needed for their instants, their sites and their counts: located once
+    located = stage(located.select("job_id", "county", *JOB_AT, "job_created_at"))
     user_sites = users.where(F.col("county").isNotNull()).groupBy("county", *USER_AT).agg(
         F.min("user_id").alias("user_site")
     )
