@@ -37,8 +37,8 @@ def near_sites(
     Points are put on the unit sphere and into cubes as wide as the distance. A chord is never
     longer than its arc, so a partner is in the same or a neighbouring cube: an equi join on the
     cube, exact at the poles and the date line too, and only near candidates are ever compared.
-    The chord sorts out most of them before the distance is computed. Pass distinct sites, so that
-    many rows at one address make one pair.
+    The chord sorts out most of them before the distance is computed. The right side is repeated
+    for the 27 cubes around it, so pass the smaller one there, as distinct sites.
     """
     slack = 1 + 1e-6
     edge = within / radius * slack
@@ -47,7 +47,7 @@ def near_sites(
     targets = _on_sphere(right, right_at, "r", edge)
     probes = _on_sphere(left, left_at, "l", edge)
     for axis in CUBE:
-        probes = probes.withColumn(axis, F.explode(F.sequence(F.col(axis) - 1, F.col(axis) + 1)))
+        targets = targets.withColumn(axis, F.explode(F.sequence(F.col(axis) - 1, F.col(axis) + 1)))
     steps = [F.col(f"__l{n}") - F.col(f"__r{n}") for n in range(3)]
     chord = steps[0] * steps[0] + steps[1] * steps[1] + steps[2] * steps[2]
     kept = [*by, *[c for c in left.columns if c not in by], *[c for c in right.columns if c not in by]]

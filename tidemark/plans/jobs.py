@@ -335,7 +335,7 @@ def supply_counts(
     One row per county, job site and instant of creation.
 
     Counts in force are running sums per county and per user site, looked up as of the creation.
-    Job sites meet user sites, not users, and only those near them.
+    Jobs meet user sites, not users, and only those near them.
     """
     # the jobs are needed for their instants, their sites and their counts: located once
     located = stage(located.select("job_id", "county", *JOB_AT, "job_created_at"))
@@ -356,16 +356,15 @@ def supply_counts(
         deltas.where(F.col("user_site").isNotNull()), ["user_site"], "at", outputs, split=split
     )
 
-    spots = located.select("county", *JOB_AT, "job_created_at").distinct()
+    spots = located.groupBy("county", *JOB_AT, "job_created_at").agg(F.min("job_id").alias("spot"))
     county_wide = asof_join(
         spots, by_county, "county", "job_created_at", "at",
         {"eligible": "eligible_users", "active": "active_users_7_days"},
         split=split, left_rows=located, right_rows=deltas,
     )
-    job_sites = located.groupBy("county", *JOB_AT).agg(F.min("job_id").alias("job_site"))
-    pairs = near_sites(job_sites, user_sites, JOB_AT, USER_AT, max(radii), by=["county"])
-    met = spots.join(pairs.select("county", *JOB_AT, "job_site", "user_site", "distance_miles"), ["county", *JOB_AT])
-    met = met.select("job_site", "job_created_at", "user_site", "distance_miles")
+    met = near_sites(spots, user_sites, JOB_AT, USER_AT, max(radii), by=["county"]).select(
+        "spot", "job_created_at", "user_site", "distance_miles"
+    )
     if split is not None:
         met = stage(met)  # counted per site and then looked up: the pairs are formed once
     seen = asof_join(
@@ -376,13 +375,8 @@ def supply_counts(
         for state in ("eligible", "active")
         for r in radii
     ]
-    nearby = seen.groupBy("job_site", "job_created_at").agg(*within)
-    return (
-        county_wide.join(job_sites, ["county", *JOB_AT], "left")
-        .join(nearby, ["job_site", "job_created_at"], "left")
-        .fillna(0, count_names(radii))
-        .drop("job_site")
-    )
+    nearby = seen.groupBy("spot").agg(*within)
+    return county_wide.join(nearby, "spot", "left").fillna(0, count_names(radii)).drop("spot")
 
 
 def attach_supply(jobs: DataFrame, supply: DataFrame, radii: Sequence[float]) -> DataFrame:
