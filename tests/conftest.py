@@ -12,15 +12,15 @@ sys.path.insert(0, str(pathlib.Path(__file__).resolve().parent.parent))
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from tidemark.session import configure
+
+    shared = str(tmp_path_factory.mktemp("shared"))
     session = (
-        SparkSession.builder.master("local[4]")
-        .appName("tests")
+        configure(SparkSession.builder.master("local[4]").appName("tests"), shared)
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
