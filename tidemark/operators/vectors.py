@@ -136,9 +136,14 @@ def _accumulate(groups: int, exclusive: bool):
 
 
 def _stream(df: DataFrame, kept: list[str], order: list[str], exclusive: bool, groups: int) -> DataFrame:
-    """Bring each group together in order and run the accumulation over the stream."""
+    """Bring each group together in order and run the accumulation over the stream.
+
+    The number of partitions is stated, since a vector is some thirty times its input and partitions
+    merged by the size of the input would come out far too large.
+    """
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("vector", T.ArrayType(T.IntegerType()))])
-    placed = df.repartition(*kept[:groups]).sortWithinPartitions(*order)
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(partitions, *kept[:groups]).sortWithinPartitions(*order)
     return placed.select(*kept, "__first", "__hours", "__ready").mapInArrow(
         _accumulate(groups, exclusive), schema
     )
