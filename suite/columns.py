@@ -103,7 +103,7 @@ def f_temporal_filter(d: Data) -> DataFrame:
 @query(
     "f_compound_filter",
     """SELECT id, user_id, rating FROM {ratings}
-       WHERE NOT (contains(lower(reason), 'not the right fit') AND rating = 3)
+       WHERE CASE WHEN rating = 3 THEN lower(reason) NOT LIKE '%not the right fit%' ELSE TRUE END
          AND (reason IS NULL OR rating < coalesce(length(reason), 2))""",
 )
 def f_compound_filter(d: Data) -> DataFrame:
@@ -114,10 +114,8 @@ def f_compound_filter(d: Data) -> DataFrame:
 
 @query(
     "f_case_bucket",
-    """SELECT job_id, CASE
-         WHEN contains(lower(schedule_name), '1st') OR contains(lower(schedule_name), 'first') THEN '1st shift'
-         WHEN contains(lower(schedule_name), '2nd') OR contains(lower(schedule_name), 'second') THEN '2nd shift'
-         WHEN contains(lower(schedule_name), 'mon - fri') THEN 'mon-fri' ELSE 'other' END AS bucket,
+    """SELECT job_id, coalesce(list_extract(list_filter(['1st shift', '2nd shift', 'mon-fri'], lambda b: regexp_matches(lower(schedule_name),
+         CASE b WHEN '1st shift' THEN '1st|first' WHEN '2nd shift' THEN '2nd|second' ELSE 'mon - fri' END)), 1), 'other') AS bucket,
        CASE WHEN job_wage < 100000 THEN 'low' WHEN job_wage < 300000 THEN 'mid' ELSE 'high' END AS band
        FROM {market_jobs}""",
 )

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         configure(SparkSession.builder.master("local[4]").appName("tests"), shared)
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

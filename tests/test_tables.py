@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.sources.catalog import Tables
 from tidemark.sources.staging import stage, work_dir
 from tidemark.sources.tables import (
     FeatureTable,
@@ -86,3 +87,16 @@ def test_staging_uses_the_shared_folder_and_cuts_lineage(spark, frame):
 def test_read_query_by_format(spark, frame, tmp_path):
     frame("k int", (5,)).write.json(str(tmp_path / "j"))
     assert rows(read_query(spark, "json", {"path": str(tmp_path / "j")})) == [(5,)]
+
+
+def test_tables_by_folder_and_by_catalog_name(spark, frame, tmp_path):
+    tables = Tables(spark, {"a": str(tmp_path / "a"), "b": "default.tidemark_b"})
+    for name in ("a", "b"):
+        tables.write(frame("k int", (1,)), name, "overwrite")
+        tables.write(frame("k int", (2,)), name, "append")
+        assert rows(tables.read(name), "k") == [(1,), (2,)]
+    spark.sql("DROP TABLE default.tidemark_b")
+    with pytest.raises(KeyError, match="no location"):
+        tables.read("c")
+    with pytest.raises(ValueError):
+        tables.write(frame("k int", (1,)), "b", "merge")
