@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import shift_hours, start_slot
 from tidemark.operators.dedupe import most_frequent
 from tidemark.operators.history import change_points
-from tidemark.operators.radius import near_sites
+from tidemark.operators.radius import near_places
 from tidemark.operators.vectors import vector_total
 from tidemark.plans.jobs import next_hour
 
@@ -53,27 +53,32 @@ _RADII = (100, 250, 500, 1000)
        FROM s LEFT JOIN m ON m.s_suppkey = s.s_suppkey GROUP BY 1""",
 )
 def a_radius_counts(d: Data) -> DataFrame:
-    """One row per pair of near sites, then conditional sums: no multi-distinct expansion."""
+    """Near places are met once and their users summed, so nothing is counted by several distincts."""
     users = d.customer.select(
         F.col("c_nationkey").alias("nation"),
+        F.col("c_custkey").alias("user_id"),
         (25 + (F.col("c_custkey") * 7919 % 2400) / 100.0).alias("ulat"),
         (-120 + (F.col("c_custkey") * 104729 % 5000) / 100.0).alias("ulon"),
         (F.col("c_acctbal") > 0).cast("int").alias("good"),
     )
-    sites = users.groupBy("nation", "ulat", "ulon").agg(F.count(F.lit(1)).alias("every"), F.sum("good").alias("good"))
+    sites = users.groupBy("nation", "ulat", "ulon").agg(
+        F.min("user_id").alias("site"), F.count(F.lit(1)).alias("every"), F.sum("good").alias("good")
+    )
     jobs = d.supplier.select(
         F.col("s_suppkey").alias("job_id"),
         F.col("s_nationkey").alias("nation"),
         (25 + (F.col("s_suppkey") * 7919 % 2400) / 100.0).alias("jlat"),
         (-120 + (F.col("s_suppkey") * 104729 % 5000) / 100.0).alias("jlon"),
     )
-    spots = jobs.select("nation", "jlat", "jlon").distinct()
-    pairs = near_sites(spots, sites, ("jlat", "jlon"), ("ulat", "ulon"), max(_RADII), by=["nation"])
-    counted = pairs.groupBy("nation", "jlat", "jlon").agg(
-        *[F.sum(F.when(F.col("distance_miles") <= r, F.col(c))).alias(f"{n}_{r}_mile")
+    places = near_places(jobs, sites, ("jlat", "jlon"), ("ulat", "ulon"), "site", _RADII, by=["nation"])
+    weights = places.members.join(sites, "site").groupBy("level", "place").agg(
+        F.sum("every").alias("every"), F.sum("good").alias("good")
+    )
+    counted = places.near.join(weights, ["level", "place"]).groupBy("job_id").agg(
+        *[F.sum(F.when(F.col("reach") <= r, F.col(c))).alias(f"{n}_{r}_mile")
           for c, n in (("every", "all"), ("good", "good")) for r in _RADII]
     )
-    return jobs.join(counted, ["nation", "jlat", "jlon"], "left").drop("nation", "jlat", "jlon").fillna(0)
+    return jobs.select("job_id").join(counted, "job_id", "left").fillna(0)
 
 
 @query(

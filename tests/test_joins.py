@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.asof import asof_join, key_lookup
 from tidemark.operators.hot import Split
 from tidemark.operators.intervals import interval_join, lookback_days, valid_at
-from tidemark.operators.radius import near_sites
+from tidemark.operators.radius import near_places
 from tidemark.operators.spine import entity_days, hour_grid
 
 from conftest import plan, rows, ts
@@ -112,9 +113,39 @@ def test_hour_grid_length(spark):
     assert hour_grid(spark, "2020-01-01 00:00:00", "2026-01-01 00:00:00").count() == 52_609
 
 
-def test_near_sites_at_the_pole_and_the_date_line(frame):
+def test_near_places_at_the_pole_and_the_date_line(frame):
     left = frame("i int, a double, b double", (1, 89.95, 10.0), (2, 0.0, 179.95), (3, 40.0, -100.0), (4, None, 1.0))
     right = frame("j int, x double, y double", (1, 89.95, -170.0), (2, 0.0, -179.95), (3, 40.1, -100.0), (4, 50.0, -100.0))
-    got = near_sites(left, right, ("a", "b"), ("x", "y"), 15.0)
-    assert rows(got.select("i", "j"), "i") == [(1, 1), (2, 2), (3, 3)]
+    got = near_places(left, right, ("a", "b"), ("x", "y"), "j", [5, 15]).near
+    assert rows(got.select("i", "place", "reach"), "i") == [(1, 1, 15.0), (2, 2, 15.0), (3, 3, 15.0)]
     assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
+
+
+@pytest.mark.parametrize("crowd", [20, 10**6])
+def test_near_places_cover_each_near_site_once(spark, crowd):
+    """A dense town: whole cubes stand for their sites, and every site is reached exactly once."""
+    dice = random.Random(9)
+    sites = [(j, 40 + dice.gauss(0, 0.05), -100 + dice.gauss(0, 0.05)) for j in range(400)]
+    points = [(i, 40 + dice.uniform(-0.3, 0.3), -100 + dice.uniform(-0.3, 0.3)) for i in range(25)]
+    radii = [1, 5, 10, 15]
+    left = spark.createDataFrame(points, "i int, a double, b double")
+    right = spark.createDataFrame(sites, "j int, x double, y double")
+    places = near_places(left, right, ("a", "b"), ("x", "y"), "j", radii, crowd=crowd, depth=4)
+    near, members = places.near.cache(), places.members
+    if crowd < 100:
+        assert near.where("level >= 0").count() > 0
+        assert near.count() < near.join(members, ["level", "place"]).count()
+    got = sorted(rows(near.join(members, ["level", "place"]).select("i", "site", "reach")))
+
+    def miles(a, b, c, d):
+        a, b, c, d = map(math.radians, (a, b, c, d))
+        h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
+        return 2 * 3959 * math.asin(math.sqrt(h))
+
+    truth = []
+    for i, a, b in points:
+        for j, x, y in sites:
+            fits = [float(r) for r in radii if miles(a, b, x, y) <= r]
+            if fits:
+                truth.append((i, j, fits[0]))
+    assert got == sorted(truth)

@@ -199,9 +199,9 @@ def test_market_against_pairing_with_hot_counties(spark, frame):
     users_df = jobs_module_users(spark, users, zips)
     status_df = spark.createDataFrame(status, "user_id int, user_status_enum int, start_date timestamp_ntz, end_date timestamp_ntz")
     log_df = spark.createDataFrame(log, "internal_id int, original_timestamp timestamp_ntz")
-    for split in (Split(5, "day"), None):
+    for split, crowd in ((Split(5, "day"), 5), (None, 256)):
         changes = jobs.presence_changes(status_df, jobs.activity_days([log_df]), split=split)
-        supply = jobs.supply_counts(jobs_df, users_df, changes, (1, 5, 10), split=split)
+        supply = jobs.supply_counts(jobs_df, users_df, changes, (1, 5, 10), split=split, crowd=crowd)
         got = jobs.attach_supply(jobs_df, supply, (1, 5, 10)).collect()
         assert len(got) == len(job)
         for r in got:

@@ -1,60 +1,172 @@
-"""Which sites lie within a distance of which others."""
+"""Which sites lie within given distances of a point, without pairing dense neighbourhoods.
+
+Points and sites are put on the unit sphere and into cubes as wide as the largest distance. A chord
+is never longer than its arc, so a partner is in the same or a neighbouring cube: an equi join on
+the cube, exact at the poles and the date line too.
+
+A crowded cube is halved along each axis, and its parts again, as long as they are crowded. A point
+that has a whole cube inside or outside all of its circles takes the cube as one place and compares
+none of its sites; only cubes cut by a circle are opened. So a town that holds a third of all sites
+costs a point the cubes along its circles.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_MILES, haversine_miles
+from ..sources.staging import stage
+
+# Sites a point may be compared with one by one in a cube; and how often cubes are halved at most.
+CROWD = 256
+DEPTH = 12
+SITE = -1  # level of a place that is a single site
 
 CUBE = ("__i", "__j", "__k")
+SLACK = 1e-9
+
+
+@dataclass(frozen=True)
+class NearPlaces:
+    """``near``: point columns, level, place and ``reach``, the smallest distance that covers the place.
+    ``members``: site, level and place, for every place a site belongs to.
+    """
+
+    near: DataFrame
+    members: DataFrame
 
 
-def _on_sphere(df: DataFrame, at: tuple[str, str], side: str, edge: float) -> DataFrame:
-    """Add the unit vector of each located row and the cube of width ``edge`` it falls into."""
+def _on_sphere(df: DataFrame, at: tuple[str, str], side: str) -> DataFrame:
     known = df.where(F.col(at[0]).isNotNull() & F.col(at[1]).isNotNull())
     phi, lam = F.radians(F.col(at[0])), F.radians(F.col(at[1]))
     axes: tuple[Column, ...] = (F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi))
-    placed = known.withColumns({f"__{side}{n}": axis for n, axis in enumerate(axes)})
-    return placed.withColumns({c: F.floor(F.col(f"__{side}{n}") / edge).cast("int") for n, c in enumerate(CUBE)})
+    return known.withColumns({f"__{side}{n}": axis for n, axis in enumerate(axes)})
+
+
+def _cube(side: str, edge: float) -> dict[str, Column]:
+    return {c: F.floor(F.col(f"__{side}{n}") / edge).cast("int") for n, c in enumerate(CUBE)}
+
 
+def _squared(steps: Sequence[Column]) -> Column:
+    return steps[0] * steps[0] + steps[1] * steps[1] + steps[2] * steps[2]
 
-def near_sites(
-    left: DataFrame,
-    right: DataFrame,
-    left_at: tuple[str, str],
-    right_at: tuple[str, str],
-    within: float,
+
+def _smallest(radii: Sequence[float], covers) -> Column:
+    """The smallest radius for which ``covers`` holds, NULL if none does."""
+    chosen = None
+    for r in sorted(radii):
+        chosen = F.when(covers(r), float(r)) if chosen is None else chosen.when(covers(r), float(r))
+    return chosen
+
+
+def near_places(
+    points: DataFrame,
+    sites: DataFrame,
+    point_at: tuple[str, str],
+    site_at: tuple[str, str],
+    site: str,
+    radii: Sequence[float],
     *,
     by: Sequence[str] = (),
     radius: float = EARTH_RADIUS_MILES,
-) -> DataFrame:
-    """Pairs of sites at most ``within`` miles apart, with their distance in ``distance_miles``.
-
-    Points are put on the unit sphere and into cubes as wide as the distance. A chord is never
-    longer than its arc, so a partner is in the same or a neighbouring cube: an equi join on the
-    cube, exact at the poles and the date line too, and only near candidates are ever compared.
-    The chord sorts out most of them before the distance is computed. The right side is repeated
-    for the 27 cubes around it, so pass the smaller one there, as distinct sites.
+    crowd: int = CROWD,
+    depth: int = DEPTH,
+) -> NearPlaces:
+    """Places within each of ``radii`` miles of the points, single sites or whole cubes of sites.
+
+    ``sites`` has one row per site, numbered by ``site``; ``by`` are columns both sides must agree
+    on. Every site within a distance belongs to exactly one place near the point.
     """
-    slack = 1 + 1e-6
-    edge = within / radius * slack
-    angle = min(within / radius, math.pi)
-    longest = (2 * math.sin(angle / 2) * slack) ** 2
-    targets = _on_sphere(right, right_at, "r", edge)
-    probes = _on_sphere(left, left_at, "l", edge)
-    for axis in CUBE:
-        targets = targets.withColumn(axis, F.explode(F.sequence(F.col(axis) - 1, F.col(axis) + 1)))
-    steps = [F.col(f"__l{n}") - F.col(f"__r{n}") for n in range(3)]
-    chord = steps[0] * steps[0] + steps[1] * steps[1] + steps[2] * steps[2]
-    kept = [*by, *[c for c in left.columns if c not in by], *[c for c in right.columns if c not in by]]
-    distance = haversine_miles(F.col(left_at[0]), F.col(left_at[1]), F.col(right_at[0]), F.col(right_at[1]), radius)
-    return (
-        probes.join(targets, [*by, *CUBE])
-        .where(chord <= longest)
-        .select(*kept, distance.alias("distance_miles"))
-        .where(F.col("distance_miles") <= within)
-    )
+    widest = max(radii)
+    edge = widest / radius * (1 + 1e-6)
+    by = list(by)
+    own = list(points.columns)
+    probes = _on_sphere(points, point_at, "p")
+    vectors = _on_sphere(sites.select(*by, F.col(site).alias("__site"), *site_at), site_at, "s")
+
+    def chord(r: float) -> float:
+        return 2 * math.sin(min(r / radius, math.pi) / 2)
+
+    def nodes(level: int) -> DataFrame:
+        cubes = vectors.withColumns(_cube("s", edge / 2**level))
+        return cubes.groupBy(*by, *CUBE).agg(F.count(F.lit(1)).alias("__n"), F.min("__site").alias("__place"))
+
+    def compared(joined: DataFrame) -> DataFrame:
+        """Points next to sites, one by one: the chord sorts out most before the distance is computed."""
+        gap = _squared([F.col(f"__p{n}") - F.col(f"__s{n}") for n in range(3)])
+        miles = haversine_miles(
+            F.col(f"__pt.{point_at[0]}"), F.col(f"__pt.{point_at[1]}"), F.col(site_at[0]), F.col(site_at[1]), radius
+        )
+        reach = _smallest(radii, lambda r: F.col("__miles") <= r)
+        return (
+            joined.where(gap <= (chord(widest) * (1 + 1e-6)) ** 2)
+            .select("__pt", F.lit(SITE).alias("level"), F.col("__site").alias("place"), miles.alias("__miles"))
+            # filtered by the distance and not by the reach, which would repeat it for every radius
+            .where(F.col("__miles") <= widest)
+            .select("__pt", "level", "place", reach.alias("reach"))
+        )
+
+    # how deep the crowded cubes go: one small count per level, none but the first in most places
+    deepest = 0
+    while deepest < depth and nodes(deepest).where(F.col("__n") > crowd).first() is not None:
+        deepest += 1
+
+    axes = [f"__p{n}" for n in range(3)]
+    started = probes.select(*by, F.struct(*own).alias("__pt"), *axes, *[c.alias(n) for n, c in _cube("p", edge).items()])
+    alone = vectors.select(F.col("__site").alias("site"), F.lit(SITE).alias("level"), F.col("__site").alias("place"))
+    around = vectors.withColumns(_cube("s", edge)) if deepest == 0 else nodes(0)
+    for axis in CUBE:  # the smaller side is repeated for the 27 cubes around it
+        around = around.withColumn(f"_{axis}", F.col(axis)).withColumn(
+            axis, F.explode(F.sequence(F.col(axis) - 1, F.col(axis) + 1))
+        )
+    met = started.join(around, [*by, *CUBE])
+    if deepest == 0:
+        return NearPlaces(compared(met).select("__pt.*", "level", "place", "reach"), alone)
+
+    members = alone
+    emitted = []
+    frontier = met.withColumns({c: F.col(f"_{c}") for c in CUBE}).drop(*[f"_{c}" for c in CUBE])
+    for level in range(deepest + 1):
+        width = edge / 2**level
+        cubes = vectors.withColumns(_cube("s", width))
+        members = members.unionByName(
+            cubes.join(nodes(level), [*by, *CUBE]).select(
+                F.col("__site").alias("site"), F.lit(level).alias("level"), F.col("__place").alias("place")
+            )
+        )
+        middle = F.sqrt(_squared([F.col(f"__p{n}") - (F.col(c) + 0.5) * width for n, c in enumerate(CUBE)]))
+        half = width * math.sqrt(3) / 2
+        cut = None
+        for r in radii:
+            crossed = (middle - half <= chord(r) + SLACK) & (middle + half >= chord(r) - SLACK)
+            cut = crossed if cut is None else cut | crossed
+        frontier = stage(
+            frontier.withColumn("__cut", cut)
+            .withColumn("__reach", _smallest(radii, lambda r: middle + half < chord(r)))
+            .where(F.col("__cut") | F.col("__reach").isNotNull())
+        )
+        emitted.append(
+            frontier.where(~F.col("__cut")).select(
+                "__pt", F.lit(level).alias("level"), F.col("__place").alias("place"), F.col("__reach").alias("reach")
+            )
+        )
+        last = level == deepest
+        small = F.lit(True) if last else F.col("__n") <= crowd
+        leaves = frontier.where(F.col("__cut") & small).select("__pt", *by, *axes, *CUBE)
+        emitted.append(compared(leaves.join(cubes, [*by, *CUBE])))
+        if not last:
+            parents = {f"__up{c}": F.shiftright(F.col(c), 1) for c in CUBE}
+            parts = nodes(level + 1).withColumns(parents)
+            opened = frontier.where(F.col("__cut") & ~small).select(
+                "__pt", *by, *axes, *[F.col(c).alias(f"__up{c}") for c in CUBE]
+            )
+            frontier = opened.join(parts, [*by, *parents]).drop(*parents)
+    near = emitted[0]
+    for more in emitted[1:]:
+        near = near.unionByName(more)
+    return NearPlaces(near.select("__pt.*", "level", "place", "reach"), members)

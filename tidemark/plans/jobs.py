@@ -11,7 +11,7 @@ from ..functions import complete_units, percent_delta, ratio
 from ..operators.asof import asof_join
 from ..operators.history import change_log_to_history, change_points, in_force_counts
 from ..operators.hot import SPLIT, Split
-from ..operators.radius import near_sites
+from ..operators.radius import CROWD, near_places
 from ..operators.running import run_sum, running
 from ..sources.staging import stage
 
@@ -326,7 +326,7 @@ def count_names(radii: Sequence[float]) -> list[str]:
 
 def supply_counts(
     located: DataFrame, users: DataFrame, changes: DataFrame, radii: Sequence[float] = RADII_MILES,
-    *, split: Split | None = SPLIT,
+    *, split: Split | None = SPLIT, crowd: int = CROWD,
 ) -> DataFrame:
     """Eligible and active users of a job's county at its creation, in all and within each radius.
 
@@ -334,8 +334,8 @@ def supply_counts(
     user_id, county, user_address_latitude / _longitude. ``changes``: see ``presence_changes``.
     One row per county, job site and instant of creation.
 
-    Counts in force are running sums per county and per user site, looked up as of the creation.
-    Jobs meet user sites, not users, and only those near them.
+    Counts in force are running sums per county and per place, looked up as of the creation. A place
+    is a user site near the job or a whole cube of sites inside a circle (see ``near_places``).
     """
     # the jobs are needed for their instants, their sites and their counts: located once
     located = stage(located.select("job_id", "county", *JOB_AT, "job_created_at"))
@@ -352,26 +352,25 @@ def supply_counts(
     deltas = stage(deltas)  # the base of two histories
     outputs = {"eligible": "d_eligible", "active": "d_active"}
     by_county = in_force_counts(deltas, ["county"], "at", outputs, split=split)
-    by_site = in_force_counts(
-        deltas.where(F.col("user_site").isNotNull()), ["user_site"], "at", outputs, split=split
-    )
-
     spots = located.groupBy("county", *JOB_AT, "job_created_at").agg(F.min("job_id").alias("spot"))
     county_wide = asof_join(
         spots, by_county, "county", "job_created_at", "at",
         {"eligible": "eligible_users", "active": "active_users_7_days"},
         split=split, left_rows=located, right_rows=deltas,
     )
-    met = near_sites(spots, user_sites, JOB_AT, USER_AT, max(radii), by=["county"]).select(
-        "spot", "job_created_at", "user_site", "distance_miles"
+    places = near_places(spots, user_sites, JOB_AT, USER_AT, "user_site", radii, by=["county"], crowd=crowd)
+    place = ["level", "place"]
+    # counted per place and then looked up: the pairs are formed once
+    met = stage(places.near.select("spot", "job_created_at", *place, "reach"))
+    at_places = deltas.join(places.members.withColumnRenamed("site", "user_site"), "user_site").select(
+        *place, "at", *outputs.values()
     )
-    if split is not None:
-        met = stage(met)  # counted per site and then looked up: the pairs are formed once
+    by_place = in_force_counts(at_places, place, "at", outputs, split=split)
     seen = asof_join(
-        met, by_site, "user_site", "job_created_at", "at", ["eligible", "active"], split=split, right_rows=deltas
+        met, by_place, place, "job_created_at", "at", ["eligible", "active"], split=split, right_rows=at_places
     )
     within = [
-        F.sum(F.when(F.col("distance_miles") <= r, F.col(state))).alias(f"{state}_cms_{r}_mile")
+        F.sum(F.when(F.col("reach") <= r, F.col(state))).alias(f"{state}_cms_{r}_mile")
         for state in ("eligible", "active")
         for r in radii
     ]
