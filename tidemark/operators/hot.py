@@ -79,6 +79,13 @@ def find_hot_keys(sources: Sequence[DataFrame], keys: Sequence[str], hot_rows: i
     return hot.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
+def if_hot(split: Split | None, sources: Sequence[DataFrame], keys: Sequence[str]) -> Split | None:
+    """The split if some key needs it, else None: one count for several operators on the same keys."""
+    if split is None or find_hot_keys(sources, keys, split.hot_rows) is None:
+        return None
+    return split
+
+
 def cut_hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, split: Split, sources: Sequence[DataFrame]
 ) -> DataFrame | None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import complete_units, percent_delta, ratio
 from ..operators.asof import asof_join
 from ..operators.history import change_log_to_history, change_points, in_force_counts
-from ..operators.hot import SPLIT, Split
+from ..operators.hot import SPLIT, Split, if_hot
 from ..operators.radius import CROWD, near_places
 from ..operators.running import run_sum, running
 from ..sources.staging import stage
@@ -351,12 +351,13 @@ def supply_counts(
     )
     deltas = stage(deltas)  # the base of two histories
     outputs = {"eligible": "d_eligible", "active": "d_active"}
-    by_county = in_force_counts(deltas, ["county"], "at", outputs, split=split)
+    county_split = if_hot(split, [located, deltas], ["county"])
+    by_county = in_force_counts(deltas, ["county"], "at", outputs, split=county_split)
     spots = located.groupBy("county", *JOB_AT, "job_created_at").agg(F.min("job_id").alias("spot"))
     county_wide = asof_join(
         spots, by_county, "county", "job_created_at", "at",
         {"eligible": "eligible_users", "active": "active_users_7_days"},
-        split=split, left_rows=located, right_rows=deltas,
+        split=county_split, left_rows=located, right_rows=deltas,
     )
     places = near_places(spots, user_sites, JOB_AT, USER_AT, "user_site", radii, by=["county"], crowd=crowd)
     place = ["level", "place"]
@@ -365,9 +366,10 @@ def supply_counts(
     at_places = deltas.join(places.members.withColumnRenamed("site", "user_site"), "user_site").select(
         *place, "at", *outputs.values()
     )
-    by_place = in_force_counts(at_places, place, "at", outputs, split=split)
+    place_split = if_hot(split, [met, at_places], place)
+    by_place = in_force_counts(at_places, place, "at", outputs, split=place_split)
     seen = asof_join(
-        met, by_place, place, "job_created_at", "at", ["eligible", "active"], split=split, right_rows=at_places
+        met, by_place, place, "job_created_at", "at", ["eligible", "active"], split=place_split, right_rows=at_places
     )
     within = [
         F.sum(F.when(F.col("reach") <= r, F.col(state))).alias(f"{state}_cms_{r}_mile")
