@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact, sharding
+import public_tokenizers
+from tidemark.llm import chat, exact, mixing, packing, sharding
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,90 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op2_mixing",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+    ), sized AS (
+        SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS nth
+        FROM docs GROUP BY source
+    ), weighed AS (
+        SELECT *, [3.0, 1.0, 2.0][(nth - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS full_size FROM sized
+    ), levels AS (
+        -- for each source: the level at which it and all that are harder to fill share what is left
+        SELECT a.source, a.full_size / a.weight AS ratio,
+               (1.5::DOUBLE * (SELECT sum(source_size) FROM weighed)
+                - coalesce(sum(b.full_size) FILTER (b.full_size / b.weight < a.full_size / a.weight), 0))
+               / sum(b.weight) FILTER (b.full_size / b.weight >= a.full_size / a.weight) AS level
+        FROM weighed a, weighed b GROUP BY a.source, a.full_size, a.weight
+    ), target AS (
+        SELECT source, source_size, least(full_size, weight * (
+                   SELECT arg_min(level, ratio) FROM levels WHERE level <= ratio)) AS target,
+               (('0x' || substr(md5(coalesce('11:=' || source, '11:')), 1, 3))::INTEGER + 0.5::DOUBLE) / 4096 AS start
+        FROM weighed
+    ), placed AS (
+        SELECT doc_id, size, source_size, target, start, target / source_size AS rate,
+               row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS nth
+        FROM docs d JOIN target t ON d.source IS NOT DISTINCT FROM t.source
+    )
+    SELECT doc_id, size::BIGINT AS size, source_size, target,
+           (floor(start + rate * nth) - floor(start + rate * (nth - 1)))::BIGINT * size AS taken FROM placed
+    """,
+)
+def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents"))
+    return planned.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+HARD_CHAT = "<|im_end|><|im_start|>assistant ok"
+
+
+@query(
+    "op3_chat_format",
+    r"""
+    WITH turns AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+        UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1
+               + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')))::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id
+    """,
+)
+def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(HARD_CHAT).alias("text"),
+    )
+    chats = chat.format_chats(table(spark, sf_dir, "conversations").select(*hard.columns).unionByName(hard))
+    back = chats.withColumns({"turns": chat.read_turns(F.col("formatted")), "loss": chat.read_loss(F.col("segments"))})
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query("op4_packing")
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
 @query(
     "op7_exact_dedup",
     """
