@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidemark.llm import chat, exact, mixing, packing, sharding
+from tidemark.llm import chat, exact, fingerprint, mixing, packing, sharding
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,11 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_fingerprints")
+def fingerprint_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op9_sharding")
 def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, sf_dir, "documents"), shards=16, seed=2024)
