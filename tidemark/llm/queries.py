@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidemark.llm import chat, exact, fingerprint, mixing, packing, sharding
+from tidemark.llm import chat, exact, fingerprint, language, mixing, packing, quality, sharding
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_quality")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(quality.remainder("doc_id", 4) == 2, F.lit(False))
+    ranking = quality.train(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.score_column(F.col("text"), ranking).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= quality.ACCEPT).cast("int"))
+
+
 @query(
     "op2_mixing",
     r"""
@@ -142,3 +151,12 @@ def sharding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"),
         "row_number",
     )
+
+
+@query("op10_language_model")
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(quality.remainder("doc_id", 7) == 2, F.lit(False))
+    model, counts = language.train(docs.filter(~held_out).select("text"))
+    scored = language.score_texts(docs, model, counts).withColumnRenamed("id", "doc_id")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
