@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidemark.llm import chat, exact, fingerprint, language, mixing, packing, quality, sharding
+from tidemark.llm import chat, exact, fingerprint, jaccard, language, mixing, packing, quality, sharding
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,12 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.withColumnRenamed("id", "doc_id")
 
 
+@query("op5_ngram_jaccard")
+def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard.jaccard_groups(table(spark, sf_dir, "documents"))
+    return groups.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 @query(
     "op7_exact_dedup",
     """
