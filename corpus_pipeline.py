@@ -2,20 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact
+from tidemark.llm import exact, jaccard, mixing, packing, quality
 from tidemark.llm.common import table
 from tidemark.sources.staging import stage
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranking accepts; it is fitted on the labelled ones among ``docs``."""
+    return quality.accepted(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     return exact.drop_copies(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a five-word Jaccard similarity of 0.8 the one with the least id stays."""
+    return jaccard.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, placed in sequences of 2048 tokens."""
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed.withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
-    ("exact dedup", exact_dedup),
+    ("quality", keep_quality),
+    ("exact dedup", drop_exact_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 # training, similarity search and packing have no SQL form; tests hold the stages against brute force
@@ -25,6 +51,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; between two of them the rows are written and read back."""
     docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES[:-1]:
+    for _, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

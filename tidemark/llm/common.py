@@ -18,6 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage_lean(df: DataFrame) -> DataFrame:
+    """``stage``, after which the shuffle files of the job are removed: what is written is all that is
+    read again. Keeps the disk of a long chain of shuffles at that of its largest step."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        return stage(df)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def packed(df: DataFrame) -> Column:
     """All columns as one struct, so that working columns clash with none of them."""
     return F.struct(*(F.col(f"`{name}`") for name in df.columns))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidemark.llm import chat, exact, fingerprint, jaccard, language, mixing, packing, quality, sharding
+from tidemark.llm import chat, exact, fingerprint, jaccard, language, mixing, packing, quality, repeats, sharding
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,6 +124,19 @@ def jaccard_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
+@query("op6_suffix_dedup")
+def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    length = lambda spans: F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        length(F.col("removed")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        "kept_sha256",
+    )
+
+
 @query(
     "op7_exact_dedup",
     """
