@@ -78,7 +78,7 @@ def with_next(rows: DataFrame, carried: list[str], key: str = "id") -> DataFrame
     cuts = sorted(set(rows.agg(quantiles).first()[0] or []))
     pieces = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<bigint>")
     # piece p holds the keys in (cuts[p-1], cuts[p]]; its first row in descending order has key cuts[p]
-    piece = F.coalesce(_index_of(F.col(key), cuts), F.lit(0))
+    piece = F.when(F.col(key).isNull(), F.lit(0)).otherwise(_index_of(F.col(key), cuts))
     head = F.array_contains(pieces, F.col(key)) if cuts else F.lit(False)
     before = F.pmod(piece + 1, F.lit(max(1, len(cuts))))
     stays, visits = F.struct(piece.alias("piece"), F.lit(0).alias("guest")), F.struct(before.alias("piece"), F.lit(1).alias("guest"))

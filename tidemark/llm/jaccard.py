@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, text_bytes
+from tidemark.llm.common import WordHashes, packed, text_bytes, unpack
 from tidemark.llm.components import components
 from tidemark.sources.staging import stage
 
@@ -441,10 +441,8 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     """Rows of ``df``, one of each group of linked documents: the one with the least id. Of rows that
     repeat id and text one stays, no matter which."""
     groups = stage(jaccard_groups(df, id_col, text_col, threshold))
-    kept = groups.filter("kept").select(F.col("id").alias("__id"), F.col("hash").alias("__hash"))
-    again = not kept.groupBy("__id", "__hash").count().filter("count > 1").isEmpty()
-    hashed = df.withColumns({"__own_hash": F.xxhash64(F.col(f"`{text_col}`"))})
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__hash"))
-    out = hashed.join(kept.distinct() if again else kept, same)
-    out = out.dropDuplicates(["__id", "__own_hash"]) if again else out
-    return out.select(*(F.col(f"`{name}`") for name in df.columns))
+    kept = groups.filter("kept").select("id", "hash")
+    again = not kept.groupBy("id", "hash").count().filter("count > 1").isEmpty()
+    rows = df.select(packed(df).alias("row"), F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_hash"))
+    out = rows.join(kept.distinct() if again else kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
+    return unpack(out.dropDuplicates(["id", "hash"]) if again else out, df)

@@ -128,11 +128,11 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def _runs(texts: list[bytes], places: np.ndarray, most: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def _runs(texts: list[bytes], places: np.ndarray, bits: int, most: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """(first, texts) of consecutive documents of one slice, of about ``most`` bytes."""
     begin = size = 0
     for k, text in enumerate(texts):
-        if k > begin and (size + len(text) > most or places[k] >> SLICE_BITS != places[begin] >> SLICE_BITS):
+        if k > begin and (size + len(text) > most or places[k] >> bits != places[begin] >> bits):
             yield begin, texts[begin:k]
             begin, size = k, 0
         size += len(text)
@@ -148,7 +148,7 @@ def sampled(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             places = batch.column(0).to_numpy()
-            for begin, texts in _runs(text_bytes(batch.column(1)), places):
+            for begin, texts in _runs(text_bytes(batch.column(1)), places, SLICE_BITS):
                 s = Scan(texts)
                 first = np.flatnonzero(s.first_of_triple())
                 core, place, off = s.core[first], places[begin + s.text[first]], s.offsets()[first]
