@@ -93,6 +93,7 @@ class Scan:
             least = _sliding(name, reach + 1, np.minimum, 2**64 - 1)
             # strings that cross texts choose nothing
             least[owner[: n - length + 1] != owner[length - 1 :]] = 0
+            self.least = least
             edge = np.zeros(reach, np.uint64)
             at = np.flatnonzero((_sliding(np.r_[edge, least, edge], reach + 1, np.maximum, 0) == name) & ~crosses)
             begin = self.starts[owner[at]]
@@ -141,9 +142,9 @@ def _runs(texts: list[bytes], places: np.ndarray, bits: int, most: int = 1_000_0
 
 
 def sampled(docs: DataFrame) -> DataFrame:
-    """core, triple, place, off: the first of each triple per run of documents. A core with very many
-    triples in one run gives one row with triple and off null instead, and its rows are marked by a null core
-    in ``spread``, see ``judged``."""
+    """core, triple, place, off: the first of each triple per run of documents; ``deal`` says where they
+    meet. Rows of a core with very many triples in a run are ``crowded`` and dealt by triple; a mark with
+    place -1 tells the core's other rows."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,7 +259,7 @@ def contexts(docs: DataFrame, marks: DataFrame) -> DataFrame:
 
     def look(key, own: pa.Table, found: pa.Table) -> pa.Table:
         s = Marked(own, found)
-        n, length, reach = len(s.bytes), s.length, s.length - CORE
+        n, length = len(s.bytes), s.length
         core, left, place, off, context = [], [], [], [], []
         data = s.bytes.tobytes()
         for k in np.flatnonzero(s.kind == OPEN):
@@ -270,12 +271,10 @@ def contexts(docs: DataFrame, marks: DataFrame) -> DataFrame:
         hot = s.kind == OPEN_HOT
         local = [np.zeros(0, np.int64)] * 2
         if hot.any():
-            # strings through a hot core, all of whose cores occurred elsewhere, outside covered triples
-            through = s.spans(s.low[hot], np.minimum(s.at[hot], s.high[hot] - length) + 1, n)
-            new = s.spans(np.maximum(s.at - reach, 0)[s.kind == 0], s.at[s.kind == 0] + 1, n)
+            # strings that sample a hot core, outside covered triples
             same = s.kind == DUPLICATE
             covered = s.spans(s.low[same], s.high[same] - length + 1, n)
-            begin = np.flatnonzero((through > 0) & (new == 0) & (covered == 0))
+            begin = np.flatnonzero(np.isin(s.least, s.core[hot]) & (covered[: len(s.least)] == 0))
             text = np.searchsorted(s.starts, begin, "right") - 1
             one = s.named(begin, length)
             half = length // 2
