@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import safe_divide
 from tidemark.plans import people, training
 from tidemark.sources.staging import stage, work_dir
-from tidemark.sources.tables import FeatureTable, look_back, publish, read_query, upsert, write_table
+from tidemark.sources.tables import FeatureTable, KeyViolation, look_back, publish, read_query, upsert, write_table
 
 from .base import Data, query
 
@@ -73,7 +73,7 @@ def s_upsert(d: Data) -> DataFrame:
     day = F.col("calendar_date")
     old = truth.where(day < F.to_date(F.lit("2024-01-25"))).withColumn("activities", -F.col("activities"))
     write_table(old, path, "error", partition_by=["calendar_date"])
-    updates = stage(truth.where(day >= F.to_date(F.lit("2024-01-20"))), _folder(d, "updates"))
+    updates = truth.where(day >= F.to_date(F.lit("2024-01-20")))
     return upsert(d.spark, path, updates, ["user_id", "calendar_date"], partition_by="calendar_date")
 
 
@@ -88,9 +88,50 @@ def s_lookback_upsert(d: Data) -> DataFrame:
     blank = _daily_activity(look_back(d.events, "ts", "2024-01-31", 60, 1)).select(
         "user_id", "calendar_date", F.lit(0).cast("bigint").alias("activities")
     )
-    write_table(blank, path)
+    write_table(blank, path, partition_by=["calendar_date"])
     recent = _daily_activity(look_back(d.events, "ts", "2024-01-31", 21, 1)).drop("top_value")
-    return upsert(d.spark, path, stage(recent, _folder(d, "recent")), ["user_id", "calendar_date"])
+    return upsert(d.spark, path, recent, ["user_id", "calendar_date"], partition_by="calendar_date")
+
+
+_ORDERS = "SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS price, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS status FROM orders"
+
+
+def _orders(d: Data) -> DataFrame:
+    status = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderstatus")).alias("status")
+    return d.orders.select("o_orderkey", F.floor("o_totalprice").alias("price"), status)
+
+
+@query("s_upsert_null_partition", _ORDERS)
+def s_upsert_null_partition(d: Data) -> DataFrame:
+    """The partition of NULL is read and replaced like any other."""
+    path, truth = _folder(d, "by_status"), _orders(d)
+    late = F.col("o_orderkey") % 3 == 0
+    # the key alone: it decides the partition
+    write_table(truth.withColumn("price", F.when(late, F.lit(0)).otherwise(F.col("price")).cast("bigint")), path, partition_by=["status"])
+    return upsert(d.spark, path, truth.where(late), ["o_orderkey"], partition_by="status")
+
+
+@query("s_upsert_moved_key", _ORDERS)
+def s_upsert_moved_key(d: Data) -> DataFrame:
+    """Keys that arrive with another partition value leave their old one."""
+    path, truth = _folder(d, "moved"), _orders(d)
+    late = F.col("o_orderkey") % 3 == 0
+    write_table(truth.withColumn("status", F.when(late, F.lit("new")).otherwise(F.col("status"))), path, partition_by=["status"])
+    return upsert(d.spark, path, truth.where(late), ["o_orderkey"], partition_by="status")
+
+
+@query("s_publish_append", _ORDERS)
+def s_publish_append(d: Data) -> DataFrame:
+    """Two halves of a table, one after the other; a half that is there already is refused."""
+    path, truth = _folder(d, "appended"), _orders(d)
+    first, second = (FeatureTable("orders", truth.where(F.col("o_orderkey") % 2 == k), ("o_orderkey",)) for k in (0, 1))
+    publish(first, path)
+    published = publish(second, path, "append")
+    try:
+        publish(second, path, "append")
+    except KeyViolation:
+        return published.df
+    raise AssertionError("a repeated key was appended")
 
 
 def _purchases(d: Data) -> FeatureTable:

@@ -100,3 +100,31 @@ def test_tables_by_folder_and_by_catalog_name(spark, frame, tmp_path):
         tables.read("c")
     with pytest.raises(ValueError):
         tables.write(frame("k int", (1,)), "b", "merge")
+
+
+def test_upsert_reads_the_null_partition(spark, frame, tmp_path):
+    path = str(tmp_path / "n")
+    schema = "k string, p string"
+    write_table(frame(schema, ("a", None), ("b", "x")), path, partition_by=["p"])
+    got = upsert(spark, path, frame(schema, ("c", None)), ["k"], partition_by="p")
+    assert rows(got, "k") == [("a", None), ("b", "x"), ("c", None)]
+
+
+def test_upsert_moves_keys_between_partitions(spark, frame, tmp_path):
+    path = str(tmp_path / "v")
+    schema = "k string, p string"
+    write_table(frame(schema, ("a", "x"), ("b", "z")), path, partition_by=["p"])
+    got = upsert(spark, path, frame(schema, ("a", "y")), ["k"], partition_by="p")
+    assert rows(got, "k") == [("a", "y"), ("b", "z")]
+    assert [f.name for f in tmp_path.iterdir()] == ["v"]
+
+
+def test_publish_append_checks_the_table_too(spark, frame, tmp_path):
+    path = str(tmp_path / "a")
+    one, two = (FeatureTable("t", frame("k int, v int", (n, n)), ("k",)) for n in (1, 2))
+    publish(one, path)
+    with pytest.raises(KeyViolation):
+        publish(one, path, "append")
+    assert rows(publish(two, path, "append").df, "k") == [(1, 1), (2, 2)]
+    assert rows(publish(one, path, "ignore").df, "k") == [(1, 1), (2, 2)]
+    assert [f.name for f in tmp_path.iterdir()] == ["a"]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,17 +83,55 @@ def check_keys(df: DataFrame, keys: Sequence[str], name: str = "table") -> None:
         raise KeyViolation(f"{name}: primary key violated by {bad.asDict()}")
 
 
+def _beside(path: str) -> str:
+    """A name of its own for a staged copy, so that two writers never meet in it."""
+    return f"{path.rstrip('/')}__staged-{uuid.uuid4().hex}"
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    """Remove a staged copy; called only after what it was for has been written."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def publish(
     table: FeatureTable, path: str, mode: str = "error", partition_by: Sequence[str] = ()
 ) -> FeatureTable:
     """Write a feature table and answer it as read back; bad keys raise and leave no table behind.
 
-    The rows are computed once, into a staged copy; the checks and the final write read that copy.
+    The rows are computed once, into a staged copy; the checks and the final write read that copy, which
+    is removed in the end. Appended rows must not repeat a key of the table either. ``error`` and
+    ``ignore`` look at the path before anything is computed.
     """
+    if mode not in SAVE_MODES:
+        raise ValueError(f"mode must be one of {SAVE_MODES}, not {mode!r}")
     spark = table.df.sparkSession
-    staged = stage(table.df, f"{path.rstrip('/')}__staged")
-    check_keys(staged, table.primary_keys, table.name)
-    write_table(staged, path, mode, partition_by)
+    current = existing(spark, path)
+    if current is not None and mode == "error":
+        raise FileExistsError(f"{table.name}: a table exists at {path}")
+    if current is None or mode != "ignore":
+        place = _beside(path)
+        staged = stage(table.df, place)
+        try:
+            check_keys(staged, table.primary_keys, table.name)
+            if current is not None and mode == "append":
+                keys = staged.select(*table.primary_keys)
+                known = current.join(keys, list(table.primary_keys), "left_semi").select(*table.primary_keys).first()
+                if known is not None:
+                    raise KeyViolation(f"{table.name}: the table already has {known.asDict()}")
+            write_table(staged, path, mode, partition_by)
+        finally:
+            _drop(spark, place)
     return FeatureTable(
         table.name, spark.read.parquet(path).select(*table.df.columns),
         table.primary_keys, table.timestamp_key, table.description,
@@ -109,25 +149,33 @@ def upsert(
 ) -> DataFrame:
     """Merge updates into the table at ``path`` and read it back.
 
-    With ``partition_by``, a column that a key determines (the day of its timestamp, say), only the
-    partitions the updates touch are read and replaced. The merged rows are staged first, so that
-    nothing is overwritten while it is read and a failed swap can be repeated from the staged copy.
+    With ``partition_by`` only the partitions the updates touch are read and replaced, the NULL one
+    like any other. If the partition column is not one of the keys, an update may move a key to another
+    partition; then the whole table is written, as it is without ``partition_by``. Updates are computed
+    once. The merged rows are staged first, so that nothing is overwritten while it is read; the staged
+    copies are removed after the last write, and stay if that fails. Readers should be kept off while a
+    table without partitions is replaced.
     """
+    places = [_beside(path), _beside(path)]
+    updates = stage(updates, places[0])
     check_keys(updates, keys, "updates")
     current = spark.read.parquet(path)
-    if partition_by is None:
-        merged = stage(upserted(current, updates, keys), f"{path.rstrip('/')}__staged")
-        write_table(merged, path, "overwrite")
-    else:
-        touched = F.broadcast(updates.select(partition_by).distinct())  # at most one row per partition
-        affected = current.join(touched, partition_by, "left_semi").select(*current.columns)
-        merged = stage(upserted(affected, updates, keys), f"{path.rstrip('/')}__staged")
-        (
-            merged.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_by)
-            .parquet(path)
-        )
+    whole = partition_by is None
+    if partition_by is not None and partition_by not in keys:
+        new = updates.select(*keys, F.col(partition_by).alias("__new"))
+        moved = current.select(*keys, partition_by).join(new, list(keys)).where(~F.col(partition_by).eqNullSafe(F.col("__new")))
+        whole = not moved.isEmpty()
+    affected = current
+    if not whole:
+        touched = updates.select(F.col(partition_by).alias("__touched")).distinct()
+        affected = current.join(touched, F.col(partition_by).eqNullSafe(F.col("__touched")), "left_semi")
+    merged = stage(upserted(affected.select(*current.columns), updates, keys), places[1])
+    writer = merged.write.mode("overwrite")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "static" if whole else "dynamic")
+    writer.parquet(path)
+    for place in places:
+        _drop(spark, place)
     return spark.read.parquet(path).select(*current.columns)
 
 
