@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.weekhours import WEEK_HOURS
-from .hot import BLOCK, HOT, SPLIT, Split, as_list, cut_hot_keys
+from ..session import ship
+from .hot import BLOCK, SPLIT, Split, as_list, cut_hot_keys
 
 
 def _week_vectors(groups: int):
@@ -72,6 +73,7 @@ def vector_total(
     )
     schema = T.StructType([counted.schema[k] for k in keys] + [T.StructField(name, T.ArrayType(T.IntegerType()))])
     placed = counted.repartition(*keys).sortWithinPartitions(*keys)
+    ship(placed.sparkSession)
     return placed.mapInArrow(_week_vectors(len(keys)), schema)
 
 
@@ -143,6 +145,7 @@ def _stream(df: DataFrame, kept: list[str], order: list[str], exclusive: bool, g
     """
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField("vector", T.ArrayType(T.IntegerType()))])
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ship(df.sparkSession)
     placed = df.repartition(partitions, *kept[:groups]).sortWithinPartitions(*order)
     return placed.select(*kept, "__first", "__hours", "__ready").mapInArrow(
         _accumulate(groups, exclusive), schema
@@ -173,22 +176,25 @@ def running_vector(
     vector = T.ArrayType(T.IntegerType())
     nothing = F.lit(None)
 
-    tagged = None if split is None else cut_hot_keys(shifts, keys, order, split, sized_by or [shifts])
-    if tagged is None:
-        rows = shifts.withColumn("__ready", nothing.cast(vector))
+    def plain(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("__ready", nothing.cast(vector))
         return _stream(rows, [*keys, order], [*keys, order], False, len(keys)).select(
             *keys, order, F.col("vector").alias(name)
         )
 
-    hot_rows = tagged.where(F.col(HOT))
-    totals = vector_total(hot_rows, [*keys, BLOCK], F.col("__first"), F.col("__hours"), "__ready").select(
+    cut = None if split is None else cut_hot_keys(shifts, keys, order, split, sized_by or [shifts])
+    if cut is None:
+        return plain(shifts)
+
+    totals = vector_total(cut.hot, [*keys, BLOCK], F.col("__first"), F.col("__hours"), "__ready").select(
         "*", nothing.cast("int").alias("__first"), nothing.cast("int").alias("__hours")
     )
     seeds = _stream(totals, [*keys, BLOCK], [*keys, BLOCK], True, len(keys)).withColumnRenamed("vector", "__ready")
 
-    rows = tagged.drop(HOT).withColumn("__ready", nothing.cast(vector))
+    rows = cut.hot.withColumn("__ready", nothing.cast(vector))
     both = rows.unionByName(seeds, allowMissingColumns=True).withColumn("__event", F.col("__ready").isNull())
     ordered = [*keys, BLOCK, "__event", order]
-    return _stream(both, [*keys, BLOCK, order], ordered, False, len(keys) + 1).select(
+    hot = _stream(both, [*keys, BLOCK, order], ordered, False, len(keys) + 1).select(
         *keys, order, F.col("vector").alias(name)
     )
+    return plain(cut.rest).unionByName(hot)

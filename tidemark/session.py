@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # Spark's own means against skew and wrong partition counts; all but the time zone are its defaults
@@ -22,3 +26,21 @@ def configure(builder: SparkSession.Builder, shared_dir: str | None = None) -> S
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder.config("spark.checkpoint.dir", shared_dir) if shared_dir else builder
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once per application.
+
+    Arrow functions are pickled by module name. Where the package is not installed on the workers, a
+    zip of it is handed out by the driver; that needs no folder in common.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tidemark_shipped", False):
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="tidemark-ship-")) / "tidemark.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tidemark_shipped = True
