@@ -115,12 +115,14 @@ def a_sum_avg(d: Data) -> DataFrame:
     "a_pivot",
     """SELECT user_id, date_trunc('day', ts) AS day, max(CAST(floor(value) AS DOUBLE)) FILTER (event_type = 'click') AS click,
        max(CAST(floor(value) AS DOUBLE)) FILTER (event_type = 'view') AS view,
-       max(CAST(floor(value) AS DOUBLE)) FILTER (event_type = 'purchase') AS purchase FROM events GROUP BY 1, 2""",
+       max(CAST(floor(value) AS DOUBLE)) FILTER (event_type = 'purchase') AS purchase,
+       max(CAST(floor(value) AS DOUBLE)) FILTER (event_type = 'signup') AS signup,
+       max(CAST(floor(value) AS DOUBLE)) FILTER (event_type = 'error') AS error FROM events GROUP BY 1, 2""",
 )
 def a_pivot(d: Data) -> DataFrame:
     return (
         d.events.groupBy("user_id", F.date_trunc("day", "ts").alias("day"))
-        .pivot("event_type", ["click", "view", "purchase"])
+        .pivot("event_type", ["click", "view", "purchase", "signup", "error"])
         .agg(F.max(F.floor("value").cast("double")))
     )
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import asof_join, key_lookup
-from tidemark.operators.hot import Split
+from tidemark.operators.hot import SPLIT, Split
 from tidemark.operators.intervals import interval_join, lookback_days, valid_at
 from tidemark.operators.spine import days_of_periods, entity_days
 
@@ -96,22 +96,47 @@ def j_interval_closed(d: Data) -> DataFrame:
     ).drop("user_id", "ts")
 
 
-@query(
-    "j_interval_half_open",
-    """SELECT e.event_id, before.status AS status_before, now.status AS status_now
+_HALF_OPEN = """SELECT e.event_id, before.status AS status_before, now.status AS status_now
        FROM events e LEFT JOIN {status} before ON before.user_id = e.user_id AND before.start_date < e.ts AND e.ts <= before.end_date
-       LEFT JOIN {status} now ON now.user_id = e.user_id AND now.start_date <= e.ts AND e.ts < now.end_date""",
-)
-def j_interval_half_open(d: Data) -> DataFrame:
+       LEFT JOIN {status} now ON now.user_id = e.user_id AND now.start_date <= e.ts AND e.ts < now.end_date"""
+
+
+def _half_open(d: Data, split: Split) -> DataFrame:
     points = d.events.select("user_id", "event_id", "ts")
-    before = valid_at(points, d.status, "user_id", "ts", "start_date", "end_date", ["status"], bounds="(]", split=TIGHT)
+    before = valid_at(points, d.status, "user_id", "ts", "start_date", "end_date", ["status"], bounds="(]", split=split)
     both = valid_at(
         before.withColumnRenamed("status", "status_before"), d.status, "user_id", "ts", "start_date", "end_date",
-        ["status"], bounds="[)", split=TIGHT, point_rows=d.events,
+        ["status"], bounds="[)", split=split, point_rows=d.events,
     )
     return both.select("event_id", "status_before", F.col("status").alias("status_now"))
 
 
+@query("j_interval_half_open", _HALF_OPEN)
+def j_interval_half_open(d: Data) -> DataFrame:
+    return _half_open(d, SPLIT)
+
+
+@query("j_interval_half_open_hot", _HALF_OPEN)
+def j_interval_half_open_hot(d: Data) -> DataFrame:
+    return _half_open(d, TIGHT)
+
+
+@query(
+    "j_interval_ties",
+    """WITH changes AS (SELECT user_id, date_trunc('day', ts) AS day, event_id FROM events),
+       spans AS (SELECT user_id, day AS a, lead(day) OVER (PARTITION BY user_id ORDER BY day, event_id) AS b, event_id AS change FROM changes)
+       SELECT e.event_id, CAST(s.change AS DOUBLE) AS change FROM events e LEFT JOIN spans s ON s.user_id = e.user_id AND s.a <= e.ts AND e.ts < s.b""",
+)
+def j_interval_ties(d: Data) -> DataFrame:
+    """Several changes on one day leave empty intervals behind, which must hide nothing."""
+    changes = d.events.select("user_id", F.date_trunc("day", "ts").alias("a"), F.col("event_id").alias("change"))
+    order = Window.partitionBy("user_id").orderBy("a", "change")
+    spans = changes.withColumn("b", F.lead("a").over(order))
+    points = d.events.select("user_id", "event_id", "ts")
+    met = valid_at(points, spans, "user_id", "ts", "a", "b", ["change"])
+    return met.select("event_id", F.col("change").cast("double").alias("change"))  # nullable
+
+
 @query(
     "j_inequality",
     """SELECT e.event_id, e.user_id, f.first_click FROM events e
@@ -202,22 +227,31 @@ def j_detail_fetch(d: Data) -> DataFrame:
     return best.select("o_custkey", "r.*")
 
 
-@query(
-    "j_asof",
-    """SELECT c.cancel_id, c.cancel_user_id, c.cancel_created_at, CAST(p.event_id AS DOUBLE) AS purchase_id, p.value AS purchase_value
+_ASOF = """SELECT c.cancel_id, c.cancel_user_id, c.cancel_created_at, CAST(p.event_id AS DOUBLE) AS purchase_id, p.value AS purchase_value
        FROM {cancel_labels} c ASOF LEFT JOIN (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase') p
-         ON p.user_id = c.cancel_user_id AND p.ts <= c.cancel_created_at""",
-)
-def j_asof(d: Data) -> DataFrame:
+         ON p.user_id = c.cancel_user_id AND p.ts <= c.cancel_created_at"""
+
+
+def _asof(d: Data, split: Split) -> DataFrame:
     purchases = d.events.where(F.col("event_type") == "purchase")
     labels = d.cancel_labels.select("cancel_id", "cancel_user_id", "cancel_created_at")
     met = asof_join(
         labels, purchases, {"cancel_user_id": "user_id"}, "cancel_created_at", "ts",
-        {"event_id": "purchase_id", "value": "purchase_value"}, split=Split(hot_rows=27, unit="day"),
+        {"event_id": "purchase_id", "value": "purchase_value"}, split=split,
     )
     return met.withColumn("purchase_id", F.col("purchase_id").cast("double"))  # nullable
 
 
+@query("j_asof", _ASOF)
+def j_asof(d: Data) -> DataFrame:
+    return _asof(d, SPLIT)
+
+
+@query("j_asof_hot", _ASOF)
+def j_asof_hot(d: Data) -> DataFrame:
+    return _asof(d, Split(hot_rows=27, unit="day"))
+
+
 @query(
     "j_key_lookup",
     """SELECT s.segment_id, s.user_id, s.job_id, CAST(i.direct_invite AS DOUBLE) AS direct_invite FROM {shifts} s

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import percent_delta, ratio, shift_hours, start_slot
 from tidemark.operators.dedupe import keep_first, most_frequent
+from tidemark.operators.hot import SPLIT, Split
 from tidemark.operators.rolling import rolling_distinct, rolling_means, rolling_totals
 from tidemark.operators.running import (
     run_count,
@@ -61,16 +62,49 @@ def w_first_value(d: Data) -> DataFrame:
     return earliest.join(latest_schedule(requests), "job_id")
 
 
+_RUNNING_RANGE = """SELECT event_id, count(*) OVER w AS n, CAST(sum(floor(value)) OVER w AS BIGINT) AS total
+       FROM (SELECT *, date_trunc('day', ts) AS day FROM events) e WINDOW w AS (PARTITION BY user_id ORDER BY day)"""
+
+
+def _running_range(d: Data, split: Split) -> DataFrame:
+    daily = d.events.withColumn("day", F.date_trunc("day", "ts"))
+    return running(
+        daily, "user_id", "day", {"n": run_count(F.lit(1)), "total": run_sum(F.floor("value"))}, frame="range", split=split
+    ).select("event_id", "n", "total")
+
+
+@query("w_running_range", _RUNNING_RANGE)
+def w_running_range(d: Data) -> DataFrame:
+    return _running_range(d, SPLIT)
+
+
+@query("w_running_range_hot", _RUNNING_RANGE)
+def w_running_range_hot(d: Data) -> DataFrame:
+    return _running_range(d, TIGHT)
+
+
 @query(
-    "w_running_range",
-    """SELECT event_id, count(*) OVER w AS n, CAST(sum(floor(value)) OVER w AS BIGINT) AS total
-       FROM (SELECT *, date_trunc('day', ts) AS day FROM events) e WINDOW w AS (PARTITION BY user_id ORDER BY day)""",
+    "w_lag_desc_ties_hot",
+    """SELECT event_id, coalesce(lag(value) OVER w, 0) AS before, last_value(value) OVER w AS latest
+       FROM (SELECT *, date_trunc('day', ts) AS day FROM events) e WINDOW w AS (PARTITION BY user_id ORDER BY day, event_id DESC)""",
 )
-def w_running_range(d: Data) -> DataFrame:
+def w_lag_desc_ties_hot(d: Data) -> DataFrame:
     daily = d.events.withColumn("day", F.date_trunc("day", "ts"))
+    measures = {"before": run_previous("value", F.lit(0.0)), "latest": run_last("value")}
+    return running(daily, "user_id", "day", measures, ties=[F.desc("event_id")], split=TIGHT).select("event_id", *measures)
+
+
+@query(
+    "w_lag_null_value",
+    """SELECT event_id, lag(large, 1, -1) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before
+       FROM (SELECT *, CASE WHEN value > 50 THEN value END AS large FROM events) e""",
+)
+def w_lag_null_value(d: Data) -> DataFrame:
+    """The default stands where there is no row before; a NULL value before stays NULL."""
+    large = d.events.withColumn("large", F.when(F.col("value") > 50, F.col("value")))
     return running(
-        daily, "user_id", "day", {"n": run_count(F.lit(1)), "total": run_sum(F.floor("value"))}, frame="range", split=TIGHT
-    ).select("event_id", "n", "total")
+        large, "user_id", "ts", {"before": run_previous("large", F.lit(-1.0))}, ties=["event_id"], split=TIGHT
+    ).select("event_id", "before")
 
 
 @query(

@@ -149,3 +149,19 @@ def test_near_places_cover_each_near_site_once(spark, crowd):
             if fits:
                 truth.append((i, j, fits[0]))
     assert got == sorted(truth)
+
+
+def test_valid_at_ignores_empty_intervals_whatever_the_order(frame):
+    points = frame("k int, t int", (1, 5), (1, 4), (1, 9))
+    spans = [(1, 4, 4, 1), (1, 4, 9, 2), (1, 5, 5, 3)]
+    for history in (spans, spans[::-1]):
+        got = valid_at(points, frame("k int, a int, b int, v int", *history), "k", "t", "a", "b", ["v"], split=None)
+        assert rows(got, "t") == [(1, 4, 2), (1, 5, 2), (1, 9, None)]
+
+
+def test_asof_ties_are_settled_by_columns(frame):
+    left = frame("k int, t int", (1, 5))
+    right = [(1, 3, 1, "a"), (1, 3, 2, "b")]
+    for order in (right, right[::-1]):
+        got = asof_join(left, frame("k int, t int, n int, v string", *order), "k", "t", "t", ["v"], right_ties=["n"], split=None)
+        assert [r.v for r in got.collect()] == ["b"]

@@ -294,3 +294,13 @@ def test_plain_lookup_and_column_pruning(spark, parts, frame, tmp_path):
     stored = FeatureTable("h", spark.read.parquet(str(tmp_path / "h")), ("u", "at"), "at")
     text = plan(training.build_training_set(labels, [training.Lookup(stored, "u", "t", ("v",))]))
     assert "ReadSchema: struct<u:string,at:timestamp_ntz,v:double>" in text
+
+
+def test_certifications_are_found_or_refused_never_dropped(frame):
+    certs = frame(
+        "user_id int, cert_completed_on timestamp_ntz, cert_name string, cert_verified int",
+        (1, ts("2024-01-01"), "forklift", 1), (1, ts("2024-01-02"), "new cert", 1),
+    )
+    assert people.user_certifications(certs).columns == ["user_id", "cert_completed_on", "forklift", "newcert"]
+    with pytest.raises(ValueError, match="new cert"):
+        people.user_certifications(certs, ["forklift"])

@@ -81,11 +81,36 @@ def test_hot_path_reads_a_staged_copy_and_spreads_the_key(log):
 
 
 def test_crowded_units_are_cut_by_their_rows(log):
-    from tidemark.operators.hot import BLOCK, HOT, cut_hot_keys
+    from tidemark.operators.hot import BLOCK, cut_hot_keys
 
-    tagged = cut_hot_keys(log, ["k"], "t", Split(30, "week"), [log])
-    sizes = tagged.where(F.col(HOT)).groupBy("k", BLOCK).count()
-    assert sizes.where("k = 'hot'").count() >= 8
-    assert tagged.where(F.col(HOT).isNull()).where(F.col(BLOCK).isNotNull()).count() == 0
+    cut = cut_hot_keys(log, ["k"], "t", Split(30, "week"), [log])
+    assert cut.hot.where("k = 'hot'").groupBy("k", BLOCK).count().count() >= 8
+    assert cut.rest.where("k = 'hot'").count() == 0
+    assert cut.hot.count() + cut.rest.count() == log.count()
     with pytest.raises(ValueError):
         Split(10, "month")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 70, 10**6])
+def test_descending_ties_and_null_values_at_every_threshold(log, hot_rows):
+    w = Window.partitionBy("k").orderBy("t", F.desc("id"))
+    got = running(
+        log, "k", "t", {"before": run_previous("v", F.lit(-1)), "latest": run_last("v"), "first": run_first("v")},
+        ties=[F.desc("id")], split=Split(hot_rows, "day"),
+    )
+    until = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    truth = log.select(
+        "*", F.lag("v", 1, -1).over(w).alias("before"), F.last("v", True).over(until).alias("latest"),
+        F.first("v", True).over(until).alias("first"),
+    )
+    assert rows(got, "id") == rows(truth, "id")
+
+
+def test_known_hot_keys_are_not_counted_again(log, spark):
+    from tidemark.operators.hot import if_hot
+
+    split = if_hot(Split(100, "day"), [log], ["k"])
+    assert [r.k for r in split.hot.collect()] == ["hot"] and if_hot(Split(400, "day"), [log], ["k"]) is None
+    got = running(log.withColumnRenamed("k", "key"), "key", "t", {"s": run_sum("v")}, ties=["id"], split=split)
+    plain = running(log.withColumnRenamed("k", "key"), "key", "t", {"s": run_sum("v")}, ties=["id"], split=None)
+    assert rows(got, "id") == rows(plain, "id")

@@ -30,7 +30,7 @@ PIPELINES = {
         d.segments, d.event_jobs, d.needed_periods, d.applications, d.worked_pairs, "2024-03-01", split=split
     ),
     "ratings": lambda d, split: people.user_ratings(d.ratings, d.dont_send, d.favorites, split=split),
-    "certifications": lambda d, split: people.user_certifications(d.certifications, ["click", "error", "view"], split=split),
+    "certifications": lambda d, split: people.user_certifications(d.certifications, split=split),
     "applicants": lambda d, split: jobs.applicant_tracker(d.applications, d.event_jobs, d.requests, split=split),
     "history": lambda d, split: jobs.value_change_history(
         d.needed_current, d.needed_edits, "needed", prefer=["edit_id"], split=split

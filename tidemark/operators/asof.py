@@ -38,14 +38,15 @@ def asof_join(
     split: Split | None = SPLIT,
     left_rows: DataFrame | None = None,
     right_rows: DataFrame | None = None,
+    right_ties: Sequence[str] = (),
 ) -> DataFrame:
     """Attach to every left row the right row with equal key and the greatest time <= its own.
 
     Both sides are stacked and the last feature row is carried forward per key: one shuffle by
     key, no fan-out, every left row comes out exactly once. ``strict`` asks for a time < its own.
     ``on`` may map left names to right names, ``features`` right names to output names. The left
-    key and time are compared in the type of the right side. Right rows must be unique per key
-    and time. Left rows without a key match nothing and are spread by time. ``left_rows`` and
+    key and time are compared in the type of the right side. Of right rows with equal key and time
+    the one greatest in ``right_ties`` counts; without ties they must be unique. Left rows without a key match nothing and are spread by time. ``left_rows`` and
     ``right_rows`` name cheaper tables with at least as many rows per key, to count hot keys in.
     """
     pairs = key_pairs(on)
@@ -61,6 +62,7 @@ def asof_join(
         *[F.col(r).alias(k) for k, (_, r) in zip(keys, pairs)],
         F.col(right_ts).alias("__t"),
         F.lit(0).alias("__side"),
+        *[F.col(c).alias(f"__tie{i}") for i, c in enumerate(right_ties)],
         payload.alias("__feature"),
     )
     types = dict(lookups.dtypes)
@@ -81,7 +83,7 @@ def asof_join(
         keys,
         "__t",
         {"__hit": run_last("__feature")},
-        ties=["__side"],
+        ties=["__side", *[f"__tie{i}" for i in range(len(right_ties))]],
         split=split,
         sized_by=[
             keyed(left if left_rows is None else left_rows, dict(zip(left_keys, keys))),

@@ -8,14 +8,15 @@ partition.
 
 Which keys are hot is counted beforehand, on the narrowest input that bounds the rows per key
 (usually the key column of a source table). Without hot keys the plan is the plain window. With
-them the input is staged once, counted per unit of time, and units that are still too big are cut
-further, into as many equal parts as their rows ask for.
+them only the rows of hot keys are staged and counted per unit of time, and units that are still too
+big are cut further, into as many equal parts as their rows ask for; all other rows keep the plain
+window and are united with them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_, or_
 
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 from ..sources.staging import stage
 
 BLOCK = "__block"
-HOT = "__hot"
 
 
 # Length of the units in microseconds
@@ -36,11 +36,13 @@ UNIT_MICROS = {"hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000
 class Split:
     """When a key is too big for one task, and the unit of time it is cut into first.
 
-    ``hot_rows`` is the number of rows a task may still sort on its own.
+    ``hot_rows`` is the number of rows a task may still sort on its own. ``hot`` holds the hot keys
+    where they are known already (see ``if_hot``).
     """
 
     hot_rows: int = 1_000_000
     unit: str = "day"
+    hot: DataFrame | None = field(default=None, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         if self.unit not in UNIT_MICROS or self.hot_rows < 1:
@@ -63,10 +65,11 @@ def any_missing(columns: Sequence[str]) -> Column:
 
 
 def find_hot_keys(sources: Sequence[DataFrame], keys: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows over all sources, or None. Runs one counting job.
+    """Keys with more than ``hot_rows`` rows over all sources as a staged table, or None.
 
-    At most rows / hot_rows keys can qualify (a million at 10^12 rows and the default), so the
-    result is a small local table that may be broadcast.
+    One counting job. The table stays on the cluster and nothing asks for its broadcast, so it may
+    grow with the data (it holds rows / hot_rows keys at most). It is staged whether or not there are
+    hot keys: what a query needs of the session does not depend on the size of the data.
     """
     counts = None
     for source in sources:
@@ -74,48 +77,52 @@ def find_hot_keys(sources: Sequence[DataFrame], keys: Sequence[str], hot_rows: i
         counts = known if counts is None else counts.unionByName(known)
     if len(sources) > 1:
         counts = counts.groupBy(*keys).agg(F.sum("__rows").alias("__rows"))
-    hot = counts.where(F.col("__rows") > hot_rows).select(*keys)
-    found = hot.collect()
-    return hot.sparkSession.createDataFrame(found, hot.schema) if found else None
+    hot = stage(counts.where(F.col("__rows") > hot_rows).select(*keys))
+    return None if hot.isEmpty() else hot
 
 
 def if_hot(split: Split | None, sources: Sequence[DataFrame], keys: Sequence[str]) -> Split | None:
-    """The split if some key needs it, else None: one count for several operators on the same keys."""
-    if split is None or find_hot_keys(sources, keys, split.hot_rows) is None:
-        return None
-    return split
+    """The split with its hot keys if there are any, else None: one count for several operators on the
+    same keys. They must come in the same order; their names may differ."""
+    hot = None if split is None else find_hot_keys(sources, keys, split.hot_rows)
+    return None if hot is None else replace(split, hot=hot)
+
+
+@dataclass(frozen=True)
+class Cut:
+    """The input in two: rows of hot keys, staged, with their block, and all others as they came."""
+
+    hot: DataFrame
+    rest: DataFrame
 
 
 def cut_hot_keys(
     df: DataFrame, keys: Sequence[str], order: str, split: Split, sources: Sequence[DataFrame]
-) -> DataFrame | None:
-    """A staged copy of the input with a hot flag and a block, or None if no key is hot.
+) -> Cut | None:
+    """Rows of hot keys with a block apart from the rest, or None if no key is hot.
 
-    The block is NULL for the other keys. Both lists that are broadcast, of hot keys and of
-    (key, unit) pairs to cut further, hold at most rows / hot_rows entries.
+    Only the hot rows are staged, counted and cut; the others keep the plan they had. Rows with a NULL
+    key are never hot.
     """
-    hot = find_hot_keys(sources, keys, split.hot_rows)
+    hot = split.hot.toDF(*keys) if split.hot is not None else find_hot_keys(sources, keys, split.hot_rows)
     if hot is None:
         return None
-    flagged = stage(df.join(F.broadcast(hot.withColumn(HOT, F.lit(True))), list(keys), "left").select(*df.columns, HOT))
+    rest = df.join(hot, list(keys), "left_anti").select(*df.columns)
     unit = F.date_trunc(split.unit, F.col(order))
-    counts = flagged.where(F.col(HOT)).groupBy(*keys, unit.alias(BLOCK)).agg(F.count(F.lit(1)).alias("__rows"))
+    flagged = stage(df.join(hot, list(keys), "left_semi").select(*df.columns, unit.alias(BLOCK)))
+    counts = flagged.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias("__rows"))
     crowded = counts.where(F.col("__rows") > split.hot_rows).select(
         *keys, F.unix_micros(BLOCK).alias("__unit"), F.ceil(F.col("__rows") / split.hot_rows).alias("__parts")
     )
-    parts = crowded.collect()
-    tagged = flagged.withColumn(BLOCK, F.when(F.col(HOT), unit))
-    if not parts:
-        return tagged
-    tagged = tagged.withColumn("__unit", F.unix_micros(BLOCK))
-    finer = F.broadcast(df.sparkSession.createDataFrame(parts, crowded.schema))
+    tagged = flagged.withColumn("__unit", F.unix_micros(BLOCK))
     start = F.col("__unit")
     width = F.lit(UNIT_MICROS[split.unit]) / F.col("__parts")
     part = F.floor((F.unix_micros(F.col(order).cast("timestamp")) - start) / width)
     cut = F.timestamp_micros(start + F.floor(part * width).cast("bigint"))
-    return tagged.join(finer, [*keys, "__unit"], "left").select(
-        *df.columns, HOT, F.when(F.col("__parts").isNull(), F.col(BLOCK)).otherwise(cut).alias(BLOCK)
+    blocks = tagged.join(crowded, [*keys, "__unit"], "left").select(
+        *df.columns, F.when(F.col("__parts").isNull(), F.col(BLOCK)).otherwise(cut).alias(BLOCK)
     )
+    return Cut(blocks, rest)
 
 
 def spread_missing(keys: Sequence[str], order: str) -> Column:

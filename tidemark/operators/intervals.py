@@ -40,14 +40,16 @@ def valid_at(
 
     The only candidate is the latest interval that has begun, so this is an as-of lookup followed
     by a look at its end: no range join, one output row per point. At an instant shared by two
-    closed intervals the later one answers.
+    closed intervals the later one answers. Intervals that hold no instant are left out, so those
+    that tied changes leave behind hide nothing; of intervals with equal start the longest counts.
     """
     if bounds not in BOUNDS:
         raise ValueError(f"bounds must be one of {BOUNDS}, not {bounds!r}")
     check_new_names(points.columns, features)
+    holds = F.col(start) <= F.col(end) if bounds == "[]" else F.col(start) < F.col(end)
     carried = asof_join(
         points,
-        history,
+        history.where(F.coalesce(holds, F.lit(True))),
         on,
         point_ts,
         start,
@@ -56,6 +58,7 @@ def valid_at(
         split=split,
         left_rows=point_rows,
         right_rows=history_rows,
+        right_ties=[end],
     )
     instant = F.col(point_ts).cast(dict(history.dtypes)[end])
     live = instant <= F.col("__end") if bounds[1] == "]" else instant < F.col("__end")

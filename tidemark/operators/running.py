@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.scalars import ColumnOrName, as_column
-from .hot import BLOCK, HOT, SPLIT, Split, as_list, cut_hot_keys, spread_missing
+from .hot import BLOCK, SPLIT, Split, as_list, cut_hot_keys, spread_missing
 
 
 @dataclass(frozen=True)
@@ -129,20 +129,28 @@ class _First(Measure):
 class _Previous(Measure):
     default: Column | None = None
 
+    def _row(self) -> Column:
+        # a row whose value is NULL is not the same as no row
+        return F.struct(self.value.alias("value"))
+
     def local(self, rows, order):
         return F.struct(
             (F.row_number().over(order) == 1).alias("top"), F.lag(self.value, 1).over(order).alias("value")
         )
 
     def total(self, position):
-        return F.max_by(self.value, position)
+        return F.max_by(self._row(), position)
 
     def carry(self, total, before):
         return F.last(total).over(before)
 
     def merge(self, local, carry):
-        previous = F.when(local.getField("top"), carry).otherwise(local.getField("value"))
-        return previous if self.default is None else F.coalesce(previous, self.default)
+        default = F.lit(None) if self.default is None else self.default
+        before = F.when(carry.isNull(), default).otherwise(carry.getField("value"))
+        return F.when(local.getField("top"), before).otherwise(local.getField("value"))
+
+    def nothing(self):
+        return F.when(F.lit(False), self._row())
 
 
 def run_sum(value: ColumnOrName) -> Measure:
@@ -172,7 +180,7 @@ def run_first(value: ColumnOrName) -> Measure:
 
 
 def run_previous(value: ColumnOrName, default: Column | None = None) -> Measure:
-    """Value of the row before; the default where there is none (or where it is NULL)."""
+    """Value of the row before, NULL if that is NULL; the default where there is no row before."""
     return _Previous(as_column(value), default)
 
 
@@ -208,34 +216,35 @@ def running(
         framed = ordered.rowsBetween(start, now) if frame == "rows" else ordered.rangeBetween(start, now)
         return framed, ordered
 
-    spread = [spread_missing(keys, order)] if spread_null_keys else []
-    tagged = None if split is None else cut_hot_keys(df, keys, order, split, sized_by or [df])
-    if tagged is None:
+    def plain(rows_of: DataFrame, spread: Sequence[Column]) -> DataFrame:
         rows, ordered = windows([*keys, *spread])
-        plain = df.select("*", *[m.local(rows, ordered).alias(f"__local_{n}") for n, m in measures.items()])
-        return plain.select(
+        local = rows_of.select("*", *[m.local(rows, ordered).alias(f"__local_{n}") for n, m in measures.items()])
+        return local.select(
             *df.columns, *[m.merge(F.col(f"__local_{n}"), m.nothing()).alias(n) for n, m in measures.items()]
         )
 
-    rows, ordered = windows([*keys, BLOCK, *spread])
-    local = tagged.select(
-        *keys,
-        BLOCK,
-        *[c for c in df.columns if c not in keys],
+    spread = [spread_missing(keys, order)] if spread_null_keys else []
+    cut = None if split is None else cut_hot_keys(df, keys, order, split, sized_by or [df])
+    if cut is None:
+        return plain(df, spread)
+
+    rows, ordered = windows([*keys, BLOCK])
+    # the place of a row in its block: an order that any direction of ties can have
+    placed = cut.hot.select(
+        "*",
+        F.row_number().over(ordered).alias("__place"),
         *[m.local(rows, ordered).alias(f"__local_{n}") for n, m in measures.items()],
     )
-    position = F.struct(*ordering)
-    totals = (
-        tagged.where(F.col(HOT))
-        .groupBy(*keys, BLOCK)
-        .agg(*[m.total(position).alias(n) for n, m in measures.items()])
+    totals = cut.hot.withColumn("__place", F.row_number().over(ordered)).groupBy(*keys, BLOCK).agg(
+        *[m.total(F.col("__place")).alias(n) for n, m in measures.items()]
     )
     # one row per hot key and block: as many as the history has units of time
     before = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *keys, BLOCK, *[m.carry(F.col(n), before).alias(f"__carry_{n}") for n, m in measures.items()]
     )
-    return local.join(carry, [*keys, BLOCK], "left").select(
+    hot = placed.join(carry, [*keys, BLOCK], "left").select(
         *df.columns,
         *[m.merge(F.col(f"__local_{n}"), F.col(f"__carry_{n}")).alias(n) for n, m in measures.items()],
     )
+    return plain(cut.rest, spread).unionByName(hot)

@@ -233,20 +233,29 @@ def user_ratings(
 
 def user_certifications(
     certifications: DataFrame,
-    names: Sequence[str],
+    names: Sequence[str] | None = None,
     *,
     keep: str = "first",
     split: Split | None = SPLIT,
 ) -> DataFrame:
     """One column per certification, carried forward per user; 0 before the first.
 
-    ``certifications``: user_id, cert_completed_on, cert_name, cert_verified. ``names`` lists the
-    columns, so the schema does not depend on the data. ``keep`` says whether the first or the last
+    ``certifications``: user_id, cert_completed_on, cert_name, cert_verified. The columns are the names
+    found in the data, in order, or those listed in ``names``, where the schema must not depend on the
+    data; a name that is not listed is then refused, never dropped. ``keep`` says whether the first or the last
     value sticks. All columns are carried before any gap is filled.
     """
     if keep not in ("first", "last"):
         raise ValueError(f"keep must be 'first' or 'last', not {keep!r}")
     measure = run_first if keep == "first" else run_last
+    known = F.col("cert_name").isNotNull()
+    if names is None:
+        # one row per kind of certification, each a column of the result
+        names = sorted(r[0] for r in certifications.where(known).select("cert_name").distinct().collect())
+    else:
+        other = certifications.where(known & ~F.col("cert_name").isin(*names)).select("cert_name").first()
+        if other is not None:
+            raise ValueError(f"certification not listed: {other[0]!r}")
     wide = (
         certifications.where(F.col("user_id") != 0)
         .groupBy("user_id", "cert_completed_on")
