@@ -45,7 +45,7 @@ def unpack(df: DataFrame, like: DataFrame, column: str = "row") -> DataFrame:
 class WordHashes(dict):
     """64-bit hash per word (bytes), remembered up to ``most`` words and then begun anew."""
 
-    def __init__(self, most: int = 1_000_000):
+    def __init__(self, most: int = 400_000):
         super().__init__()
         self.most = most
 

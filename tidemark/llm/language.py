@@ -36,7 +36,7 @@ END = b""
 class Tokens(dict):
     """Token number per word (bytes): 58 bits of its hash, then 6 bits of bucket; begun anew when full."""
 
-    def __init__(self, most: int = 700_000):
+    def __init__(self, most: int = 400_000):
         super().__init__()
         self.most = most
 

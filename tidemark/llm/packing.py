@@ -96,7 +96,7 @@ class Encoder:
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     PLAIN = regex.compile("[!-~\u00a1-\u024f]+")
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 400_000):
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
