@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .asof import asof_join, check_new_names, key_pairs
@@ -77,31 +77,31 @@ def interval_join(
     *,
     bounds: str = "[)",
     unit: str = "day",
+    split: Split | None = SPLIT,
 ) -> DataFrame:
     """All pairs of equal key whose instant lies in the interval; intervals may overlap.
 
-    Intervals are cut at the units of time they touch, so points meet only the intervals of their
-    own unit and a hot key is spread over time. Open ends are first clipped to the span of that
-    key's points, which also drops intervals no point can meet.
+    Points are gathered by the units of time they fall in, and a key's units that hold points are
+    numbered. An interval is laid out over the numbers between its ends, found by two as-of lookups, so
+    it is copied only to units where points wait: copies follow the pairs, however long an interval is.
+    Points meet the intervals of their own unit, which spreads a hot key over time.
     """
     keys = [on] if isinstance(on, str) else list(on)
     check_new_names(points.columns, [c for c in intervals.columns if c not in keys])
-    slot = F.date_trunc(unit, F.col(point_ts))
-    known = points.where(all_present([*keys, point_ts]))
-    span = known.groupBy(*keys).agg(F.min(point_ts).alias("__first"), F.max(point_ts).alias("__last"))
-    low = F.greatest(F.col(start), F.col("__first"))
-    high = F.least(F.col(end), F.col("__last"))
-    step = F.expr(f"interval 1 {unit}")
-    cut = (
-        intervals.where(F.col(start).isNotNull() & F.col(end).isNotNull())
-        .join(span, keys)
-        .where(low <= high)
-        .select(
-            *intervals.columns,
-            F.explode(F.sequence(F.date_trunc(unit, low), F.date_trunc(unit, high), step)).alias("__slot"),
-        )
+    known = points.where(all_present([*keys, point_ts])).withColumn("__slot", F.date_trunc(unit, F.col(point_ts)))
+    numbered = Window.partitionBy(*keys).orderBy("__slot")
+    # one row per key and unit with points
+    slots = known.select(*keys, "__slot").distinct().withColumn("__n", F.row_number().over(numbered))
+    placed = intervals.where(all_present([*keys, start, end]) & (F.col(start) <= F.col(end))).select(
+        "*", F.date_trunc(unit, F.col(start)).alias("__low"), F.date_trunc(unit, F.col(end)).alias("__high")
+    )
+    placed = asof_join(placed, slots, keys, "__low", "__slot", {"__n": "__before"}, strict=True, split=split)
+    placed = asof_join(placed, slots, keys, "__high", "__slot", {"__n": "__last"}, split=split)
+    first = F.coalesce("__before", F.lit(0)) + 1
+    cut = placed.where(F.col("__last") >= first).select(
+        *intervals.columns, F.explode(F.sequence(first, F.col("__last"))).alias("__n")
     )
-    met = known.withColumn("__slot", slot).join(cut, [*keys, "__slot"])
+    met = known.join(slots, [*keys, "__slot"]).join(cut, [*keys, "__n"])
     rest = [c for c in intervals.columns if c not in keys]
     return met.where(contains(F.col(point_ts), F.col(start), F.col(end), bounds)).select(
         *points.columns, *rest
