@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, packed, text_bytes, unpack
@@ -33,11 +33,11 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 HASHES = 128
-# nodes of at most so many classes are compared all against all
-SMALL = 128
+# nodes of at most so many classes are compared all against all, below the first level larger ones too
+SMALL, MEDIUM = 128, 4096
 # larger ones are settled in chunks of about so many against about so many pivots
 CHUNK, PIVOTS = 1024, 16
-# classes of a group are compared in tiles of about twice so many
+# classes of a node or group are compared in tiles of about twice so many
 TILE = 256
 
 _WORD_HASHES = WordHashes()
@@ -92,22 +92,23 @@ def class_of(values: np.ndarray) -> bytes:
 
 
 def sets_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, hash (of the text), class, n (shingles), signature (empty sets have one too)."""
+    """id, hash (of the text), class, n (shingles), signature and its sketch (empty sets have them too)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for text in text_bytes(batch.column(2)):
                 values = shingles(text)
-                found.append((class_of(values), len(values), signature(values).tobytes()))
-            kinds = (pa.binary(), pa.int64(), pa.binary())
+                own = signature(values)
+                found.append((class_of(values), len(values), own.tobytes(), _sketch(own).tobytes()))
+            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
             columns = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
-            yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=["id", "hash", "class", "n", "signature"])
+            yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=["id", "hash", "class", "n", "signature", "sketch"])
 
     text = F.col(f"`{text_col}`")
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(describe, f"id {kind}, hash long, class binary, n long, signature binary")
+    return rows.mapInArrow(describe, f"id {kind}, hash long, class binary, n long, signature binary, sketch binary")
 
 
 def survival(depth: int) -> float:
@@ -201,25 +202,48 @@ def _edges(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.record_batch([join(a), join(b)], names=["a", "b"])
 
 
-def compare_small(rows: DataFrame, loose: float) -> DataFrame:
-    """Spanning forests (a, b) of what is alike in each node; rows are node, rep, signature."""
+def in_tiles(rows: DataFrame, group: str, size: Column) -> DataFrame:
+    """Deal the classes of each group to blocks of about TILE; add the tiles (low, high) of two blocks each
+    one belongs to, and its side in them. Every pair of a group meets in one tile."""
+    blocks = F.ceil(size / TILE).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return dealt.withColumns(
+        {
+            "group": F.col(group),
+            "low": F.least("block", "other").cast("long"),
+            "high": F.greatest("block", "other").cast("long"),
+            "side": (F.col("block") > F.col("other")).cast("long"),
+        }
+    ).drop("block", "other")
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def compare(rows: DataFrame, loose: float) -> DataFrame:
+    """Spanning forests (a, b) of what is alike in each tile; rows are in_tiles with rep and sketch."""
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for group in groups_of(batches, 1):
-            rep = group.column("rep").to_numpy()
-            sketches = _sketch(_signatures(group.column("signature").to_pylist()))
-            label = forest(_alike(sketches, sketches) >= loose)
-            tied = label != np.arange(len(rep))
-            if tied.any():
-                a.append(rep[tied])
-                b.append(rep[label[tied]])
+        for tile in groups_of(batches, 3):
+            rep = tile.column("rep").to_numpy()
+            if len(rep) < 2:
+                continue
+            sketches = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(rep), HASHES)
+            tied = _alike(sketches, sketches) >= loose
+            if tile.column("low")[0] != tile.column("high")[0]:
+                side = tile.column("side").to_numpy()
+                tied &= side[:, None] != side[None, :]
+            label = forest(tied)
+            moved = label != np.arange(len(rep))
+            if moved.any():
+                a.append(rep[moved])
+                b.append(rep[label[moved]])
             if len(a) > 1000:
                 yield _edges(a, b)
                 a, b = [], []
         yield _edges(a, b)
 
-    return rows.select("node", "rep", "signature").repartition("node").sortWithinPartitions("node").mapInArrow(compare, "a long, b long")
+    keys = ["group", "low", "high"]
+    placed = rows.select(*keys, "side", "rep", "sketch").repartition(*keys).sortWithinPartitions(*keys)
+    return placed.mapInArrow(tiles, "a long, b long")
 
 
 def settle_large(rows: DataFrame, threshold: float, loose: float) -> DataFrame:
@@ -233,16 +257,17 @@ def settle_large(rows: DataFrame, threshold: float, loose: float) -> DataFrame:
     chunks = F.ceil(F.col("n_node") / CHUNK).cast("int")
     dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("node", "rep"), chunks))
     pivots = rows.filter(draw * F.col("n_node") < PIVOTS).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    keys = ["node", "chunk"]
     dealt = dealt.select(F.col("chunk").cast("long").alias("chunk"), "node", "rep", "signature")
-    pivots = pivots.select(F.col("chunk").cast("long").alias("chunk"), "node", "rep", "signature")
+    pivots = pivots.select(
+        F.col("chunk").cast("long").alias("at_chunk"), F.col("node").alias("at_node"), F.col("rep").alias("pivot"), F.col("signature").alias("marks")
+    )
 
     def settle(own: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
             return pd.DataFrame({"a": [], "b": [], "node": []})
         rep, signatures = own["rep"].to_numpy(), _signatures(own["signature"])
-        others = pivot["rep"].to_numpy()
-        alike = _alike(_sketch(signatures), _sketch(_signatures(pivot["signature"]))) if len(others) else np.zeros((len(rep), 0))
+        others = pivot["pivot"].to_numpy()
+        alike = _alike(_sketch(signatures), _sketch(_signatures(pivot["marks"]))) if len(others) else np.zeros((len(rep), 0))
         tied = alike >= loose
         settled = (alike >= threshold).any(axis=1)
         edges = []
@@ -262,7 +287,7 @@ def settle_large(rows: DataFrame, threshold: float, loose: float) -> DataFrame:
         out = pd.concat([*(e[e["a"] != e["b"]] for e in edges), on], ignore_index=True)
         return out.reindex(columns=["a", "b", "node"]).astype({"a": "Int64", "b": "Int64", "node": "Int64"})
 
-    return dealt.groupBy(*keys).cogroup(pivots.groupBy(*keys)).applyInPandas(settle, "a long, b long, node long")
+    return dealt.groupBy("node", "chunk").cogroup(pivots.groupBy("at_node", "at_chunk")).applyInPandas(settle, "a long, b long, node long")
 
 
 def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
@@ -276,14 +301,15 @@ def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFram
         while True:
             nodes = stage(nodes)
             sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n_node")).filter("n_node > 1")
-            live = nodes.join(sizes, "node").join(classes.select("rep", "signature"), "rep")
-            live = stage(live)
-            found.append(stage(compare_small(live.filter(F.col("n_node") <= SMALL), loose)))
-            large = live.filter(F.col("n_node") > SMALL)
+            live = stage(nodes.join(sizes, "node").select("rep", "node", "n_node"))
+            most = SMALL if level == 1 else MEDIUM
+            small = live.filter(F.col("n_node") <= most).join(classes.select("rep", "sketch"), "rep")
+            found.append(stage(compare(in_tiles(small, "node", F.col("n_node")), loose)))
+            large = live.filter(F.col("n_node") > most)
             if large.isEmpty():
                 break
             level += 1
-            settled = stage(settle_large(large, threshold, loose))
+            settled = stage(settle_large(large.join(classes.select("rep", "signature"), "rep"), threshold, loose))
             found.append(settled.filter("node is null").select("a", "b"))
             nodes = settled.filter("node is not null").select(F.col("a").alias("rep"), "node")
         depth = max(depth, level)
@@ -387,7 +413,7 @@ def jaccard_groups(
     members = stage(sets_of(df, id_col, text_col))
     first = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     classes = members.groupBy("class").agg(
-        F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("signature").alias("signature")
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("signature").alias("signature"), F.max("sketch").alias("sketch")
     )
     classes = stage(classes.withColumn("rep", F.monotonically_increasing_id()))
     joined = classes.filter("n > 0")
@@ -409,18 +435,8 @@ def jaccard_groups(
 
     found = texts.join(wanted, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
     sets = found.select("rep", "component", "copies", "class", "text").mapInArrow(expand, "rep long, component long, copies long, shingles binary")
-    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    tiled = sets.join(sizes, "component").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tiled = tiled.select(
-        F.col("component").alias("group"),
-        F.least("block", "other").cast("long").alias("low"),
-        F.greatest("block", "other").cast("long").alias("high"),
-        (F.col("block") > F.col("other")).cast("long").alias("side"),
-        "rep",
-        "copies",
-        "shingles",
-    )
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    tiled = in_tiles(sets.join(sizes, "component"), "component", F.col("members"))
     exact = stage(verify(tiled, threshold))
     links = exact.filter("links is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     joint = components(exact.filter("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
