@@ -98,13 +98,13 @@ def check_groups(rows, found):
 @pytest.mark.parametrize("sizes", [None, (4, 4, 16, 4, 3), (4, 50, 16, 4, 3)])
 def test_jaccard_groups(docs, sizes, monkeypatch):
     if sizes:
-        for name, value in zip(("SMALL", "MEDIUM", "CHUNK", "PIVOTS", "TILE"), sizes):
+        for name, value in zip(("SMALL", "LEFT", "CHUNK", "PIVOTS", "TILE"), sizes):
             monkeypatch.setattr(jaccard, name, value)
     check_groups(plain(corpus()), jaccard.jaccard_groups(docs).collect())
 
 
 def test_jaccard_large_group_of_near_copies(spark, monkeypatch):
-    for name, value in (("SMALL", 8), ("MEDIUM", 20), ("CHUNK", 16), ("PIVOTS", 4), ("TILE", 10)):
+    for name, value in (("SMALL", 8), ("LEFT", 20), ("CHUNK", 16), ("PIVOTS", 4), ("TILE", 10)):
         monkeypatch.setattr(jaccard, name, value)
     rng = random.Random(4)
     near = words(rng, 150).split()

@@ -3,8 +3,8 @@
 A document is the set of its five-word shingles; equal sets are one class and only classes are joined.
 Classes travel down random paths: at a node, a few of 128 min-hash values are chosen, and a class goes on
 to the child named by each chosen value, so classes alike at the threshold are expected to share one
-child of every node they share. Small nodes are compared all against all; large ones first settle what
-is alike to one of a few pivots and send the rest on. Runs are repeated until the probability that a pair
+child of every node they share. Small nodes are compared all against all; in large ones what is
+alike to one of a few pivots is settled first and what is left is compared or goes on. Runs are repeated until the probability that a pair
 at the threshold shares a compared node reaches the target recall.
 
 Nodes compare sketches and only tell what may belong together, at a similarity well below the threshold.
@@ -25,18 +25,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, packed, text_bytes, unpack
+from tidemark.llm.common import WordHashes, packed, stage_lean, text_bytes, unpack
 from tidemark.llm.components import components
-from tidemark.sources.staging import stage
 
 WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 HASHES = 128
-# nodes of at most so many classes are compared all against all, below the first level larger ones too
-SMALL, MEDIUM = 128, 4096
-# larger ones are settled in chunks of about so many against about so many pivots
-CHUNK, PIVOTS = 1024, 16
+# nodes of at most so many classes are compared all against all
+SMALL = 256
+# larger ones are settled first, in chunks of about so many against about so many pivots; what is left of
+# a node is compared all against all up to the last number, and split further above it
+CHUNK, PIVOTS, LEFT = 1024, 16, 2048
 # classes of a node or group are compared in tiles of about twice so many
 TILE = 256
 
@@ -218,105 +218,131 @@ def in_tiles(rows: DataFrame, group: str, size: Column) -> DataFrame:
 
 
 def compare(rows: DataFrame, loose: float) -> DataFrame:
-    """Spanning forests (a, b) of what is alike in each tile; rows are in_tiles with rep and sketch."""
+    """Spanning forests (a, b) of what is alike in each tile and not known to belong together; rows are
+    in_tiles with rep, label and sketch."""
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for tile in groups_of(batches, 3):
-            rep = tile.column("rep").to_numpy()
-            if len(rep) < 2:
+            rep, label = tile.column("rep").to_numpy(), tile.column("label").to_numpy()
+            if len(rep) < 2 or (label == label[0]).all():
                 continue
             sketches = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(rep), HASHES)
-            tied = _alike(sketches, sketches) >= loose
+            tied = (_alike(sketches, sketches) >= loose) & (label[:, None] != label[None, :])
             if tile.column("low")[0] != tile.column("high")[0]:
                 side = tile.column("side").to_numpy()
                 tied &= side[:, None] != side[None, :]
-            label = forest(tied)
-            moved = label != np.arange(len(rep))
+            least = forest(tied)
+            moved = least != np.arange(len(rep))
             if moved.any():
                 a.append(rep[moved])
-                b.append(rep[label[moved]])
+                b.append(rep[least[moved]])
             if len(a) > 1000:
                 yield _edges(a, b)
                 a, b = [], []
         yield _edges(a, b)
 
     keys = ["group", "low", "high"]
-    placed = rows.select(*keys, "side", "rep", "sketch").repartition(*keys).sortWithinPartitions(*keys)
+    placed = rows.select(*keys, "side", "rep", "label", "sketch").repartition(*keys).sortWithinPartitions(*keys)
     return placed.mapInArrow(tiles, "a long, b long")
 
 
-def settle_large(rows: DataFrame, threshold: float, loose: float) -> DataFrame:
-    """Rows (a, b, node): edges to pivots where node is null, else a class a that goes on to a child.
+def settle(rows: DataFrame, threshold: float, loose: float) -> DataFrame:
+    """Compare each class of a large node with a few pivots of the node: rep, node, label, other.
 
-    Rows are node, n_node, rep, signature. A class alike to a pivot at the threshold is settled: by the
-    triangle inequality whatever is alike to it at the threshold is alike to the pivot at ``loose``
-    (2 x threshold - 1, less the sketch's error), so both are tied to the pivot. The others go on.
+    Rows are node, n_node, rep, label, sketch. Classes with one label are known to belong together. A
+    class alike to a pivot at ``loose`` takes the pivot's label (the least, if several); ``other`` then
+    holds a label that is now known to be the same, if there is one. A class alike to a pivot at the
+    threshold is settled and leaves the node (node null): by the triangle inequality whatever is alike to
+    it at the threshold is alike to the pivot at 2 x threshold - 1, so both got the pivot's label.
     """
     draw = F.pmod(F.xxhash64("rep", "node"), F.lit(2**31)) / 2**31
     chunks = F.ceil(F.col("n_node") / CHUNK).cast("int")
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("node", "rep"), chunks))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("node", "rep"), chunks).cast("long"))
+    dealt = dealt.select("node", "chunk", "rep", "label", "sketch")
     pivots = rows.filter(draw * F.col("n_node") < PIVOTS).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    dealt = dealt.select(F.col("chunk").cast("long").alias("chunk"), "node", "rep", "signature")
     pivots = pivots.select(
-        F.col("chunk").cast("long").alias("at_chunk"), F.col("node").alias("at_node"), F.col("rep").alias("pivot"), F.col("signature").alias("marks")
+        F.col("node").alias("at_node"), F.col("chunk").cast("long").alias("at_chunk"), F.col("label").alias("pivot_label"), F.col("sketch").alias("pivot")
     )
 
-    def settle(own: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
+    def meet(own: pd.DataFrame, pivot: pd.DataFrame) -> pd.DataFrame:
+        columns = ["rep", "node", "label", "other"]
         if not len(own):
-            return pd.DataFrame({"a": [], "b": [], "node": []})
-        rep, signatures = own["rep"].to_numpy(), _signatures(own["signature"])
-        others = pivot["pivot"].to_numpy()
-        alike = _alike(_sketch(signatures), _sketch(_signatures(pivot["marks"]))) if len(others) else np.zeros((len(rep), 0))
+            return pd.DataFrame({c: pd.Series(dtype="Int64") for c in columns})
+        sketches = lambda column: np.frombuffer(b"".join(column), np.uint8).reshape(-1, HASHES)
+        rep, label, node = (own[c].to_numpy() for c in ("rep", "label", "node"))
+        if not len(pivot):
+            return pd.DataFrame({"rep": rep, "node": node, "label": label, "other": None}, columns=columns).astype("Int64")
+        ours, marks = sketches(own["sketch"]), sketches(pivot["pivot"])
+        names = pivot["pivot_label"].to_numpy()
+        # pivots alike to each other have one label, the least; every chunk of the node finds the same
+        group = forest((_alike(marks, marks) >= loose) | (names[:, None] == names[None, :]))
+        names = np.array([names[group == g].min() for g in group])
+        alike = _alike(ours, marks)
         tied = alike >= loose
-        settled = (alike >= threshold).any(axis=1)
-        edges = []
-        if len(others):
-            some = np.flatnonzero(tied.any(axis=1))
-            first = tied[some].argmax(axis=1)
-            edges.append(pd.DataFrame({"a": rep[some], "b": others[first]}))
-            # pivots met by one class belong together: tie them to the first one it met
-            pairs = np.zeros((len(others), len(others)), bool)
-            for k in range(len(others)):
-                pairs[k] = tied[some][first == k].any(axis=0)
-            one, two = np.nonzero(pairs)
-            edges.append(pd.DataFrame({"a": others[one], "b": others[two]}))
-        rest = np.flatnonzero(~settled)
-        row, child = children(own["node"].to_numpy()[rest].view(np.uint64), signatures[rest], threshold)
-        on = pd.DataFrame({"a": rep[rest][row], "node": child.view(np.int64)})
-        out = pd.concat([*(e[e["a"] != e["b"]] for e in edges), on], ignore_index=True)
-        return out.reindex(columns=["a", "b", "node"]).astype({"a": "Int64", "b": "Int64", "node": "Int64"})
-
-    return dealt.groupBy("node", "chunk").cogroup(pivots.groupBy("at_node", "at_chunk")).applyInPandas(settle, "a long, b long, node long")
+        new = np.where(tied.any(axis=1), np.where(tied, names[None, :], np.iinfo(np.int64).max).min(axis=1), label)
+        out = [pd.DataFrame({"rep": rep, "node": node, "label": new, "other": np.where(new != label, label, new)}).astype("Int64")]
+        out[0].loc[(alike >= threshold).any(axis=1), "node"] = pd.NA
+        # a class alike to pivots of several labels ties these together
+        pairs = {(a, b) for a, row in zip(new, tied) if len(met := set(names[row])) > 1 for b in met if a != b}
+        if pairs:
+            a, b = zip(*sorted(pairs))
+            out.append(pd.DataFrame({"rep": None, "node": None, "label": a, "other": b}).astype("Int64"))
+        return pd.concat(out, ignore_index=True)[columns]
+
+    met = dealt.groupBy("node", "chunk").cogroup(pivots.groupBy("at_node", "at_chunk"))
+    return met.applyInPandas(meet, "rep long, node long, label long, other long")
+
+
+def split(rows: DataFrame, threshold: float) -> DataFrame:
+    """rep, label, node: the children of each class's node; rows are node, rep, label, signature."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rep, label, node = (batch.column(k).to_numpy() for k in range(3))
+            row, child = children(node.view(np.uint64), _signatures(batch.column(3).to_pylist()), threshold)
+            yield pa.record_batch([pa.array(rep[row]), pa.array(label[row]), pa.array(child.view(np.int64))], names=["rep", "label", "node"])
+
+    return rows.select("rep", "label", "node", "signature").mapInArrow(go, "rep long, label long, node long")
+
+
+def sized(nodes: DataFrame) -> DataFrame:
+    """Rows of nodes in which more than one label is left, with the number of rows."""
+    sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n_node"), F.min("label").alias("_a"), F.max("label").alias("_b"))
+    return nodes.join(sizes.filter("_a <> _b").select("node", "n_node"), "node")
 
 
 def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
     """Edges (a, b) between classes that may belong together, from as many runs as the recall needs."""
     loose = 2 * threshold - 1 - 0.05
+    sketches, signatures = classes.select("rep", "sketch"), classes.select("rep", "signature")
     found: list[DataFrame] = []
     done, depth = 0, 2
     while (needed := runs_needed(recall, depth)) > done:
-        nodes = first_nodes(classes, range(done, needed), threshold)
+        nodes = first_nodes(classes, range(done, needed), threshold).withColumn("label", F.col("rep"))
         done, level = needed, 1
         while True:
-            nodes = stage(nodes)
-            sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n_node")).filter("n_node > 1")
-            live = stage(nodes.join(sizes, "node").select("rep", "node", "n_node"))
-            most = SMALL if level == 1 else MEDIUM
-            small = live.filter(F.col("n_node") <= most).join(classes.select("rep", "sketch"), "rep")
-            found.append(stage(compare(in_tiles(small, "node", F.col("n_node")), loose)))
-            large = live.filter(F.col("n_node") > most)
+            live = stage_lean(sized(stage_lean(nodes)))
+            small = live.filter(F.col("n_node") <= SMALL).join(sketches, "rep")
+            found.append(stage_lean(compare(in_tiles(small, "node", F.col("n_node")), loose)))
+            large = live.filter(F.col("n_node") > SMALL)
             if large.isEmpty():
                 break
-            level += 1
-            settled = stage(settle_large(large.join(classes.select("rep", "signature"), "rep"), threshold, loose))
-            found.append(settled.filter("node is null").select("a", "b"))
-            nodes = settled.filter("node is not null").select(F.col("a").alias("rep"), "node")
+            met = stage_lean(settle(large.join(sketches, "rep"), threshold, loose))
+            found.append(met.filter("rep is not null").select(F.col("rep").alias("a"), F.col("label").alias("b")))
+            found.append(met.select(F.col("label").alias("a"), F.col("other").alias("b")))
+            left = stage_lean(sized(met.filter("node is not null").select("rep", "label", "node")))
+            rest = left.filter(F.col("n_node") <= LEFT).join(sketches, "rep")
+            found.append(stage_lean(compare(in_tiles(rest, "node", F.col("n_node")), loose)))
+            more = left.filter(F.col("n_node") > LEFT)
+            if more.isEmpty():
+                break
+            nodes, level = split(more.join(signatures, "rep"), threshold), level + 1
         depth = max(depth, level)
     edges = found[0]
     for more in found[1:]:
         edges = edges.unionByName(more)
-    return edges
+    return edges.filter("a <> b")
 
 
 def shared(sets: list[np.ndarray], split: int | None) -> np.ndarray:
@@ -410,14 +436,14 @@ def jaccard_groups(
     least id (null ids last; ties by hash; rows equal in both count as one and are all kept). An empty
     table gives an empty result.
     """
-    members = stage(sets_of(df, id_col, text_col))
+    members = stage_lean(sets_of(df, id_col, text_col))
     first = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     classes = members.groupBy("class").agg(
         F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("signature").alias("signature"), F.max("sketch").alias("sketch")
     )
-    classes = stage(classes.withColumn("rep", F.monotonically_increasing_id()))
+    classes = stage_lean(classes.withColumn("rep", F.monotonically_increasing_id()))
     joined = classes.filter("n > 0")
-    groups = stage(components(loose_edges(joined, threshold, recall))).withColumnRenamed("node", "rep")
+    groups = stage_lean(components(loose_edges(joined, threshold, recall))).withColumnRenamed("node", "rep")
 
     # exact comparison: shingles of the classes in groups, from the text of each one's first document
     wanted = groups.join(joined, "rep").select("rep", "component", "copies", "class", F.col("first.id").alias("id"), F.col("first.hash").alias("hash"))
@@ -437,11 +463,11 @@ def jaccard_groups(
     sets = found.select("rep", "component", "copies", "class", "text").mapInArrow(expand, "rep long, component long, copies long, shingles binary")
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     tiled = in_tiles(sets.join(sizes, "component"), "component", F.col("members"))
-    exact = stage(verify(tiled, threshold))
+    exact = stage_lean(verify(tiled, threshold))
     links = exact.filter("links is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     joint = components(exact.filter("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
     placed = classes.join(joint, "rep", "left").join(links, "rep", "left")
-    placed = stage(placed.select("rep", "class", "copies", "first", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links")))
+    placed = stage_lean(placed.select("rep", "class", "copies", "first", F.coalesce("component", "rep").alias("component"), F.coalesce("links", F.lit(0)).alias("links")))
     heads = placed.groupBy("component").agg(F.min("first").alias("head"))
     told = placed.join(heads, "component").select("class", "head", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     return members.select("id", "hash", "class").join(told, "class").select(
@@ -456,7 +482,7 @@ def jaccard_groups(
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``df``, one of each group of linked documents: the one with the least id. Of rows that
     repeat id and text one stays, no matter which."""
-    groups = stage(jaccard_groups(df, id_col, text_col, threshold))
+    groups = stage_lean(jaccard_groups(df, id_col, text_col, threshold))
     kept = groups.filter("kept").select("id", "hash")
     again = not kept.groupBy("id", "hash").count().filter("count > 1").isEmpty()
     rows = df.select(packed(df).alias("row"), F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(F.col(f"`{text_col}`")).alias("own_hash"))
