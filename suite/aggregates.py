@@ -12,7 +12,7 @@ from tidemark.operators.radius import near_places
 from tidemark.operators.vectors import vector_total
 from tidemark.plans.jobs import next_hour
 
-from .base import Data, query
+from .base import Data, job_of, query
 
 
 @query("a_min_max_count", "SELECT user_id, min(ts) AS first_at, max(ts) AS last_at, count(*) AS n FROM events GROUP BY 1")
@@ -96,7 +96,7 @@ def a_conditional_sum(d: Data) -> DataFrame:
 
 @query(
     "a_mode",
-    """SELECT user_id, job_id FROM (SELECT user_id, event_id % 97 AS job_id, count(*) AS n FROM events GROUP BY 1, 2) c
+    """SELECT user_id, job_id FROM (SELECT user_id, JOB(event_id) AS job_id, count(*) AS n FROM events GROUP BY 1, 2) c
        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY n DESC, job_id) = 1""",
 )
 def a_mode(d: Data) -> DataFrame:
@@ -129,11 +129,11 @@ def a_pivot(d: Data) -> DataFrame:
 
 @query(
     "a_hour_bucket",
-    """SELECT event_id % 97 AS job_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS start_date, max(value) AS top, count(*) AS n
+    """SELECT JOB(event_id) AS job_id, date_trunc('hour', ts) + INTERVAL 1 HOUR AS start_date, max(value) AS top, count(*) AS n
        FROM events GROUP BY 1, 2""",
 )
 def a_hour_bucket(d: Data) -> DataFrame:
-    return d.events.groupBy((F.col("event_id") % 97).alias("job_id"), next_hour("ts").alias("start_date")).agg(
+    return d.events.groupBy(job_of("event_id").alias("job_id"), next_hour("ts").alias("start_date")).agg(
         F.max("value").alias("top"), F.count(F.lit(1)).alias("n")
     )
 

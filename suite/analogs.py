@@ -1,7 +1,7 @@
 """Stand-in views: the tables the pipelines expect, derived from the shared parquet tables.
 
 The text is valid in both engines, so both start from the same rows. Tokens: ``{name}`` another
-view or table, ``EPOCH(x)`` seconds since 1970, ``TIMESTAMP_NTZ`` the zoneless type. Nothing is
+view or table, ``JOB(x)`` the job of an event, ``EPOCH(x)`` seconds since 1970, ``TIMESTAMP_NTZ`` the zoneless type. Nothing is
 sampled: every view is a projection or aggregate of whole tables, or the events of one type.
 """
 
@@ -10,21 +10,21 @@ VIEWS: dict[str, str] = {}
 # --- staffing views over the event stream -----------------------------------------------------
 
 VIEWS["shifts"] = """
-SELECT user_id, event_id % 97 AS job_id, event_id AS segment_id, ts AS shift_start,
+SELECT user_id, JOB(event_id) AS job_id, event_id AS segment_id, ts AS shift_start,
        ts + hours * INTERVAL '1' HOUR AS shift_end, hours AS hours_worked,
        CAST(floor(value) AS DOUBLE) AS job_wage
 FROM (SELECT *, CAST(floor(value) AS INT) % 12 + 1 AS hours FROM {events}) e
 """
 
 VIEWS["worked_pairs"] = """
-SELECT user_id, event_id % 97 AS job_id FROM {events} WHERE event_type = 'purchase'
+SELECT user_id, JOB(event_id) AS job_id FROM {events} WHERE event_type = 'purchase'
 """
 
 VIEWS["segments"] = """
 SELECT job_id, segment_index, EPOCH(start_at) AS start_time, start_time_offset, active, created_at
-FROM (SELECT event_id % 97 AS job_id, event_id AS segment_index, value >= 1 AS active, ts AS created_at,
-             ts + (event_id % 97 % 28) * INTERVAL '1' DAY AS start_at,
-             CAST(event_id % 97 % 5 * 90 AS INT) AS start_time_offset
+FROM (SELECT JOB(event_id) AS job_id, event_id AS segment_index, value >= 1 AS active, ts AS created_at,
+             ts + (JOB(event_id) % 28) * INTERVAL '1' DAY AS start_at,
+             CAST(JOB(event_id) % 5 * 90 AS INT) AS start_time_offset
       FROM {events}) s
 """
 
@@ -32,11 +32,11 @@ VIEWS["event_jobs"] = """
 SELECT job_id, job_created_at, job_created_at + (job_id % 28) * INTERVAL '1' DAY AS job_start_date_time,
        job_id % 5 + 5 AS job_needed_original_count,
        CASE WHEN job_id % 4 = 0 THEN NULL ELSE job_id % 12 END AS invited_worker_count
-FROM (SELECT event_id % 97 AS job_id, min(ts) AS job_created_at FROM {events} GROUP BY 1) j
+FROM (SELECT JOB(event_id) AS job_id, min(ts) AS job_created_at FROM {events} GROUP BY 1) j
 """
 
 VIEWS["applications"] = """
-SELECT user_id, event_id % 97 AS job_id,
+SELECT user_id, JOB(event_id) AS job_id,
        CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'purchase' THEN 2
                        WHEN 'signup' THEN 7 ELSE 8 END AS applied_status_enum,
        ts AS applied_status_start_date,
@@ -46,14 +46,14 @@ FROM {events}
 """
 
 VIEWS["needed_periods"] = """
-SELECT event_id % 97 AS job_id, CAST(floor(value) AS INT) % 10 + 1 AS needed, ts AS start_date,
-       coalesce(lead(ts) OVER (PARTITION BY event_id % 97 ORDER BY ts, event_id),
+SELECT JOB(event_id) AS job_id, CAST(floor(value) AS INT) % 10 + 1 AS needed, ts AS start_date,
+       coalesce(lead(ts) OVER (PARTITION BY JOB(event_id) ORDER BY ts, event_id),
                 TIMESTAMP_NTZ '2099-01-01 00:00:00') AS end_date
 FROM {events} WHERE event_type = 'signup'
 """
 
 VIEWS["requests"] = """
-SELECT user_id, event_id % 97 AS job_id, ts AS request_created_at,
+SELECT user_id, JOB(event_id) AS job_id, ts AS request_created_at,
        CASE WHEN value < 50 THEN ts + INTERVAL '6' HOUR END AS request_confirmed_at
 FROM {events} WHERE event_type = 'signup'
 """
@@ -66,12 +66,12 @@ FROM {events}
 """
 
 VIEWS["job_views"] = """
-SELECT event_id % 7 AS job_id, CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS received_at
+SELECT JOB(event_id) AS job_id, CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS received_at
 FROM {events} WHERE event_type = 'view'
 """
 
 VIEWS["job_applies"] = """
-SELECT event_id % 7 AS job_id, CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS created_at
+SELECT JOB(event_id) AS job_id, CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS created_at
 FROM {events} WHERE event_type = 'click'
 """
 
@@ -105,7 +105,7 @@ SELECT user_id, event_type AS cert_name, ts AS cert_completed_on, event_id % 2 A
 """
 
 VIEWS["cancel_labels"] = """
-SELECT event_id AS cancel_id, user_id AS cancel_user_id, event_id % 97 AS cancel_job_id, ts AS cancel_created_at,
+SELECT event_id AS cancel_id, user_id AS cancel_user_id, JOB(event_id) AS cancel_job_id, ts AS cancel_created_at,
        25 + (user_id * 7919 % 2400) / 100.0 AS user_address_latitude,
        -120 + (user_id * 104729 % 5000) / 100.0 AS user_address_longitude,
        CASE WHEN value < 50 THEN 'Event Staff' ELSE 'Warehouse' END AS job_type
@@ -113,7 +113,7 @@ FROM {events} WHERE event_type = 'error'
 """
 
 VIEWS["job_places"] = """
-SELECT event_id % 97 AS job_id, ts AS job_created_at,
+SELECT JOB(event_id) AS job_id, ts AS job_created_at,
        25 + (event_id * 7919 % 2400) / 100.0 AS job_address_latitude,
        -120 + (event_id * 104729 % 5000) / 100.0 AS job_address_longitude
 FROM {events} WHERE event_type = 'view'

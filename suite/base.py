@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,19 @@ SQL: dict[str, str] = {}
 _REFERENCE = re.compile(r"\{(\w+)\}")
 
 
+# events of one stand-in job: the number of jobs grows with the events
+JOB_EVENTS = 40
+
+
+def with_jobs(text: str) -> str:
+    """Spell out ``JOB(x)``, the job an event belongs to."""
+    return re.sub(r"JOB\((\w+)\)", rf"CAST(floor(\1 / {JOB_EVENTS}) AS BIGINT)", text)
+
+
+def job_of(event: str) -> Column:
+    return F.floor(F.col(event) / JOB_EVENTS)
+
+
 class Data:
     """Tables and views of one data folder."""
 
@@ -40,7 +53,7 @@ class Data:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         text = VIEWS[name]
         inputs = {n: getattr(self, n) for n in dict.fromkeys(_REFERENCE.findall(text))}
-        return self.spark.sql(re.sub(r"EPOCH\((\w+)\)", r"unix_timestamp(\1)", text), **inputs)
+        return self.spark.sql(re.sub(r"EPOCH\((\w+)\)", r"unix_timestamp(\1)", with_jobs(text)), **inputs)
 
 
 def duckdb_sql(text: str) -> str:
@@ -59,7 +72,7 @@ def duckdb_sql(text: str) -> str:
     if order:
         views = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in order)
         body = f"WITH {views}{', ' + body[5:] if body[:5].upper() == 'WITH ' else ' ' + body}"
-    body = _REFERENCE.sub(r"\1", body).replace("TIMESTAMP_NTZ", "TIMESTAMP")
+    body = with_jobs(_REFERENCE.sub(r"\1", body)).replace("TIMESTAMP_NTZ", "TIMESTAMP")
     return re.sub(r"EPOCH\((\w+)\)", r"(epoch_us(\1) // 1000000)", body)
 
 

@@ -24,7 +24,7 @@ from tidemark.operators.vectors import running_vector
 from tidemark.plans.jobs import attach_group_stats
 from tidemark.plans.people import latest_schedule, signed_applicants
 
-from .base import Data, query
+from .base import Data, job_of, query
 from .joins import TIGHT
 
 
@@ -280,8 +280,8 @@ def w_running_ratio(d: Data) -> DataFrame:
     "w_signed_running_sum",
     """SELECT DISTINCT job_id, start_date, CAST(sum(CASE WHEN status IN ('click', 'purchase') THEN 1 ELSE -1 END)
          OVER (PARTITION BY job_id ORDER BY start_date) AS BIGINT) AS total_applicants
-       FROM (SELECT event_id % 97 AS job_id, event_type AS status, ts AS start_date FROM events WHERE event_type <> 'view') c""",
+       FROM (SELECT JOB(event_id) AS job_id, event_type AS status, ts AS start_date FROM events WHERE event_type <> 'view') c""",
 )
 def w_signed_running_sum(d: Data) -> DataFrame:
-    changes = d.status.select((F.col("event_id") % 97).alias("job_id"), "status", "start_date")
+    changes = d.status.select(job_of("event_id").alias("job_id"), "status", "start_date")
     return signed_applicants(changes, plus=["click", "purchase"], minus=["signup", "error"], split=TIGHT)

@@ -312,6 +312,7 @@ def presence_changes(
     ).where((F.col("d_eligible") != 0) | (F.col("d_active") != 0))
 
 
+# Radii in miles
 RADII_MILES = (1, 5, 10, 15)
 
 
@@ -419,12 +420,12 @@ WIDE_STATISTICS = (
 def job_market_wide(
     jobs: DataFrame, zip_counties: DataFrame, users: DataFrame, status: DataFrame, logs: Sequence[DataFrame],
     detail_columns: Sequence[str], created_from: str | None = None, activity_from: str | None = None, *,
-    radii: Sequence[float] = RADII_MILES, split: Split | None = SPLIT,
+    radii: Sequence[float] = RADII_MILES, strict: bool = False, split: Split | None = SPLIT,
 ) -> DataFrame:
     """The same metrics on the job key, joined again with the job table for its raw columns."""
     market = job_market(
         jobs, zip_counties, users, status, logs, created_from, activity_from, radii=radii,
-        split=split,
+        strict=strict, split=split,
     )
     narrow = market.select("job_id", *WIDE_STATISTICS, *count_names(radii))
     details = jobs.select(F.col("job_id").cast("string").alias("job_id"), *detail_columns)
