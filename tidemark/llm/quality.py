@@ -109,7 +109,7 @@ def remainder(id_col: str, by: int) -> Column:
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = LABEL_SAMPLE) -> Ranking:
-    """Fit on at most ``most`` labelled documents, the first by hash of their id.
+    """Fit on at most ``most`` labelled documents, chosen by the hash of their id.
 
     Rows without a label, and labels of documents that aren't there, are not used; several labels of one
     document count as their majority, an even split as 1.
@@ -117,8 +117,11 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     by_hash = F.xxhash64("id")
     judged = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")).dropna()
     judged = judged.groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
-    # ``most`` rows at most, so they may be broadcast
-    chosen = F.broadcast(stage(judged.orderBy(by_hash, "id").limit(most)))
+    judged = stage(judged)
+    # about ``most`` rows by the hash of their id, then the limit: so few that they may be broadcast
+    share = most / max(1, judged.count())
+    thinned = judged.filter(F.pmod(by_hash, F.lit(2**31)) < int(min(1.0, share) * 2**31))
+    chosen = F.broadcast(stage(thinned.orderBy(by_hash, "id").limit(most)))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
