@@ -372,15 +372,13 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
     """
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[np.ndarray] = []
+
         def out() -> pa.RecordBatch:
-            arrays = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (ends, others, links)]
-            mask = [pa.array(np.concatenate(x) if x else np.zeros(0, bool)) for x in (is_edge,)][0]
-            none = pa.nulls(len(arrays[0]), pa.int64())
-            b = pa.compute.if_else(mask, arrays[1], none) if len(mask) else arrays[1]
-            n = pa.compute.if_else(mask, none, arrays[2]) if len(mask) else arrays[2]
-            return pa.record_batch([arrays[0], b, n], names=["a", "b", "links"])
-
-        ends, others, links, is_edge = [], [], [], []
+            a, b, links = np.concatenate(rows, axis=1) if rows else np.zeros((3, 0), np.int64)
+            edge = links == 0
+            return pa.record_batch([pa.array(a), pa.array(b, mask=~edge), pa.array(links, mask=edge)], names=["a", "b", "links"])
+
         for group in groups_of(batches, 3):
             rep, first = np.unique(group.column("rep").to_numpy(), return_index=True)
             group = group.take(pa.array(first))
@@ -410,13 +408,11 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
             some = np.flatnonzero(count)
             label = forest(square)
             tied = np.flatnonzero(label != np.arange(len(rep)))
-            ends += [rep[some], rep[tied]]
-            others += [rep[some], rep[label[tied]]]
-            links += [count[some].astype(np.int64), np.zeros(len(tied), np.int64)]
-            is_edge += [np.zeros(len(some), bool), np.ones(len(tied), bool)]
-            if len(ends) > 1000:
+            rows.append(np.stack([rep[some], rep[some], count[some].astype(np.int64)]))
+            rows.append(np.stack([rep[tied], rep[label[tied]], np.zeros(len(tied), np.int64)]))
+            if len(rows) > 1000:
                 yield out()
-                ends, others, links, is_edge = [], [], [], []
+                rows.clear()
         yield out()
 
     keys = ["group", "low", "high"]
