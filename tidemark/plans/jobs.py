@@ -338,10 +338,10 @@ def supply_counts(
     Counts in force are running sums per county and per place, looked up as of the creation. A place
     is a user site near the job or a whole cube of sites inside a circle (see ``near_places``).
     """
-    # the jobs are needed for their instants, their sites and their counts: located once
-    located = stage(located.select("job_id", "county", *JOB_AT, "job_created_at"))
-    user_sites = users.where(F.col("county").isNotNull()).groupBy("county", *USER_AT).agg(
-        F.min("user_id").alias("user_site")
+    located = located.select("job_id", "county", *JOB_AT, "job_created_at")
+    # sites are counted at every level of cubes and met by all jobs: grouped once
+    user_sites = stage(
+        users.where(F.col("county").isNotNull()).groupBy("county", *USER_AT).agg(F.min("user_id").alias("user_site"))
     )
     placed = users.join(user_sites, ["county", *USER_AT], "left")
     kind = dict(located.dtypes)["job_created_at"]
@@ -402,7 +402,8 @@ def job_market(
     split: Split | None = SPLIT,
 ) -> DataFrame:
     """Job attributes at creation: market wage, demand, and eligible and active users by radius."""
-    located = located_jobs(jobs, zip_counties, created_from)
+    # the jobs are needed for their statistics, instants, sites and counts: located once
+    located = stage(located_jobs(jobs, zip_counties, created_from))
     changes = presence_changes(status, activity_days(logs, activity_from, strict), split=split)
     supply = supply_counts(located, users_with_county(users, zip_counties), changes, radii, split=split)
     supplied = attach_supply(market_stats(located), supply, radii)
