@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -63,6 +63,19 @@ def text_bytes(column) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+def in_slices(texts: list[bytes], most: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
+    """(first, texts): runs of about ``most`` bytes, so that the words of a whole batch are never held at
+    once; a longer text is a run of its own."""
+    first, size = 0, 0
+    for at, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield first, texts[first:at]
+            first, size = at, 0
+        size += len(text)
+    if first < len(texts):
+        yield first, texts[first:]
+
+
 def positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), into: str = "position") -> DataFrame:
     """Add each row's 0-based position in ``order`` among the rows with equal ``by``, and ``n_in_group``.
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import in_slices, text_bytes
 from tidemark.sources.staging import stage
 
 SHORTLIST = 960
@@ -63,18 +63,6 @@ def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(map(TOKENS.__getitem__, words), np.int64, len(words)), np.array(lengths, np.int64)
 
 
-def in_slices(texts: list[bytes], most: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
-    """(first, texts) runs of about ``most`` bytes, to bound memory; a long text is a run of its own."""
-    first, size = 0, 0
-    for at, text in enumerate(texts):
-        if size and size + len(text) > most:
-            yield first, texts[first:at]
-            first, size = at, 0
-        size += len(text)
-    if first < len(texts):
-        yield first, texts[first:]
-
-
 def token_counts(texts: DataFrame) -> DataFrame:
     """token, n over a frame with the one column text."""
 

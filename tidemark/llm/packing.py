@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import in_slices, text_bytes
 from tidemark.sources.staging import stage
 
 CAPACITY = 2048
@@ -96,7 +96,7 @@ class Encoder:
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     PLAIN = regex.compile("[!-~\u00a1-\u024f]+")
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 300_000):
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
@@ -182,9 +182,10 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity:
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             numbers, blobs = [], []
-            texts = text_bytes(batch.column(2))
-            for row, (place, text, ids) in enumerate(zip(batch.column(1).to_pylist(), texts, encode(texts))):
-                ids = memoryview(ids + end)
+            places = batch.column(1).to_pylist()
+            rows = ((first + k, text, ids) for first, part in in_slices(text_bytes(batch.column(2))) for k, (text, ids) in enumerate(zip(part, encode(part))))
+            for row, text, ids in rows:
+                place, ids = places[row], memoryview(ids + end)
                 n = len(ids) // 4
                 # every sixteenth document by a digest of its text, so the choice follows no order
                 filler = zlib.crc32(text) % FILLER_EVERY == 0
