@@ -94,6 +94,23 @@ def test_fingerprint_is_a_sum(spark):
     assert abs(r["near"] - math.sqrt(2 / 3)) < 0.25
 
 
+def test_fingerprints_are_wider_than_one_hash(spark):
+    lines = spark.range(400_000).select(F.concat(F.lit("line "), F.col("id")).alias("text"))
+    same = lines.groupBy(F.hash("text").alias("h")).agg(F.min("text").alias("a"), F.max("text").alias("b"))
+    pair = same.filter("a < b").orderBy("h").first()
+    df = spark.createDataFrame([(1, pair["a"]), (2, pair["b"])], "doc_id long, text string")
+    found = fingerprint.fingerprints(df).collect()
+    assert found[0]["fingerprint"] != found[1]["fingerprint"]
+    assert all(r["near_next"] < 1 for r in found)
+    # no lane is a function of a 32-bit state: they differ one by one, and each is spread over 16 bits
+    lanes = [[int(r["fingerprint"][k : k + 8], 16) for k in range(0, 512, 8)] for r in found]
+    assert sum(x != y for x, y in zip(*lanes)) >= 60
+    digest = "".join(hashlib.sha512((salt + pair["a"]).encode()).hexdigest() for salt in "01")
+    want = [int(digest[k : k + 4], 16) for k in range(0, 256, 4)]
+    own = next(r for r in found if r["id"] == 1)["fingerprint"]
+    assert [int(own[k : k + 8], 16) for k in range(0, 512, 8)] == [(w - 2**16 if w >= 2**15 else w) % 2**32 for w in want]
+
+
 def junk(rng: random.Random) -> str:
     text = words(rng, rng.randrange(20, 200))
     return rng.choice([text.upper().replace(" ", "!! "), text.replace(" ", "$$$ "), "Und " * rng.randrange(30, 300), text.replace(" ", " | ")])
