@@ -7,6 +7,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from hard_rows import corpus, docs, none, plain, words  # noqa: F401
 from tidemark.llm import repeats
@@ -81,3 +82,28 @@ def test_sample_covers():
     for k in range(len(passage) - 99):
         inside = lambda s, at: {x - at for x in s.at.tolist() if at + k <= x <= at + k + 68}
         assert inside(a, at_a) & inside(b, at_b)
+
+
+def test_slices_are_bounded_by_bytes(spark, monkeypatch):
+    """Long documents with neighbouring ids: no task holds more text than a slice's bytes or one document."""
+    rng = random.Random(4)
+    passage = words(rng, 60)
+    rows = [(k, words(rng, 20_000) if k < 24 else passage + words(rng, 20)) for k in range(60)]
+    rows.append((30, words(rng, 300_000)))
+    slices = []
+    by_slice = repeats._by_slice
+    monkeypatch.setattr(repeats, "_by_slice", lambda docs, *rest: slices.append(docs) or by_slice(docs, *rest))
+    found = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    for docs in slices:
+        sizes = docs.groupBy(repeats._slice_of(F.col("place"))).agg(F.sum(F.octet_length("text")).alias("size"), F.count(F.lit(1)).alias("n"))
+        assert all(r["size"] <= 1_000_000 or r["n"] == 1 for r in sizes.collect())
+    assert len(slices) == 2 and found.count() == len(rows)
+
+
+@pytest.mark.parametrize("most", [0, 700])
+def test_small_slices(spark, most, monkeypatch):
+    monkeypatch.setattr(repeats, "SLICE_BYTES", most)
+    rng = random.Random(5)
+    passage = words(rng, 60)
+    rows = [(k, words(rng, rng.randrange(30)) + passage[: rng.randrange(90, 300)] + words(rng, rng.randrange(30))) for k in range(60)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), rows)

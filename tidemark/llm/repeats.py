@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,9 @@ from tidemark.llm.jaccard import groups_of, mix
 
 LENGTH = 100
 CORE = 32
-# documents of a slice
+# a slice is at most so many documents and so many bytes; a longer document is a slice of its own
 SLICE_BITS = 8
+SLICE_BYTES = 1_000_000
 # cores with more triples than this go by single strings; the first bound is for one slice
 HOT_IN_SLICE, HOT = 32, 256
 DUPLICATE, OPEN, OPEN_HOT = 1, 2, 3
@@ -224,6 +226,26 @@ def whole_keys(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Ta
         yield pa.Table.from_batches(kept)
 
 
+def numbered(ordered: DataFrame, kind: str) -> DataFrame:
+    """id, place, text of rows (id, text): places ascend in the order of the partitions and of their rows, and
+    all but their last SLICE_BITS bits are the slice's number."""
+    bits, most = SLICE_BITS, SLICE_BYTES
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, nth, size = TaskContext.get().partitionId() << 33 - bits, 0, 0
+        for batch in batches:
+            lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0)
+            places = []
+            for length in lengths.to_pylist():
+                if nth >> bits or nth and size + length > most:
+                    own, nth, size = own + 1, 0, 0
+                places.append(own << bits | nth)
+                nth, size = nth + 1, size + length
+            yield pa.record_batch([batch.column(0), pa.array(places, pa.int64()), batch.column(1)], names=["id", "place", "text"])
+
+    return ordered.select("id", "text").mapInArrow(number, f"id {kind}, place long, text string")
+
+
 def _slice_of(place):
     return F.shiftright(place, SLICE_BITS)
 
@@ -369,14 +391,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Texts are UTF-8 bytes, null is empty. A byte is removed if a string of 100 bytes that holds it also
     starts earlier: in a document with a smaller id (null ids first; rows that repeat an id are ordered
     among themselves once), or earlier in the same document, overlaps included. Strings are judged on
-    the input and never cross documents. ``kept`` is binary, as a cut may fall inside a character. One
-    document is scanned in one task, which takes about a hundred bytes of memory for each of its own. An
-    empty table gives an empty result.
+    the input and never cross documents. ``kept`` is binary, as a cut may fall inside a character. A slice
+    (SLICE_BYTES, or one longer document) is scanned in one task, which takes about a hundred bytes of
+    memory for each of its own. An empty table gives an empty result.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    # ranges of ids in order: numbers of rows as written then follow the ids
+    # ranges of ids in order: places as written then follow the ids
     ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first())
-    docs = stage_lean(ordered.withColumn("place", F.monotonically_increasing_id()))
+    kind = df.schema[id_col].dataType.simpleString()
+    docs = stage_lean(numbered(ordered, kind))
     marks = stage_lean(judged(sampled(docs)))
     seen = stage_lean(contexts(docs, marks))
     by_context = compared(seen.filter("context is not null"))
@@ -410,6 +433,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         columns = {"id": s.ids, "n_bytes": pa.array(s.sizes), "removed": pa.array(removed, pa.list_(span)), "kept_sha256": pa.array(digests, pa.string())}
         return pa.table(columns | ({"kept": pa.array(kept, pa.binary())} if with_kept else {}))
 
-    kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_bytes long, removed array<struct<start:long,end:long>>, kept_sha256 string" + ", kept binary" * with_kept
     return _by_slice(docs, told, cut, schema)
