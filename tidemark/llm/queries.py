@@ -4,11 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tidemark.llm import chat, exact, fingerprint, jaccard, language, mixing, packing, quality, repeats, sharding
+from tidemark.llm import (
+    chat,
+    decontaminate,
+    exact,
+    fingerprint,
+    jaccard,
+    language,
+    merkle,
+    mixing,
+    packing,
+    periodic,
+    quality,
+    repeats,
+    sharding,
+)
+from tidemark.llm import sql as oracle
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +194,72 @@ def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, counts = language.train(docs.filter(~held_out).select("text"))
     scored = language.score_texts(docs, model, counts).withColumnRenamed("id", "doc_id")
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def echoed(doc_id: Column, text: Column) -> Column:
+    """The text whose words the contract of op11 repeats: in documents with h % 10 = 0 (h: CRC-32 of the
+    id) the words from a on are the p words from a on, over and over."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1), "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    repeated = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a)), " ")
+    return F.when((h % 10 == 0) & (n > 0), repeated).otherwise(text)
+
+
+@query("op11_periodic_runs", oracle.PERIODIC_RUNS)
+def periodic_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", echoed(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.periodic_runs(docs)
+    # runs come by start and period, so of equal ratios the first stays
+    better = lambda best, run: best["start"].isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    nothing = F.lit(None).cast("struct<start:long,length:long,period:long>")
+    best = F.aggregate("runs", nothing, lambda best, run: F.when(better(best, run), run).otherwise(best))
+    told = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(told, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_merkle_manifest", oracle.MERKLE_MANIFEST)
+def merkle_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", decontaminate.UPPER, decontaminate.LOWER)
+    tampered = merkle.leaf_digest(*(lowered if name == "text" else F.col(name) for name in merkle.LEAF_COLUMNS))
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, tampered)
+    proven = merkle.manifest(docs, carry={"tampered": changed})
+    return proven.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("carried.tampered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_decontamination", oracle.DECONTAMINATION)
+def decontamination_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, item_sets = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digests = item_sets.select(
+        "item_set", F.size("items").cast("long").alias("n"), F.sha2(F.array_join("items", ","), 256).alias("digest")
+    )
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.join(digests, "item_set", "left").select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.coalesce("n", F.lit(0)).alias("n_items"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("items_sha256"),
+        F.col("item_set").isNotNull().alias("contaminated"),
+    )
