@@ -20,17 +20,15 @@ def sha(text: str) -> str:
 
 def runs_by_definition(x) -> list[tuple]:
     """(start, length, period): every maximal stretch with a period, if that is its smallest."""
-    found = []
+    numbers = {w: k for k, w in enumerate(dict.fromkeys(x))}
+    codes, found = np.array([numbers[w] for w in x], np.int64), []
     for q in range(1, len(x) // 4 + 1):
-        i = q
-        while i < len(x):
-            j = i
-            while j < len(x) and x[j] == x[j - q]:
-                j += 1
+        same = np.r_[False, codes[q:] == codes[:-q], False]
+        ends = np.flatnonzero(same[1:] != same[:-1]).reshape(-1, 2) + q
+        for i, j in ends.tolist():
             run = x[i - q : j]
-            if j > i and len(run) >= max(6, 4 * q) and not any(run[p:] == run[:-p] for p in range(1, q)):
+            if len(run) >= max(6, 4 * q) and not any(run[p:] == run[:-p] for p in range(1, q)):
                 found.append((i - q, len(run), q))
-            i = max(j, i + 1)
     return sorted(found, key=lambda r: (r[0], r[2]))
 
 
