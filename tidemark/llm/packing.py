@@ -10,6 +10,7 @@ the tokens and rises whenever a window exceeds the capacity.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -83,34 +84,38 @@ def near_equal_windows(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, in
 
 
 class Encoder:
-    """Ids of texts, word by word; words and their parts are remembered, up to ``most`` of each.
+    """Ids of texts, word by word; words are remembered, up to ``most`` of them.
 
-    The tokenizer never joins characters across white space (its pre-tokenizer drops it and its
-    normalizer composes nothing with it), so a text's ids are those of its words in a row, and a word's
-    those of its parts (runs of letters, single digits, runs of other signs). New parts are encoded
-    many at a time; each ends in the one id of its own that carries the end-of-word mark, which is
+    The tokenizer lower-cases, never joins characters across white space (its pre-tokenizer drops it and its
+    normalizer composes nothing with it) and cuts words into parts: runs of letters, single digits, runs of other
+    signs. So a text's ids are those of its parts in a row. To meet fewer different words, texts are lower-cased
+    (A-Z) and cut where a sign follows a letter or digit, which always begins a part. New words of one part
+    are encoded many at a time; each ends in the one id of its own that carries the end-of-word mark, which is
     checked. Words outside plain Latin characters go to the tokenizer as they are.
     """
 
     # fixed values: the tokenizer's own pattern of word parts, in lower case
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-    PLAIN = regex.compile("[!-~\u00a1-\u024f]+")
+    PLAIN = regex.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+    # an ASCII sign after an ASCII letter or digit or a letter up to U+023F, in UTF-8; not after U+0130, whose
+    # lower case ends in a sign
+    SIGN = re.compile(
+        rb"[!-/:-@\[-`{-~](?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].)|(?<=\xc4[\x80-\xaf\xb1-\xbf].)|(?<=[\xc5-\xc8][\x80-\xbf].))"
+    )
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit words."""
-        split = [text.split() for text in texts]
+        # control strings, which begin with <|, are matched as they are written
+        split = [(text if b"<|" in text else self.SIGN.sub(rb" \g<0>", text.lower())).split() for text in texts]
         if len(self.words) > self.most:
             self.words.clear()
-        if len(self.parts) > self.most:
-            self.parts.clear()
         self._learn(set().union(*split) - self.words.keys())
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
@@ -119,40 +124,33 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, words: set[bytes]) -> None:
-        letters, signs, mixed = [], [], []
-        for word in words:
+        single = [word for word in words if word.isalpha()]
+        mixed = {}
+        for word in words.difference(single):
             text = word.decode("utf-8", "replace")
-            stem = text.rstrip(".,;:!?$*&%#|")
-            if not (text.isascii() or self.PLAIN.fullmatch(text)) or "<|" in text:
+            if "<|" in text or not self.PLAIN.fullmatch(text):
                 self.words[word] = self._whole(text)
-            elif not stem.isalpha():
-                mixed.append((word, self.PARTS.findall(text.lower())))
-            elif len(stem) == len(text):
-                letters.append((word, text.lower()))
+            elif text.isalpha():
+                single.append(word)
             else:
-                signs.append((word, stem.lower(), text[len(stem) :]))
-        found = {part for _, part in letters}
-        found.update(part for _, *both in signs for part in both)
-        found.update(part for _, parts in mixed for part in parts)
-        new = list(found - self.parts.keys())
-        for at in range(0, len(new), 2000):
-            self._learn_parts(new[at : at + 2000])
-        known = self.parts
-        self.words.update((word, known[part]) for word, part in letters)
-        self.words.update((word, known[stem] + known[tail]) for word, stem, tail in signs)
-        self.words.update((word, b"".join(map(known.__getitem__, parts))) for word, parts in mixed)
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        ids = np.frombuffer(self._whole(" ".join(parts)), "<u4")
+                mixed[word] = [part.encode() for part in self.PARTS.findall(text.lower())]
+        single += {part for parts in mixed.values() for part in parts} - self.words.keys() - words
+        # a word that is its only part
+        single += [word for word, parts in mixed.items() if parts == [word]]
+        for at in range(0, len(single), 2000):
+            self._learn_single(single[at : at + 2000])
+        known = self.words.__getitem__
+        self.words.update((word, b"".join(map(known, parts))) for word, parts in mixed.items() if parts != [word])
+
+    def _learn_single(self, words: list[bytes]) -> None:
+        data = self._whole(b" ".join(words).decode())
+        ids = np.frombuffer(data, "<u4")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) == len(parts) and ends[-1] == len(ids):
-            data, at = ids.tobytes(), 0
-            for part, end in zip(parts, (4 * ends).tolist()):
-                self.parts[part] = data[at:end]
-                at = end
+        if len(ends) == len(words) and ends[-1] == len(ids):
+            to = (4 * ends).tolist()
+            self.words.update((word, data[at:end]) for word, at, end in zip(words, [0, *to], to))
         else:
-            for part in parts:
-                self.parts[part] = self._whole(part)
+            self.words.update((word, self._whole(word.decode())) for word in words)
 
 
 ENCODERS: dict[str, Encoder] = {}
