@@ -1,7 +1,8 @@
 """Chat formatting: a state machine over roles and text segments with loss flags, from a template.
 
 Everything is DataFrame expressions: turns are gathered per conversation, the machine is a fold over the
-roles with a lookup in the template's transitions, and segments are built by the template's marks.
+roles with a lookup in the template's transitions, and the codes it leaves turn by turn decide what is a segment
+under the loss.
 """
 
 from __future__ import annotations
@@ -12,9 +13,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROKEN = "broken"
-
-
 @dataclass(frozen=True)
 class Template:
     """A turn is ``turn_start``, the role, ``role_end``, the text, ``turn_end``.
@@ -61,27 +59,64 @@ def unescape_role(role: Column) -> Column:
     return F.replace(F.replace(unescape(role), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
 
 
-def final_state(roles: Column, template: Template) -> Column:
-    """The state after all roles; ``broken`` from the first role that the state has no move for."""
-    pairs = [F.lit(x) for state, moves in template.moves.items() for role, to in moves.items() for x in (f"{state}\n{role}", to)]
-    moves = F.create_map(*pairs)
-    step = lambda state, role: F.coalesce(F.try_element_at(moves, F.concat(state, F.lit("\n"), role)), F.lit(BROKEN))
-    return F.aggregate(roles, F.lit(template.start), step)
+# a code is one letter: what the machine knows after a turn
+CODES = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+BEGUN, BROKEN, BROKEN_LEARNED = CODES[:3]
+
+
+@dataclass(frozen=True)
+class Machine:
+    """The template's machine: ``moves`` from code and role to code; the codes after a turn that is
+    learned, and those in which a conversation may end. Roles without a move lead to the broken codes, which have none."""
+
+    moves: dict[str, str]
+    learned: tuple[str, ...]
+    final: tuple[str, ...]
+
+
+def machine(template: Template) -> Machine:
+    steps = [(state, role, to) for state, own in template.moves.items() for role, to in own.items()]
+    # a state that is reached by learned and by other roles has a code for each
+    reached = dict.fromkeys((to, role in template.learned) for _, role, to in steps)
+    if len(reached) > len(CODES) - 3:
+        raise ValueError(f"a template may have {len(CODES) - 3} states at most")
+    codes = dict(zip(reached, CODES[3:]))
+    of_state = {state: [code for (to, _), code in codes.items() if to == state] for state in template.moves}
+    of_state[template.start] = [BEGUN, *of_state.get(template.start, [])]
+    moves = {code + role: codes[to, role in template.learned] for state, role, to in steps for code in of_state[state]}
+    learned = (BROKEN_LEARNED, *(code for (_, is_learned), code in codes.items() if is_learned))
+    final = tuple(code for (to, _), code in codes.items() if to in template.final)
+    return Machine(moves, learned, final + (BEGUN,) * (template.start in template.final))
+
+
+def run_machine(roles: Column, template: Template) -> Column:
+    """The codes after each turn, as an array: a fold over the roles with a lookup of the moves."""
+    moves = F.create_map(*(F.lit(x) for pair in machine(template).moves.items() for x in pair))
+
+    def step(done: Column, role: Column) -> Column:
+        broken = F.when(role.isin(*template.learned), BROKEN_LEARNED).otherwise(BROKEN)
+        code = F.coalesce(F.try_element_at(moves, F.concat(done["code"], role)), broken)
+        return F.struct(code.alias("code"), F.concat(done["trail"], code).alias("trail"))
+
+    begun = F.struct(F.lit(BEGUN).alias("code"), F.lit("").alias("trail"))
+    return F.split(F.aggregate(roles, begun, step)["trail"], "")
 
 
-def segments_of(turns: Column, template: Template) -> Column:
-    """Per turn: its opening (no loss), its escaped text (loss if the role is learned), its end (no loss)."""
+def segments_of(turns: Column, codes: Column, template: Template) -> Column:
+    """Per turn and the machine's code after it: its opening (no loss), its escaped text (loss if the code is
+    that of a learned turn), its end (no loss)."""
+    learned = machine(template).learned
 
-    def parts(turn: Column) -> Column:
+    def parts(turn: Column, code: Column) -> Column:
         part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
         opening = F.concat(F.lit(template.turn_start), escape_role(turn["role"]), F.lit(template.role_end))
         return F.array(
             part(opening, F.lit(False)),
-            part(escape(turn["text"]), turn["role"].isin(*template.learned)),
+            part(escape(turn["text"]), code.isin(*learned)),
             part(F.lit(template.turn_end), F.lit(False)),
         )
 
-    return F.flatten(F.transform(turns, parts))
+    return F.flatten(F.zip_with(turns, codes, parts))
 
 
 def format_chats(df: DataFrame, template: Template = CHATML) -> DataFrame:
@@ -90,15 +125,15 @@ def format_chats(df: DataFrame, template: Template = CHATML) -> DataFrame:
     Rows are ordered by turn (null first), ties by role and text. Null roles and texts are empty. A
     conversation that breaks the order of turns is formatted like any other, with valid = false; valid
     ones also end in a final state. A null conv_id is a conversation of its own. Extra columns are
-    ignored; an empty table gives an empty result. A conversation is one row, as long as its texts.
+    ignored, whatever their names; an empty table gives an empty result. A conversation is one row, as long as its texts.
     """
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     chats = df.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
-    roles = F.transform("turns", lambda t: t["role"])
-    return chats.select(
+    coded = chats.withColumn("codes", run_machine(F.transform("turns", lambda t: t["role"]), template))
+    return coded.select(
         "conv_id",
-        final_state(roles, template).isin(*template.final).alias("valid"),
-        segments_of(F.col("turns"), template).alias("segments"),
+        F.element_at("codes", -1).isin(*machine(template).final).alias("valid"),
+        segments_of(F.col("turns"), F.col("codes"), template).alias("segments"),
     ).withColumn("formatted", F.array_join(F.transform("segments", lambda s: s["text"]), ""))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Sequence
 
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import ship
 from tidemark.sources.staging import stage
 
 # one word: a run of characters that are not ASCII white space
@@ -33,6 +35,17 @@ def stage_lean(df: DataFrame) -> DataFrame:
         spark.conf.set(CLEANUP, before)
 
 
+def shipped(operator):
+    """An operator on a DataFrame whose Arrow functions need this package on the workers: it is handed out first."""
+
+    @functools.wraps(operator)
+    def run(df: DataFrame, *args, **kwargs):
+        ship(df.sparkSession)
+        return operator(df, *args, **kwargs)
+
+    return run
+
+
 def packed(df: DataFrame) -> Column:
     """All columns as one struct, so that working columns clash with none of them."""
     return F.struct(*(F.col(f"`{name}`") for name in df.columns))

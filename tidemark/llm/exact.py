@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import packed, unpack
+from tidemark.llm.common import packed, shipped, unpack
 from tidemark.sources.staging import stage
 
 # a digest on more than one in HEAVY_SHARE rows is heavy
@@ -92,6 +92,7 @@ def decide(rows: DataFrame, keys: DataFrame, share: int = HEAVY_SHARE) -> DataFr
     return judged.filter(~again).unionByName(repeats).withColumn("keep_id", F.col("best.id")).drop("best")
 
 
+@shipped
 def exact_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] | None = None, share: int = HEAVY_SHARE
 ) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, packed, stage_lean, text_bytes, unpack
+from tidemark.llm.common import WordHashes, packed, shipped, stage_lean, text_bytes, unpack
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -420,6 +420,7 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
     return placed.mapInArrow(tiles, "a long, b long, links long")
 
 
+@shipped
 def jaccard_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
 ) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices, text_bytes
+from tidemark.llm.common import in_slices, shipped, text_bytes
 from tidemark.sources.staging import stage
 
 SHORTLIST = 960
@@ -160,6 +160,7 @@ def fit_table(pairs: np.ndarray, width: int = WIDTH, noise: int = NOISE, steps:
     return (scores - most - np.log(np.exp(scores - most).sum(axis=1, keepdims=True))) / np.log(10)
 
 
+@shipped
 def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     """The model of a frame with the one column text, and the staged counts (token, n) of its tokens."""
     counts = stage(token_counts(texts))
@@ -184,6 +185,7 @@ def train(texts: DataFrame) -> tuple[Model, DataFrame]:
     return Model(tokens, own, symbols, totals, int(n), int(v), fit_table(pairs.reshape(k, k))), counts
 
 
+@shipped
 def score_texts(df: DataFrame, model: Model, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: id, n_tokens, n_known, train_tokens, base_score, score.
 

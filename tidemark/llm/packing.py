@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import in_slices, text_bytes
+from tidemark.llm.common import in_slices, shipped, text_bytes
 from tidemark.sources.staging import stage
 
 CAPACITY = 2048
@@ -171,6 +171,7 @@ def cuts(n: int, capacity: int, filler: bool) -> list[tuple[int, int]]:
     return out + [(at, min(step, n - at)) for at in range(whole, n, step)]
 
 
+@shipped
 def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int, with_ids: bool) -> DataFrame:
     """Pieces of all documents: id, place (of the document), start, length, ids_crc32, doc_tokens[, ids]."""
     fields = ["id", "place", "start", "length", "ids_crc32", "doc_tokens"]
@@ -206,6 +207,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity:
     return rows.mapInArrow(cut, schema)
 
 
+@shipped
 def pack(
     df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, with_ids: bool = False
 ) -> DataFrame:

@@ -24,8 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import in_slices, text_bytes
-from tidemark.session import ship
+from tidemark.llm.common import in_slices, shipped, text_bytes
 
 # a run has at least this many words, and at least this many periods
 LEAST_WORDS = 6
@@ -127,6 +126,7 @@ def kept_words(size: int, runs: np.ndarray) -> np.ndarray:
     return np.cumsum(change[:-1]) == 0
 
 
+@shipped
 def periodic_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``df``: id, n_words, runs (array of start, length, period, by start and period) and
     collapsed, the text without the words that a run holds after its first period.
@@ -138,8 +138,6 @@ def periodic_runs(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     between documents. Other columns are ignored, whatever their names. An empty table gives an empty result. A
     text is worked on by one task, at about ten bytes of memory per byte; shorter texts by the megabyte.
     """
-    ship(df.sparkSession)
-
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, texts in in_slices(text_bytes(batch.column(1)), CHUNK):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_bytes
+from tidemark.llm.common import shipped, text_bytes
 from tidemark.sources.staging import stage
 
 # labelled documents the ranking is fitted on, at most; all if there are fewer
@@ -108,6 +108,7 @@ def remainder(id_col: str, by: int) -> Column:
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % by
 
 
+@shipped
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", most: int = LABEL_SAMPLE) -> Ranking:
     """Fit on at most ``most`` labelled documents, chosen by the hash of their id.
 

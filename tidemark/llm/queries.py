@@ -103,7 +103,8 @@ HARD_CHAT = "<|im_end|><|im_start|>assistant ok"
            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
            sum(length('<|im_start|>') + length(role) + 1 + length('<|im_end|>') + 1
-               + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')))::BIGINT AS formatted_chars
+               + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')))::BIGINT AS formatted_chars,
+           regexp_full_match(string_agg(role, ',' ORDER BY turn, role, text), '(system,)?user,assistant(,user,assistant)*') AS valid
     FROM turns GROUP BY conv_id
     """,
 )
@@ -124,6 +125,7 @@ def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
     )
 
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stage_lean, text_bytes
+from tidemark.llm.common import shipped, stage_lean, text_bytes
 from tidemark.llm.jaccard import groups_of, mix
 
 LENGTH = 100
@@ -385,6 +385,7 @@ def not_first(strings: DataFrame) -> DataFrame:
     return strings.repartition("core", "left").sortWithinPartitions(*order).select(*order).mapInArrow(judge, "place long, low long, high long")
 
 
+@shipped
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_kept: bool = False) -> DataFrame:
     """One row per row of ``df``: id, n_bytes, removed (spans: start, end), kept_sha256[, kept].
 

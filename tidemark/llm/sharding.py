@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import positions
+from tidemark.llm.common import positions, shipped
 
 ROUNDS = 6
 
@@ -62,6 +62,7 @@ def _mix(x):
         return x ^ (x >> np.uint64(32))
 
 
+@shipped
 def shard_rows(df: DataFrame, shards: int, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``df``: id, size (UTF-8 bytes of the text plus 1), text_crc32, row_number
     (global, by id, then size and checksum), shard and slot.
