@@ -13,6 +13,7 @@ import heapq
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -30,6 +31,8 @@ END_ID = 1
 # one document in FILLER_EVERY has its rest cut into pieces of FILLER_TOKENS, which level the windows
 FILLER_EVERY = 16
 FILLER_TOKENS = 32
+# bytes of text encoded at once; their words are held as objects
+SLICE = 4_000_000
 # items of a block, on average
 BLOCK = 2048
 
@@ -116,7 +119,7 @@ class Encoder:
         split = [(text if b"<|" in text else self.SIGN.sub(rb" \g<0>", text.lower())).split() for text in texts]
         if len(self.words) > self.most:
             self.words.clear()
-        self._learn(set().union(*split) - self.words.keys())
+        self._learn(set(filterfalse(self.words.__contains__, chain.from_iterable(split))))
         known = self.words.__getitem__
         return [b"".join(map(known, words)) for words in split]
 
@@ -182,7 +185,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity:
         for batch in batches:
             numbers, blobs = [], []
             places = batch.column(1).to_pylist()
-            rows = ((first + k, text, ids) for first, part in in_slices(text_bytes(batch.column(2))) for k, (text, ids) in enumerate(zip(part, encode(part))))
+            rows = ((first + k, text, ids) for first, part in in_slices(text_bytes(batch.column(2)), SLICE) for k, (text, ids) in enumerate(zip(part, encode(part))))
             for row, text, ids in rows:
                 place, ids = places[row], memoryview(ids + end)
                 n = len(ids) // 4
