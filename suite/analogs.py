@@ -75,6 +75,14 @@ SELECT JOB(event_id) AS job_id, CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) AS
 FROM {events} WHERE event_type = 'click'
 """
 
+VIEWS["view_instants"] = """
+SELECT JOB(event_id) AS job_id, CAST(ts AS TIMESTAMP_NTZ) AS received_at FROM {events} WHERE event_type = 'view'
+"""
+
+VIEWS["apply_instants"] = """
+SELECT JOB(event_id) AS job_id, CAST(ts AS TIMESTAMP_NTZ) AS created_at FROM {events} WHERE event_type = 'click'
+"""
+
 VIEWS["ratings"] = """
 SELECT event_id AS id, user_id, event_id % 5 + 1 AS rating,
        CAST(date_trunc('day', ts) AS TIMESTAMP_NTZ) AS created_at,
@@ -137,6 +145,12 @@ SELECT user_id % 13 + 1 AS period, min(CAST(ts AS DATE)) AS start_date, max(CAST
 FROM {events} GROUP BY 1
 """
 
+# five days of each week with an event, so that days between the periods are missing
+VIEWS["fiscal_weeks"] = """
+SELECT CAST(date_trunc('week', ts) AS DATE) AS start_date, CAST(date_trunc('week', ts) AS DATE) + 4 AS end_date
+FROM {events} GROUP BY 1, 2
+"""
+
 # --- change logs and market views over orders -------------------------------------------------
 
 VIEWS["needed_edits"] = """

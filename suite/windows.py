@@ -181,6 +181,24 @@ def w_rolling_distinct(d: Data) -> DataFrame:
     ).select("user_id", "day", "jobs_total", "jobs_7")
 
 
+_LONG_FRAMES = "".join(
+    f", w{n} AS (PARTITION BY user_id ORDER BY d ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)" for n in (30, 90)
+)
+
+
+@query(
+    "w_rolling_distinct_90",
+    f"""{_DAILY}
+SELECT user_id, CAST(d AS TIMESTAMP) AS day, count(DISTINCT job_id) OVER w30 AS jobs_30, count(DISTINCT job_id) OVER w90 AS jobs_90,
+       count(DISTINCT shifts) OVER w30 AS counts_30, round(avg(wage) OVER w90, 6) AS wage_90
+FROM daily {_FRAMES} {_LONG_FRAMES}""",
+)
+def w_rolling_distinct_90(d: Data) -> DataFrame:
+    frames = {"jobs_30": ("job_id", 30), "jobs_90": ("job_id", 90), "counts_30": ("shifts", 30)}
+    counted = rolling_distinct(_daily(d), "user_id", "day", frames)
+    return rolling_means(counted, "user_id", "day", {"wage_90": ("wage", 90)}).drop("shifts", "wage", "job_id")
+
+
 @query(
     "w_partition_stats",
     """SELECT o_orderkey, round(avg(floor(o_totalprice)) OVER w, 6) AS mean, max(o_totalprice) OVER w AS top,

@@ -31,6 +31,31 @@ def test_rolling_frames_hold_n_plus_one_rows(spark):
     assert means[5][0] == 4.0
 
 
+def test_rolling_measures_by_definition(spark):
+    rng = random.Random(4)
+    data = [
+        (u, d, rng.choice([None, "a", "b", "c"]), rng.choice([None, 1.1, 0.1, 2.7]), rng.randrange(3))
+        for u in (None, "x", "y") for d in range(rng.randrange(20, 40))
+    ]
+    df = spark.createDataFrame(data, "u string, d int, j string, v double, k int").repartition(3)
+    sizes = (None, 0, 1, 4, 50)
+    counted = rolling_distinct(df, "u", "d", {f"{c}{n}": (c, n) for c in ("j", "k") for n in sizes})
+    found = rolling_means(counted, "u", "d", {f"v{n}": ("v", n) for n in sizes}).collect()
+    assert len(found) == len(data)
+    for r in found:
+        for n in sizes:
+            frame = [x for x in data if x[0] == r["u"] and x[1] <= r["d"] and (n is None or x[1] >= r["d"] - n)]
+            assert r[f"j{n}"] == len({x[2] for x in frame} - {None}) and r[f"k{n}"] == len({x[4] for x in frame})
+            values = [x[3] for x in frame if x[3] is not None]
+            assert r[f"v{n}"] == pytest.approx(sum(values) / len(values), abs=1e-9) if values else r[f"v{n}"] is None
+
+
+def test_rolling_distinct_builds_no_sets_and_shuffles_once(spark):
+    df = spark.range(100).select((F.col("id") % 5).alias("u"), F.col("id").alias("d"), (F.col("id") % 3).alias("j"))
+    told = plan(rolling_distinct(df, "u", "d", {"a": ("j", 30), "b": ("j", 90), "c": ("j", None)}))
+    assert "collect_set" not in told and told.count("Exchange") == 1
+
+
 def test_last_running_total_is_the_group_sum(spark):
     df = spark.range(500).select((F.col("id") % 7).alias("u"), F.expr("date_add(date'2024-01-01', cast(id as int))").alias("d"), (F.col("id") * 3).alias("v"))
     last = rolling_totals(df, "u", "d", {"t": ("v", None)}).groupBy("u").agg(F.max_by("t", "d").alias("t"))
