@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import shift_hours, start_slot
 from tidemark.operators.dedupe import most_frequent
 from tidemark.operators.history import change_points
-from tidemark.operators.radius import near_places
+from tidemark.operators.radius import CROWD, near_places
 from tidemark.operators.vectors import vector_total
 from tidemark.plans.jobs import next_hour
 
@@ -40,9 +40,7 @@ def a_count_distinct(d: Data) -> DataFrame:
 _RADII = (100, 250, 500, 1000)
 
 
-@query(
-    "a_radius_counts",
-    f"""WITH u AS (SELECT c_custkey, 25 + (c_custkey * 7919 % 2400) / 100.0 AS lat, -120 + (c_custkey * 104729 % 5000) / 100.0 AS lon, c_nationkey, c_acctbal FROM customer),
+_RADIUS_COUNTS = f"""WITH u AS (SELECT c_custkey, 25 + (c_custkey * 7919 % 2400) / 100.0 AS lat, -120 + (c_custkey * 104729 % 5000) / 100.0 AS lon, c_nationkey, c_acctbal FROM customer),
        s AS (SELECT s_suppkey, 25 + (s_suppkey * 7919 % 2400) / 100.0 AS lat, -120 + (s_suppkey * 104729 % 5000) / 100.0 AS lon, s_nationkey FROM supplier),
        m AS (SELECT s_suppkey, c_custkey, c_acctbal, 2 * 3959 * asin(sqrt(least(1, pow(sin(radians(u.lat - s.lat) / 2), 2)
               + cos(radians(u.lat)) * cos(radians(s.lat)) * pow(sin(radians(u.lon - s.lon) / 2), 2)))) AS dist
@@ -50,9 +48,10 @@ _RADII = (100, 250, 500, 1000)
        SELECT s.s_suppkey AS job_id,
          {", ".join(f"count(DISTINCT c_custkey) FILTER (dist <= {r}) AS all_{r}_mile" for r in _RADII)},
          {", ".join(f"count(DISTINCT c_custkey) FILTER (dist <= {r} AND c_acctbal > 0) AS good_{r}_mile" for r in _RADII)}
-       FROM s LEFT JOIN m ON m.s_suppkey = s.s_suppkey GROUP BY 1""",
-)
-def a_radius_counts(d: Data) -> DataFrame:
+       FROM s LEFT JOIN m ON m.s_suppkey = s.s_suppkey GROUP BY 1"""
+
+
+def _radius_counts(d: Data, crowd: int) -> DataFrame:
     """Near places are met once and their users summed, so nothing is counted by several distincts."""
     users = d.customer.select(
         F.col("c_nationkey").alias("nation"),
@@ -70,7 +69,7 @@ def a_radius_counts(d: Data) -> DataFrame:
         (25 + (F.col("s_suppkey") * 7919 % 2400) / 100.0).alias("jlat"),
         (-120 + (F.col("s_suppkey") * 104729 % 5000) / 100.0).alias("jlon"),
     )
-    places = near_places(jobs, sites, ("jlat", "jlon"), ("ulat", "ulon"), "site", _RADII, by=["nation"])
+    places = near_places(jobs, sites, ("jlat", "jlon"), ("ulat", "ulon"), "site", _RADII, by=["nation"], crowd=crowd)
     weights = places.members.join(sites, "site").groupBy("level", "place").agg(
         F.sum("every").alias("every"), F.sum("good").alias("good")
     )
@@ -81,6 +80,17 @@ def a_radius_counts(d: Data) -> DataFrame:
     return jobs.select("job_id").join(counted, "job_id", "left").fillna(0)
 
 
+@query("a_radius_counts", _RADIUS_COUNTS)
+def a_radius_counts(d: Data) -> DataFrame:
+    return _radius_counts(d, CROWD)
+
+
+@query("a_radius_counts_crowded", _RADIUS_COUNTS)
+def a_radius_counts_crowded(d: Data) -> DataFrame:
+    """Cubes with more than four sites are halved, at 60 customers a nation three times and more."""
+    return _radius_counts(d, 4)
+
+
 @query(
     "a_conditional_sum",
     """SELECT user_id, CAST(sum(CASE WHEN event_type = 'click' AND value > 20 THEN 1 ELSE 0 END) AS BIGINT) AS strong_clicks,

@@ -21,7 +21,7 @@ from tidemark.operators.running import (
 )
 from tidemark.operators.spine import entity_days
 from tidemark.operators.vectors import running_vector
-from tidemark.plans.jobs import attach_group_stats
+from tidemark.plans.jobs import attach_group_stats, attach_nested_stats
 from tidemark.plans.people import latest_schedule, signed_applicants
 
 from .base import Data, job_of, query
@@ -83,6 +83,12 @@ def w_running_range_hot(d: Data) -> DataFrame:
     return _running_range(d, TIGHT)
 
 
+@query("w_running_range_sketch", _RUNNING_RANGE)
+def w_running_range_sketch(d: Data) -> DataFrame:
+    """Hot keys named by the sketch: one in 40 of all rows makes a key hot."""
+    return _running_range(d, Split(hot_rows=max(1, d.events.count() // 40), unit="week"))
+
+
 @query(
     "w_lag_desc_ties_hot",
     """SELECT event_id, coalesce(lag(value) OVER w, 0) AS before, last_value(value) OVER w AS latest
@@ -212,6 +218,26 @@ def w_partition_stats(d: Data) -> DataFrame:
     return attach_group_stats(d.orders, by, stats).select("o_orderkey", *stats)
 
 
+@query(
+    "w_partition_stats_multi",
+    """SELECT l_orderkey, l_linenumber, round(avg(floor(l_extendedprice)) OVER i, 6) AS mean, count(DISTINCT l_orderkey) OVER i AS orders,
+       count(DISTINCT l_orderkey) OVER o AS all_orders, CAST(sum(floor(l_extendedprice)) OVER o AS BIGINT) AS total,
+       round(avg(l_quantity) OVER o, 6) AS quantity FROM lineitem
+       WINDOW i AS (PARTITION BY l_suppkey, year(l_shipdate), l_returnflag, l_linestatus), o AS (PARTITION BY l_suppkey, year(l_shipdate))""",
+)
+def w_partition_stats_multi(d: Data) -> DataFrame:
+    """Two nested groups at once; an order with several flags counts once in the outer one."""
+    lines = d.lineitem.withColumn("whole", F.floor("l_extendedprice"))
+    outer = {"supplier": F.col("l_suppkey"), "year": F.year("l_shipdate")}
+    inner = {"flag": F.col("l_returnflag"), "status": F.col("l_linestatus")}
+    stats = {
+        "mean": ("inner", "mean", "whole"), "orders": ("inner", "units", None), "all_orders": ("outer", "units", None),
+        "total": ("outer", "sum", "whole"), "quantity": ("outer", "mean", "l_quantity"),
+    }
+    found = attach_nested_stats(lines, outer, inner, "l_orderkey", stats)
+    return found.select("l_orderkey", "l_linenumber", *stats)
+
+
 @query(
     "w_dense_rank_distinct",
     """SELECT l_orderkey, l_linenumber, count(DISTINCT l_suppkey) OVER (PARTITION BY l_partkey) AS suppliers FROM lineitem""",

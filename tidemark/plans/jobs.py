@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import complete_units, percent_delta, ratio
@@ -201,6 +201,48 @@ def attach_group_stats(df: DataFrame, by: dict[str, Column], stats: dict[str, Co
     return left.join(right, same, "left").select(*[F.col(f"l.`{c}`") for c in df.columns], *[F.col(f"r.{n}") for n in stats])
 
 
+def attach_nested_stats(
+    df: DataFrame, outer: dict[str, Column], inner: dict[str, Column], unit: str,
+    stats: dict[str, tuple[str, str, str | None]],
+) -> DataFrame:
+    """Aggregates of two nested groups of a row as columns, in one pass over the rows and one join back.
+
+    Rows belong to a group of ``outer`` and within it to one of ``inner``; NULLs are values. ``stats``:
+    ``{output: (group, kind, column)}`` with group "outer" or "inner" and kind "mean", "sum" or "units", the
+    distinct values of ``unit``. Rows are combined per inner group and unit, a unit that is in several
+    inner groups counts for the outer one in the first of them, and inner groups are summed up to outer ones.
+    """
+    over, within = [f"__o{k}" for k in range(len(outer))], [f"__i{k}" for k in range(len(inner))]
+    keyed = df.withColumns(dict(zip([*over, *within], [*outer.values(), *inner.values()])))
+    values = dict.fromkeys(column for _, kind, column in stats.values() if kind != "units")
+    parts = {}
+    for k, column in enumerate(values):
+        parts |= {f"__sum{k}": F.sum(column), f"__n{k}": F.count(column)}
+    names = dict(zip(values, range(len(values))))
+    per_unit = keyed.groupBy(*over, *within, F.col(unit).alias("__unit")).agg(*[c.alias(n) for n, c in parts.items()])
+    first = F.row_number().over(Window.partitionBy(*over, "__unit").orderBy(*within)) == 1
+    known = F.col("__unit").isNotNull()
+    counted = per_unit.withColumn("__outer_units", (known & first).cast("int")).withColumn("__inner_units", known.cast("int"))
+    sums = [*parts, "__outer_units", "__inner_units"]
+    groups = counted.groupBy(*over, *within).agg(*[F.sum(c).alias(c) for c in sums])
+    whole = Window.partitionBy(*over)
+    totals = groups.withColumns({f"{c}_of": F.sum(c).over(whole) for c in sums})
+
+    def stat(group: str, kind: str, column: str | None) -> Column:
+        tail = "_of" if group == "outer" else ""
+        if kind == "units":
+            return F.col(f"__{group}_units{tail}")
+        total, n = F.col(f"__sum{names[column]}{tail}"), F.col(f"__n{names[column]}{tail}")
+        return total if kind == "sum" else F.when(n > 0, total / n)
+
+    told = totals.select(*over, *within, *[stat(*s).alias(out) for out, s in stats.items()])
+    left, right = keyed.alias("l"), told.alias("r")
+    same = F.lit(True)
+    for n in [*over, *within]:
+        same = same & F.col(f"l.{n}").eqNullSafe(F.col(f"r.{n}"))
+    return left.join(right, same, "left").select(*[F.col(f"l.`{c}`") for c in df.columns], *[F.col(f"r.{n}") for n in stats])
+
+
 def located_jobs(jobs: DataFrame, zip_counties: DataFrame, created_from: str | None = None) -> DataFrame:
     """Jobs with the county of their zip code."""
     if created_from is not None:
@@ -215,15 +257,17 @@ def market_stats(located: DataFrame) -> DataFrame:
     ``located``: job_id, county, job_created_at, job_start_date_time, job_type, job_title, job_wage,
     schedule_name, job_needed_last_count, invited_worker_count and whatever else should pass through.
     """
-    month = {"county": F.col("county"), "year": F.year("job_created_at"), "month": F.month("job_created_at")}
-    peers = {**month, "type": F.col("job_type"), "title": F.col("job_title")}
-    compared = attach_group_stats(
-        located, peers,
-        {"county_job_type_title_avg_wage": F.avg("job_wage"), "job_type_title_count": F.countDistinct("job_id")},
-    )
-    compared = attach_group_stats(
-        compared, month,
-        {"total_job_count": F.countDistinct("job_id"), "total_cms_required": F.sum("job_needed_last_count")},
+    compared = attach_nested_stats(
+        located,
+        {"county": F.col("county"), "year": F.year("job_created_at"), "month": F.month("job_created_at")},
+        {"type": F.col("job_type"), "title": F.col("job_title")},
+        "job_id",
+        {
+            "county_job_type_title_avg_wage": ("inner", "mean", "job_wage"),
+            "job_type_title_count": ("inner", "units", None),
+            "total_job_count": ("outer", "units", None),
+            "total_cms_required": ("outer", "sum", "job_needed_last_count"),
+        },
     )
     average = F.col("county_job_type_title_avg_wage")
     return compared.withColumns(
@@ -402,8 +446,7 @@ def job_market(
     split: Split | None = SPLIT,
 ) -> DataFrame:
     """Job attributes at creation: market wage, demand, and eligible and active users by radius."""
-    # the jobs are needed for their statistics, instants, sites and counts: located once
-    located = stage(located_jobs(jobs, zip_counties, created_from))
+    located = located_jobs(jobs, zip_counties, created_from)
     changes = presence_changes(status, activity_days(logs, activity_from, strict), split=split)
     supply = supply_counts(located, users_with_county(users, zip_counties), changes, radii, split=split)
     supplied = attach_supply(market_stats(located), supply, radii)
