@@ -2,17 +2,41 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import safe_divide
-from tidemark.plans import people, training
+from tidemark.operators.running import (
+    continue_running,
+    last_state,
+    run_count,
+    run_first,
+    run_last,
+    run_max,
+    run_previous,
+    run_sum,
+    running,
+)
+from tidemark.operators.vectors import continue_vector
+from tidemark.plans import people, shifts, specs, training
 from tidemark.sources.staging import stage, work_dir
-from tidemark.sources.tables import FeatureTable, KeyViolation, look_back, publish, read_query, upsert, write_table
+from tidemark.sources.tables import (
+    FeatureTable,
+    KeyViolation,
+    look_back,
+    publish,
+    read_query,
+    read_sql,
+    upsert,
+    write_table,
+)
 
 from .base import Data, query
+from .joins import TIGHT
+from .pipelines import _USER_SCHEDULE
 
 
 def _folder(d: Data, name: str) -> str:
@@ -93,6 +117,61 @@ def s_lookback_upsert(d: Data) -> DataFrame:
     return upsert(d.spark, path, recent, ["user_id", "calendar_date"], partition_by="calendar_date")
 
 
+def _continued() -> dict:
+    return {
+        "n": run_count(F.lit(1)),
+        "total": run_sum(F.floor("value")),
+        "highest": run_max("value"),
+        "first_buy": run_first("bought"),
+        "last_buy": run_last("bought"),
+        "before": run_previous("value", F.lit(-1.0)),
+    }
+
+
+@query(
+    "s_continue_running",
+    """SELECT user_id, event_id, ts, value, count(*) OVER w AS n, CAST(sum(floor(value)) OVER w AS BIGINT) AS total, max(value) OVER w AS highest,
+       first_value(bought IGNORE NULLS) OVER w AS first_buy, last_value(bought IGNORE NULLS) OVER w AS last_buy,
+       coalesce(lag(value) OVER w, -1) AS before
+       FROM (SELECT *, CASE WHEN event_type = 'purchase' THEN event_id END AS bought FROM events WHERE ts < TIMESTAMP '2024-01-31') e
+       WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+)
+def s_continue_running(d: Data) -> DataFrame:
+    """Running features of 30 days, published without the rows that came late, then reloaded for the last 10 days:
+    only these are read again, seeded with each user's last row before them."""
+    path = _folder(d, "running")
+    log = look_back(d.events, "ts", "2024-01-31", 400).withColumn("bought", F.when(F.col("event_type") == "purchase", F.col("event_id")))
+    log = log.select("user_id", "event_id", "ts", "value", "bought")
+    recent = look_back(log, "ts", "2024-01-31", 10)
+    late = (F.col("ts") >= F.lit("2024-01-21").cast(dict(log.dtypes)["ts"])) & (F.col("event_id") % 3 == 0)
+    options, measures = {"ties": ["event_id"], "split": TIGHT}, _continued()
+    write_table(running(log.where(~late), "user_id", "ts", measures, **options), path)
+    published = d.spark.read.parquet(path)
+    start = F.lit("2024-01-21").cast(dict(log.dtypes)["ts"])
+    state = last_state(published, "user_id", "ts", [*measures, "value"], start, ties=["event_id"])
+    fresh = continue_running(recent, state, "user_id", "ts", measures, seeds={"before": "value"}, **options)
+    return upsert(d.spark, path, fresh, ["user_id", "event_id"]).drop("bought")
+
+
+@query(
+    "s_continue_vectors",
+    f"""WITH {_USER_SCHEDULE}
+SELECT CAST(user_id AS VARCHAR) AS user_id, shift_start AS calendar_date,
+       array_to_string(v, ',') AS running_schedule_array FROM user_sched
+""",
+)
+def s_continue_vectors(d: Data) -> DataFrame:
+    """Running vectors, published up to a day and continued from each user's last one."""
+    path = _folder(d, "vectors")
+    write_table(shifts.user_schedule(d.shifts, end_date="2024-01-16 23:59:59"), path)
+    published = d.spark.read.parquet(path)
+    start = F.lit("2024-01-15").cast(dict(published.dtypes)["calendar_date"])
+    state = last_state(published, "user_id", "calendar_date", ["running_schedule_array"], start)
+    recent = shifts.user_schedule(d.shifts, start_date="2024-01-15")
+    fresh = continue_vector(recent, state, "user_id", "running_schedule_array")
+    return upsert(d.spark, path, fresh, ["user_id", "calendar_date"])
+
+
 _ORDERS = "SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS price, CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END AS status FROM orders"
 
 
@@ -172,3 +251,47 @@ def l_derived(d: Data) -> DataFrame:
         label="job_type",
         exclude_columns=["cancel_user_id", "cancel_job_id", "cancel_created_at"],
     )
+
+
+@query(
+    "l_named_spec",
+    """SELECT c.cancel_id, c.job_type, p.value AS last_spent,
+       round(CAST(CAST(CASE WHEN c.cancel_job_id <> 0 AND p.value <> 0 THEN p.value / c.cancel_job_id END AS FLOAT) AS DOUBLE), 6) AS per_job
+       FROM {cancel_labels} c ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') p
+         ON p.user_id = c.cancel_user_id AND p.ts <= c.cancel_created_at""",
+)
+def l_named_spec(d: Data) -> DataFrame:
+    """A spec is stored once, reused when it is equal, refused when it differs, and built from what is stored."""
+    bought, folder = _purchases(d), _folder(d, "specs")
+
+    def spec(column: str) -> specs.FeatureSpec:
+        spent = training.Lookup(bought, "cancel_user_id", "cancel_created_at", (column,), {column: "last_spent"})
+        per_job = training.Derived(safe_divide, "per_job", {"numerator": "last_spent", "denominator": "cancel_job_id"})
+        return specs.FeatureSpec(
+            "spending", (spent, per_job), "job_type", ("cancel_user_id", "cancel_job_id", "cancel_created_at")
+        )
+
+    first = specs.create_spec(d.spark, spec("value"), folder)
+    if specs.create_spec(d.spark, spec("value"), folder) != first:
+        raise AssertionError("an equal spec was not reused")
+    try:
+        specs.create_spec(d.spark, spec("event_id"), folder)
+    except specs.SpecConflict:
+        stored = specs.load_spec(d.spark, "spending", folder, {"purchases": bought}, {"safe_divide": safe_divide})
+    labels = d.cancel_labels.select("cancel_id", "cancel_user_id", "cancel_job_id", "cancel_created_at", "job_type")
+    return stored.training_set(labels)
+
+
+@query(
+    "s_sql_parameters",
+    """SELECT event_id, user_id, 'it''s; -- a "value"' AS note FROM events
+       WHERE event_type IN ('click', 'view') AND ts >= TIMESTAMP '2024-01-10' AND value > 12.5""",
+)
+def s_sql_parameters(d: Data) -> DataFrame:
+    """Values reach the query as typed arguments and are never part of its text."""
+    return read_sql(
+        d.spark,
+        "SELECT event_id, user_id, :note AS note FROM {log} WHERE array_contains(:kinds, event_type) AND ts >= :since AND value > :least",
+        {"note": 'it\'s; -- a "value"', "kinds": ["click", "view"], "since": dt.datetime(2024, 1, 10), "least": 12.5},
+        log=d.events,
+    )

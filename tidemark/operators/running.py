@@ -248,3 +248,59 @@ def running(
         *[m.merge(F.col(f"__local_{n}"), F.col(f"__carry_{n}")).alias(n) for n, m in measures.items()],
     )
     return plain(cut.rest, spread).unionByName(hot)
+
+
+def last_state(
+    published: DataFrame, keys: str | Sequence[str], order: str, columns: Sequence[str], before: Column,
+    *, ties: Sequence[str] = (),
+) -> DataFrame:
+    """Per key the ``columns`` of its last published row with ``order < before``; NULL keys are a key.
+
+    One aggregation, combined before it is shuffled, of the named columns only.
+    """
+    keys = as_list(keys)
+    place = F.struct(F.col(order), *[F.col(t) for t in ties])
+    kept = published.where(F.col(order) < before)
+    return kept.groupBy(*keys).agg(F.max_by(F.struct(*columns), place).alias("__state")).select(*keys, "__state.*")
+
+
+def continue_running(
+    window: DataFrame,
+    state: DataFrame,
+    keys: str | Sequence[str],
+    order: str,
+    measures: Mapping[str, Measure],
+    *,
+    seeds: Mapping[str, str] | None = None,
+    **options,
+) -> DataFrame:
+    """``running`` over the rows of a window of time, continued from what each key had before it.
+
+    ``state`` has one row per key (see ``last_state``); ``seeds`` names its column for a measure where that
+    is not called like the measure. The seed is the measure's own last value, for ``run_previous`` the last
+    row's value. The result equals ``running`` over all rows, as far as the rows of the window go: all rows
+    from its start on must be in it, late ones too. ``options`` are those of ``running``. Keys without state begin anew.
+    """
+    keys = as_list(keys)
+    names = {n: (seeds or {}).get(n, n) for n in measures}
+    # of a previous value it must be known whether there was a row: asked for as a struct
+    asked = {n: _Previous(m._row()) if isinstance(m, _Previous) else m for n, m in measures.items()}
+    local = running(window, keys, order, asked, **options)
+    held = state.select(
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.struct(*dict.fromkeys(names.values())).alias("__seed")
+    )
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+
+    def continued(name: str, measure: Measure) -> Column:
+        seed = F.col("__seed").getField(names[name])
+        if not isinstance(measure, _Previous):
+            return measure.merge(F.col(name), seed)
+        default = F.lit(None) if measure.default is None else measure.default
+        before = F.when(F.col("__seed").isNull(), default).otherwise(seed)
+        return F.when(F.col(name).isNull(), before).otherwise(F.col(name).getField("value"))
+
+    return local.join(held, same, "left").select(
+        *window.columns, *[continued(n, m).alias(n) for n, m in measures.items()]
+    )

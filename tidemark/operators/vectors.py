@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -198,3 +200,13 @@ def running_vector(
         *keys, order, F.col("vector").alias(name)
     )
     return plain(cut.rest).unionByName(hot)
+
+
+def continue_vector(window: DataFrame, state: DataFrame, keys: str | Sequence[str], name: str) -> DataFrame:
+    """A running vector over a window of time plus each key's last vector before it; keys without one begin anew."""
+    keys = as_list(keys)
+    held = state.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col(name).alias("__seed"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    total = F.zip_with(F.col(name), F.col("__seed"), lambda a, b: a + b)
+    rest = [c for c in window.columns if c != name]
+    return window.join(held, same, "left").select(*rest, F.coalesce(total, F.col(name)).alias(name))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -62,6 +63,24 @@ def read_query(
     return (reader.option("query", query) if query else reader).load()
 
 
+def read_sql(
+    spark: SparkSession, text: str, parameters: Mapping[str, object] | None = None, **frames: DataFrame
+) -> DataFrame:
+    """Rows of a query with named markers (``:name``) for values and ``{name}`` for DataFrames.
+
+    Values are bound as typed literals (lists as arrays), so quotes in them are harmless; a marker without a value and a
+    value without a marker are refused.
+    """
+    parameters = dict(parameters or {})
+    # markers outside of quoted text; a cast's double colon is none
+    bare = re.sub(r"'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`|--[^\n]*", "", text)
+    markers = set(re.findall(r"(?<!:):([A-Za-z_]\w*)", bare))
+    if markers != parameters.keys():
+        raise ValueError(f"values for {sorted(parameters)}, but the text has markers {sorted(markers)}")
+    bound = {n: F.array(*map(F.lit, v)) if isinstance(v, list) else v for n, v in parameters.items()}
+    return spark.sql(text, bound, **frames)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: Sequence[str] = ()) -> None:
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}, not {mode!r}")
