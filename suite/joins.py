@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.asof import asof_join, key_lookup
+from tidemark.operators.asof import asof_join, asof_join_collapsed, key_lookup
 from tidemark.operators.hot import SPLIT, Split
 from tidemark.operators.intervals import interval_join, lookback_days, valid_at
 from tidemark.operators.spine import days_of_periods, entity_days
@@ -252,6 +252,23 @@ def j_asof_hot(d: Data) -> DataFrame:
     return _asof(d, Split(hot_rows=27, unit="day"))
 
 
+@query(
+    "j_asof_one_instant",
+    """SELECT l.event_id, p.value AS last_spent FROM (
+         SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id,
+                CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-20 12:00:00' ELSE ts END AS at FROM events) l
+       ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase') p ON p.user_id = l.user_id AND p.ts <= l.at""",
+)
+def j_asof_one_instant(d: Data) -> DataFrame:
+    """A third of all labels ask for one user at one instant: it is looked up once."""
+    moved = F.col("event_id") % 3 == 0
+    at = F.when(moved, F.lit("2024-01-20 12:00:00").cast(dict(d.events.dtypes)["ts"])).otherwise(F.col("ts"))
+    labels = d.events.select("event_id", F.when(moved, 1).otherwise(F.col("user_id")).alias("user_id"), at.alias("at"))
+    spent = d.events.where(F.col("event_type") == "purchase").select(F.col("user_id").alias("buyer"), F.col("ts").alias("bought_at"), "value")
+    found = asof_join_collapsed(labels, spent, {"user_id": "buyer"}, "at", "bought_at", {"value": "last_spent"})
+    return found.select("event_id", "last_spent")
+
+
 @query(
     "j_key_lookup",
     """SELECT s.segment_id, s.user_id, s.job_id, CAST(i.direct_invite AS DOUBLE) AS direct_invite FROM {shifts} s

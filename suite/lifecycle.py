@@ -213,6 +213,21 @@ def s_publish_append(d: Data) -> DataFrame:
     raise AssertionError("a repeated key was appended")
 
 
+@query(
+    "l_publish_observed",
+    "SELECT count(*) AS n, min(ts) AS first, max(ts) AS last FROM events WHERE event_type = 'purchase'",
+)
+def l_publish_observed(d: Data) -> DataFrame:
+    """Row count and bounds of a published table, gathered while it was written."""
+    seen = publish(_purchases(d), _folder(d, "observed")).observed
+    if seen["null_keys"]:
+        raise AssertionError("NULL keys were published")
+    kind = dict(d.events.dtypes)["ts"]
+    return d.spark.range(1).select(
+        F.lit(seen["rows"]).alias("n"), F.lit(seen["first"]).cast(kind).alias("first"), F.lit(seen["last"]).cast(kind).alias("last")
+    )
+
+
 def _purchases(d: Data) -> FeatureTable:
     bought = d.events.where(F.col("event_type") == "purchase").select(
         F.col("user_id").cast("string").alias("user_id"), F.col("ts").alias("bought_at"), "event_id", "value", "props"
@@ -295,3 +310,24 @@ def s_sql_parameters(d: Data) -> DataFrame:
         {"note": 'it\'s; -- a "value"', "kinds": ["click", "view"], "since": dt.datetime(2024, 1, 10), "least": 12.5},
         log=d.events,
     )
+
+
+_KINDS = ("purchase", "view", "signup")
+
+
+@query(
+    "l_lookup_many",
+    f"""SELECT c.cancel_id, c.job_type, {", ".join(f"{k}.value AS last_{k}" for k in _KINDS)} FROM {{cancel_labels}} c
+       {" ".join(f"ASOF LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = '{k}') {k} ON {k}.user_id = c.cancel_user_id AND {k}.ts <= c.cancel_created_at" for k in _KINDS)}""",
+)
+def l_lookup_many(d: Data) -> DataFrame:
+    """Three tables of one key: the labels are shuffled once."""
+
+    def lookup(kind: str) -> training.Lookup:
+        rows = d.events.where(F.col("event_type") == kind).select("user_id", "ts", "value")
+        table = FeatureTable(kind, rows, ("user_id", "ts"), "ts")
+        return training.Lookup(table, "cancel_user_id", "cancel_created_at", ("value",), {"value": f"last_{kind}"})
+
+    labels = d.cancel_labels.select("cancel_id", "cancel_user_id", "cancel_created_at", "job_type")
+    excluded = ["cancel_user_id", "cancel_created_at"]
+    return training.build_training_set(labels, list(map(lookup, _KINDS)), "job_type", excluded)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.asof import asof_join, key_lookup
+from ..operators.asof import Features, asof_join, asof_join_many, key_lookup
 from ..operators.hot import SPLIT, Split
 from ..sources.tables import FeatureTable
 
@@ -61,6 +61,25 @@ def _check_binding(feature: Derived, columns: Sequence[str]) -> None:
         raise ValueError(f"{feature.output_name}: no columns {unknown} to bind")
 
 
+def _stacks(lookups: Sequence[Lookup]) -> list[list[Lookup]]:
+    """Neighbouring lookups by the same columns of the labels, in tables with a time key and keys of one type."""
+
+    def kind(f: Lookup):
+        types = dict(f.table.df.dtypes)
+        columns = (*f.table.entity_keys, f.table.timestamp_key)
+        return tuple(f.keys()), f.timestamp_lookup_key, tuple(types[c] for c in columns)
+
+    stacks: list[list[Lookup]] = []
+    for f in lookups:
+        timed = f.table.timestamp_key is not None and f.timestamp_lookup_key is not None
+        last = stacks[-1][0] if stacks else None
+        if timed and last is not None and last.table.timestamp_key is not None and kind(last) == kind(f):
+            stacks[-1].append(f)
+        else:
+            stacks.append([f])
+    return stacks
+
+
 def build_training_set(
     labels: DataFrame,
     features: Sequence[Feature],
@@ -69,11 +88,13 @@ def build_training_set(
     *,
     split: Split | None = SPLIT,
 ) -> DataFrame:
-    """One output row per label row. Lookups run first, then the derived columns in their order."""
+    """One output row per label row. Lookups run first, neighbouring ones by the same key and time in one
+    stack, then the derived columns in their order."""
     if label is not None and label.lower() not in {c.lower() for c in labels.columns}:
         raise ValueError(f"the labels have no column {label!r}")
     built = labels
-    for feature in [f for f in features if isinstance(f, Lookup)]:
+    for lookups in _stacks([f for f in features if isinstance(f, Lookup)]):
+        feature = lookups[0]
         renames = feature.features()
         if feature.table.timestamp_key is None:
             table = feature.table.df.select(
@@ -84,6 +105,16 @@ def build_training_set(
         if feature.timestamp_lookup_key is None:
             raise ValueError(f"{feature.table.name} has a time key, the lookup names none")
         own = set(feature.keys())
+        left_rows = labels if own <= set(labels.columns) else None
+        if len(lookups) > 1:
+            tables = [
+                Features(f.table.df, tuple(f.keys().values()), f.table.timestamp_key, f.features(), f.table.rows)
+                for f in lookups
+            ]
+            built = asof_join_many(
+                built, list(feature.keys()), feature.timestamp_lookup_key, tables, split=split, left_rows=left_rows
+            )
+            continue
         built = asof_join(
             built,
             feature.table.df,
@@ -93,7 +124,7 @@ def build_training_set(
             renames,
             split=split,
             right_rows=feature.table.rows,
-            left_rows=labels if own <= set(labels.columns) else None,
+            left_rows=left_rows,
         )
     for feature in [f for f in features if isinstance(f, Derived)]:
         _check_binding(feature, built.columns)

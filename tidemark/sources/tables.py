@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.hot import any_missing
@@ -22,7 +22,8 @@ class FeatureTable:
     """A DataFrame with its primary key, optional timestamp key and description.
 
     ``rows`` may name a cheaper table with the entity keys and at least as many rows per entity; hot
-    keys are then counted there and the features are not computed for the count.
+    keys are then counted there and the features are not computed for the count. ``observed`` is what
+    ``publish`` saw while writing: rows, null_keys (rows with an incomplete key), first and last time.
     """
 
     name: str
@@ -31,6 +32,7 @@ class FeatureTable:
     timestamp_key: str | None = None
     description: str = ""
     rows: DataFrame | None = field(default=None, repr=False)
+    observed: Mapping[str, object] | None = field(default=None, repr=False, compare=False)
 
     def __post_init__(self) -> None:
         columns = {c.lower() for c in self.df.columns}
@@ -128,8 +130,9 @@ def publish(
 ) -> FeatureTable:
     """Write a feature table and answer it as read back; bad keys raise and leave no table behind.
 
-    The rows are computed once, into a staged copy; the checks and the final write read that copy, which
-    is removed in the end. Appended rows must not repeat a key of the table either. ``error`` and
+    The rows are computed once, into a staged copy; they are counted and looked over for NULL keys and bounds of
+    time on their way (``observed`` of the answer). The check for repeated keys and the final write read that
+    copy, which is removed in the end. Appended rows must not repeat a key of the table either. ``error`` and
     ``ignore`` look at the path before anything is computed.
     """
     if mode not in SAVE_MODES:
@@ -138,10 +141,19 @@ def publish(
     current = existing(spark, path)
     if current is not None and mode == "error":
         raise FileExistsError(f"{table.name}: a table exists at {path}")
+    observed = None
     if current is None or mode != "ignore":
         place = _beside(path)
-        staged = stage(table.df, place)
+        seen = Observation()
+        facts = [F.count(F.lit(1)).alias("rows"), F.count_if(any_missing(table.primary_keys)).alias("null_keys")]
+        if table.timestamp_key:
+            facts += [F.min(table.timestamp_key).alias("first"), F.max(table.timestamp_key).alias("last")]
+        staged = stage(table.df.observe(seen, *facts), place)
         try:
+            observed = seen.get
+            if observed["null_keys"]:
+                raise KeyViolation(f"{table.name}: primary key violated by {observed['null_keys']} rows with NULLs in it")
+            # whether keys repeat is the one question that takes another look at the rows
             check_keys(staged, table.primary_keys, table.name)
             if current is not None and mode == "append":
                 keys = staged.select(*table.primary_keys)
@@ -153,7 +165,7 @@ def publish(
             _drop(spark, place)
     return FeatureTable(
         table.name, spark.read.parquet(path).select(*table.df.columns),
-        table.primary_keys, table.timestamp_key, table.description,
+        table.primary_keys, table.timestamp_key, table.description, observed=observed,
     )
 
 
