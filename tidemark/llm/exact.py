@@ -101,7 +101,8 @@ def exact_groups(
 
     Texts are equal when their bytes are; null is the empty text. Of a group the row with the largest id
     stays. A null id is smaller than any other. When several rows repeat both the text and the largest
-    id, one of them stays, no matter which. An empty table gives an empty result.
+    id, one of them stays, no matter which. A text of any length is
+    hashed where it is read and not moved. Columns in ``row`` may have any names. An empty table gives an empty result.
     """
     names = list(df.columns if carry is None else carry)
     rows = df.select(

@@ -123,7 +123,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     The next document is the next smaller id, after the last the first; null ids are the last. Rows that
     repeat an id are ordered by text. Null is the empty text; empty texts have the zero fingerprint and
-    are like each other. A table with one row follows itself; an empty table gives an empty result.
+    are like each other. A table with one row follows itself; an empty table gives an empty result. Ids must be
+    numbers. A text is moved once, as one row, with that of the next document. Other columns don't matter, whatever their names.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = df.select(F.col(f"`{id_col}`").alias("id"), text.alias("text"))

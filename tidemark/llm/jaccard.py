@@ -430,8 +430,9 @@ def jaccard_groups(
     or more. ``class_id`` is the least id among all documents connected by links, ``n_links`` the number
     of documents linked to this one, copies counted each. Texts of one to four words are one shingle;
     texts without words, null among them, are all alike. Of each class one row is ``kept``, one with the
-    least id (null ids last; ties by hash; rows equal in both count as one and are all kept). An empty
-    table gives an empty result.
+    least id (null ids last; ties by hash; rows equal in both count as one and are all kept). A text
+    is cut into shingles in one task, at some twenty bytes of memory per byte. Other columns don't matter, whatever their names.
+    An empty table gives an empty result.
     """
     members = stage_lean(sets_of(df, id_col, text_col))
     first = F.struct(F.col("id").isNull().alias("none"), "id", "hash")

@@ -192,7 +192,8 @@ def score_texts(df: DataFrame, model: Model, counts: DataFrame, id_col: str = "d
     Frequent tokens are looked up where the text is read; counts of the others come by a join on the
     token, one row per document and token. A null text is empty: its end is its one token. Rows that
     repeat an id are scored each; an empty table gives an empty result. Without training documents every
-    token is unknown and the base score is 0.
+    token is unknown and the base score is 0. A text is scored in one task, at some twelve bytes of memory per byte.
+    Other columns don't matter, whatever their names.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
     kind = df.schema[id_col].dataType.simpleString()

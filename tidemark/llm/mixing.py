@@ -96,7 +96,8 @@ def plan_mix(
     ``stop`` is a whole number. A null text has size 0; null is a source of its own, the last. Documents
     of one source and size are taken in order of id, then checksum; rows equal in all of these may
     change places. A source without words has target 0 and no copies. The result depends on the rows and
-    the parameters only. An empty table gives an empty result.
+    the parameters only. Texts of any length are counted where they are read and not moved. Other columns don't matter, whatever their names. An empty
+    table gives an empty result.
     """
     return copies(stage(_narrow(df, id_col, text_col, source_col)), weights, share, stop, seed)
 

@@ -218,8 +218,9 @@ def pack(
 
     A document's tokens are its ids and the end id; null is the empty text, which has the end id alone.
     Sequences hold at most ``capacity`` tokens, offsets run from 0 without gaps. Rows that repeat an id
-    are packed as documents of their own. ``with_ids`` adds each piece's ids (little-endian 32-bit). An
-    empty table gives an empty result.
+    are packed as documents of their own. ``with_ids`` adds each piece's ids (little-endian 32-bit). A text
+    is encoded in one task, at about thirty bytes of memory per byte (27 measured on 16 MB), and cut into as many pieces as it needs.
+    Other columns don't matter, whatever their names. An empty table gives an empty result.
     """
     cut = stage(pieces(df, tokenizer, id_col, text_col, capacity, with_ids))
     # blocks of whole windows and blocks of items to be packed, both of bounded size on average

@@ -113,7 +113,8 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Fit on at most ``most`` labelled documents, chosen by the hash of their id.
 
     Rows without a label, and labels of documents that aren't there, are not used; several labels of one
-    document count as their majority, an even split as 1.
+    document count as their majority, an even split as 1. Null and empty texts are described like any other. Documents that repeat
+    an id are all used. A text is described in one task, at about eight bytes of memory per byte. Other columns don't matter, whatever their names.
     """
     by_hash = F.xxhash64("id")
     judged = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").alias("label")).dropna()

@@ -69,8 +69,9 @@ def shard_rows(df: DataFrame, shards: int, seed: int = 0, id_col: str = "doc_id"
 
     Counts of shards differ by one at most; slots of a shard run from 0 without gaps. The result depends
     on the rows, ``shards`` and ``seed`` only, not on how the table is cut; rows equal in id, size and
-    checksum may change places. A null text counts as no bytes, null ids come first; an empty table gives
-    an empty result.
+    checksum may change places. A null text counts as no bytes, null ids come first. Texts of any length are
+    measured where they are read and not moved. Other columns don't matter, whatever their names. An empty table gives an
+    empty result.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     narrow = df.select(
