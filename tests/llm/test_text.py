@@ -153,19 +153,93 @@ def base_scores(rows, train):
     return out
 
 
-@pytest.mark.parametrize("frequent", [2**21, 50])
-def test_language_scores(docs, none, frequent, monkeypatch):
-    monkeypatch.setattr(language, "FREQUENT", frequent)
-    monkeypatch.setattr(language, "SHORTLIST", 960)
+def model_scores(rows, train, model, spread):
+    """Scores by one table of all probabilities; which tokens are listed is decided anew here."""
+    tokens = lambda t: list(language.tokens_of([t.encode()])[0])
+    counts = Counter(w for t in train for w in tokens(t))
+    listed = {w for w, c in counts.items() if c >= math.sqrt(sum(counts.values())) / spread} | ({language.END_TOKEN} & set(counts))
+    assert model.listed == len(listed)
+    symbol_of = dict(zip(model.tokens.tolist(), model.symbols.tolist()))
+    symbol = lambda w: symbol_of[w] if w in listed else model.listed + w % language.BUCKETS
+    together = Counter(w % language.BUCKETS for w in counts if w not in listed)
+    for w in counts.keys() - listed:
+        together[w % language.BUCKETS] += counts[w]
+    vectors = model.vectors
+    table = vectors.contexts.astype(float) @ vectors.targets.T + vectors.biases
+    table -= np.log(np.exp(table).sum(axis=1, keepdims=True))
+    out = Counter()
+    for i, t, _ in rows:
+        own, score, before = tokens(t), 0.0, language.END_TOKEN
+        for w in own:
+            score += table[symbol(before), symbol(w)] / math.log(10)
+            score += 0 if w in listed else math.log10((counts[w] + 1) / (together[w % language.BUCKETS] + 1))
+            before = w
+        out[(i, round(score / len(own), 3))] += 1
+    return out
+
+
+@pytest.mark.parametrize("frequent, spread, pairs, chunk", [(2**21, 16, 2**20, 4096), (50, 16, 2**20, 4096), (50, 0.5, 1, 3), (2**21, 10**6, 200, 7)])
+def test_language_scores(docs, none, frequent, spread, pairs, chunk, monkeypatch):
+    for name, value in (("FREQUENT", frequent), ("SPREAD", spread), ("TASK_PAIRS", pairs), ("CHUNK", chunk)):
+        monkeypatch.setattr(language, name, value)
     train = docs.filter("doc_id % 3 > 0")
     model, counts = language.train(train.select("text"))
     found = language.score_texts(docs, model, counts).collect()
     rows = plain(corpus())
-    want = base_scores(rows, [t for i, t, _ in rows if i is not None and i % 3 > 0])
+    texts = [t for i, t, _ in rows if i is not None and i % 3 > 0]
+    want = base_scores(rows, texts)
     assert Counter((r["id"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in found) == want
+    expected = model_scores(rows, texts, model, spread)
+    got = sorted((str(r["id"]), r["score"] / r["n_tokens"]) for r in found)
+    assert [g[0] for g in got] == sorted(str(i) for i in expected.elements() for i in i[:1])
+    want = sorted((str(i), score) for i, score in expected.elements())
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=2e-3)
     assert language.score_texts(none, model, counts).count() == 0
     # all probabilities after a context add up to one, unknown tokens included
-    assert np.allclose((10.0**model.table).sum(axis=1), 1)
+    every = np.arange(model.size)
+    for context in every[:: max(1, model.size // 20)]:
+        assert np.isclose((10.0 ** model.vectors.log10(np.full(model.size, context), every)).sum(), 1, atol=1e-4)
+
+
+def test_language_vocabulary_grows(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(rng.choices(words, [1 / (k + 1) for k in range(3000)], k=500)) for _ in range(160)]
+    listed = []
+    for n in (10, 40, 160):
+        model = language.vocabulary(language.token_counts(spark.createDataFrame([(t,) for t in texts[:n]], "text string")))
+        counts = Counter(w for t in texts[:n] for w in t.split())
+        assert model.listed == 1 + sum(c >= math.sqrt(n * 501) / language.SPREAD for c in counts.values())
+        assert model.listed <= 1 + language.SPREAD * math.sqrt(n * 501)
+        listed.append(model.listed)
+    # four times the tokens, about twice the words
+    assert listed[0] * 1.5 < listed[1] and listed[1] * 1.5 < listed[2]
+
+
+def test_language_pairs_train_rare_words():
+    """Drawn-noise training of vectors that begin alike comes near the pairs' own conditional shares."""
+    k, rng = 40, np.random.default_rng(1)
+    context, symbol = np.divmod(np.arange(k * k), k)
+    n = np.where((symbol - context) % k < 3, 400, 4)
+    start = language.Vectors(
+        rng.normal(0, 0.1, (k, 32)).astype(np.float32), rng.normal(0, 0.1, (k, 32)).astype(np.float32), np.full(k, -math.log(k), np.float32)
+    )
+    even = np.full(k, 1 / k)
+    now = start
+    for turn in range(60):
+        own, after = language.train_pairs(context, symbol, n, now, even, 0.1, turn, batch=200)
+        contexts = now.contexts.copy()
+        contexts[own] = after.contexts
+        now = language.Vectors(contexts, after.targets, after.biases)
+    assert sorted(own) == list(range(k))
+
+    def loss(v):
+        scores = v.contexts @ v.targets.T + v.biases
+        scores = scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        return -(n * scores[context, symbol]).sum() / n.sum()
+
+    best = -(n * np.log(n / (n.sum() / k))).sum() / n.sum()
+    assert loss(start) > math.log(k) - 0.1 and loss(now) < best + 0.25 * (math.log(k) - best)
 
 
 def test_language_model_learns(spark):
