@@ -36,7 +36,7 @@ from tidemark.sources.tables import (
 
 from .base import Data, query
 from .joins import TIGHT
-from .pipelines import _USER_SCHEDULE
+from .pipelines import _USER_SCHEDULE, AS_OF, WORK_HISTORY
 
 
 def _folder(d: Data, name: str) -> str:
@@ -75,6 +75,14 @@ def l_publish_keys(d: Data) -> DataFrame:
     return publish(table, _folder(d, "user_activity")).df
 
 
+@query("p_work_history_staged", WORK_HISTORY)
+def p_work_history_staged(d: Data) -> DataFrame:
+    folder = _folder(d, "work_history")
+    history = people.work_history(d.segments, d.event_jobs, d.needed_periods, d.applications, d.worked_pairs, AS_OF)
+    table = FeatureTable("work_history", history, ("user_id", "job_start_time"), "job_start_time", "outcomes so far")
+    return publish(table, folder, staging=f"{folder}_staging").df
+
+
 @query("s_full_refresh", _DAILY)
 def s_full_refresh(d: Data) -> DataFrame:
     """The second write replaces the first whole, also where the first held more."""

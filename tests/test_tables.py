@@ -128,3 +128,19 @@ def test_publish_append_checks_the_table_too(spark, frame, tmp_path):
     assert rows(publish(two, path, "append").df, "k") == [(1, 1), (2, 2)]
     assert rows(publish(one, path, "ignore").df, "k") == [(1, 1), (2, 2)]
     assert [f.name for f in tmp_path.iterdir()] == ["a"]
+
+
+def test_publish_through_a_named_staging_table(spark, frame, tmp_path):
+    path, staging = str(tmp_path / "t"), str(tmp_path / "t_staging")
+    table = lambda *data: FeatureTable("t", frame("k int, v int", *data), ("k",))
+    with pytest.raises(KeyViolation):
+        publish(table((1, 1), (1, 2)), path, staging=staging)
+    # no table, but its rows can be looked up
+    assert not (tmp_path / "t").exists() and rows(spark.read.parquet(staging), "v") == [(1, 1), (1, 2)]
+    done = publish(table((1, 1), (2, 2)), path, staging=staging)
+    assert rows(done.df, "k") == rows(spark.read.parquet(staging), "k") == [(1, 1), (2, 2)]
+    assert done.observed["rows"] == 2
+    publish(table((3, 3)), path, "append", staging=staging)
+    assert rows(spark.read.parquet(path), "k") == [(1, 1), (2, 2), (3, 3)] and rows(spark.read.parquet(staging)) == [(3, 3)]
+    with pytest.raises(ValueError):
+        publish(table((4, 4)), path, "overwrite", staging=path + "/")

@@ -126,7 +126,7 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def publish(
-    table: FeatureTable, path: str, mode: str = "error", partition_by: Sequence[str] = ()
+    table: FeatureTable, path: str, mode: str = "error", partition_by: Sequence[str] = (), staging: str | None = None
 ) -> FeatureTable:
     """Write a feature table and answer it as read back; bad keys raise and leave no table behind.
 
@@ -134,16 +134,21 @@ def publish(
     time on their way (``observed`` of the answer). The check for repeated keys and the final write read that
     copy, which is removed in the end. Appended rows must not repeat a key of the table either. ``error`` and
     ``ignore`` look at the path before anything is computed.
+
+    ``staging`` names the staged copy as a table of its own: it is overwritten by every run and kept, also when bad keys
+    keep the feature table from being written, so that they can be looked up in it.
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}, not {mode!r}")
+    if staging is not None and staging.rstrip("/") == path.rstrip("/"):
+        raise ValueError(f"{table.name}: the staging table must not be the table itself")
     spark = table.df.sparkSession
     current = existing(spark, path)
     if current is not None and mode == "error":
         raise FileExistsError(f"{table.name}: a table exists at {path}")
     observed = None
     if current is None or mode != "ignore":
-        place = _beside(path)
+        place = staging or _beside(path)
         seen = Observation()
         facts = [F.count(F.lit(1)).alias("rows"), F.count_if(any_missing(table.primary_keys)).alias("null_keys")]
         if table.timestamp_key:
@@ -162,7 +167,8 @@ def publish(
                     raise KeyViolation(f"{table.name}: the table already has {known.asDict()}")
             write_table(staged, path, mode, partition_by)
         finally:
-            _drop(spark, place)
+            if staging is None:
+                _drop(spark, place)
     return FeatureTable(
         table.name, spark.read.parquet(path).select(*table.df.columns),
         table.primary_keys, table.timestamp_key, table.description, observed=observed,
