@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hard_rows import corpus, docs, none, plain, words  # noqa: F401
 from tidemark.llm import exact, jaccard
@@ -161,3 +162,15 @@ def test_components(spark):
                 todo.append(other)
         assert found[node] == min(seen)
     assert set(found) == {n for a, b in edges if a != b for n in (a, b)}
+
+
+@pytest.mark.parametrize("most", [jaccard.FILTER_BITS, 50])
+def test_sieve_keeps_all_that_is_wanted(spark, monkeypatch, most):
+    monkeypatch.setattr(jaccard, "FILTER_BITS", most)
+    rows = spark.range(20_000).select(F.when(F.col("id") % 5 > 0, F.col("id")).alias("a"), F.col("id").alias("h"), F.lit("x").alias("map"))
+    wanted = rows.filter("h % 50 in (0, 7)").select(F.col("a").alias("i"), F.col("h").alias("g"))
+    left = jaccard.sieve(rows, wanted, {"a": "i", "h": "g"})
+    assert left.columns == rows.columns
+    assert left.filter("h % 50 in (0, 7)").count() == wanted.count() == 800
+    assert left.count() < 4000 or most == 50
+    assert jaccard.sieve(rows, wanted.limit(0), {"a": "i", "h": "g"}).count() == 0

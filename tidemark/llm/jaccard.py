@@ -39,6 +39,8 @@ SMALL = 256
 CHUNK, PIVOTS, LEFT = 1024, 16, 2048
 # classes of a node or group are compared in tiles of about twice so many
 TILE = 256
+# bits of the filter in front of the exact step: for each row wanted, and in all (16 MB)
+ROW_BITS, FILTER_BITS = 16, 2**27
 
 _WORD_HASHES = WordHashes()
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -420,6 +422,23 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
     return placed.mapInArrow(tiles, "a long, b long, links long")
 
 
+def sieve(rows: DataFrame, wanted: DataFrame, keys: dict[str, str]) -> DataFrame:
+    """``rows`` less most of those whose keys no row of ``wanted`` has; rows that have them all stay.
+
+    ``keys`` maps columns of ``rows`` to those of ``wanted``. One bit per key, set for the wanted ones, in maps of 4 KB of
+    which at most 4096 are broadcast. Of other rows one in ``ROW_BITS`` stays, more only where ``wanted`` has over
+    ``FILTER_BITS / ROW_BITS`` rows; a join settles these.
+    """
+    bits = min(FILTER_BITS, max(1, wanted.count() * ROW_BITS))
+    bit = lambda names: F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
+    marks = wanted.select(bit(keys.values()).alias("bit"))
+    maps = marks.groupBy(F.bitmap_bucket_number("bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_map"))
+    place = F.bitmap_bit_position(bit(keys))
+    byte = F.conv(F.hex(F.substring("_map", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(bit(keys)) == F.col("_bucket"))
+    return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+
+
 @shipped
 def jaccard_groups(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL
@@ -444,23 +463,26 @@ def jaccard_groups(
     groups = stage_lean(components(loose_edges(joined, threshold, recall))).withColumnRenamed("node", "rep")
 
     # exact comparison: shingles of the classes in groups, from the text of each one's first document
-    wanted = groups.join(joined, "rep").select("rep", "component", "copies", "class", F.col("first.id").alias("id"), F.col("first.hash").alias("hash"))
+    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    wanted = groups.join(sizes, "component").join(joined, "rep")
+    wanted = stage_lean(wanted.select("rep", "component", "members", "copies", "class", F.col("first.id").alias("id"), F.col("first.hash").alias("hash")))
     text = F.col(f"`{text_col}`")
     texts = df.select(F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(text).alias("own_hash"), text.alias("text"))
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [(k, values.tobytes()) for k, text in enumerate(text_bytes(batch.column(4))) if class_of(values := shingles(text)) == batch.column(3)[k].as_py()]
+            kept = [(k, values.tobytes()) for k, text in enumerate(text_bytes(batch.column(5))) if class_of(values := shingles(text)) == batch.column(4)[k].as_py()]
             rows = pa.array([k for k, _ in kept], pa.int64())
             yield pa.record_batch(
-                [*(batch.column(k).take(rows) for k in range(3)), pa.array([v for _, v in kept], pa.binary())],
-                names=["rep", "component", "copies", "shingles"],
+                [*(batch.column(k).take(rows) for k in range(4)), pa.array([v for _, v in kept], pa.binary())],
+                names=["rep", "component", "members", "copies", "shingles"],
             )
 
-    found = texts.join(wanted, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
-    sets = found.select("rep", "component", "copies", "class", "text").mapInArrow(expand, "rep long, component long, copies long, shingles binary")
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    tiled = in_tiles(sets.join(sizes, "component"), "component", F.col("members"))
+    likely = sieve(texts, wanted, {"own_id": "id", "own_hash": "hash"})
+    found = likely.join(wanted, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")))
+    expanded = "rep long, component long, members long, copies long, shingles binary"
+    sets = found.select("rep", "component", "members", "copies", "class", "text").mapInArrow(expand, expanded)
+    tiled = in_tiles(sets, "component", F.col("members"))
     exact = stage_lean(verify(tiled, threshold))
     links = exact.filter("links is not null").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     joint = components(exact.filter("b is not null").select("a", "b")).withColumnRenamed("node", "rep")
