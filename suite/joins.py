@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,9 @@ from tidemark.operators.asof import asof_join, asof_join_collapsed, key_lookup
 from tidemark.operators.hot import SPLIT, Split
 from tidemark.operators.intervals import interval_join, lookback_days, valid_at
 from tidemark.operators.spine import days_of_periods, entity_days
+from tidemark.plans import training
+from tidemark.sources.staging import work_dir
+from tidemark.sources.tables import FeatureTable, publish_bucketed
 
 from .base import Data, query
 
@@ -252,6 +257,18 @@ def j_asof_hot(d: Data) -> DataFrame:
     return _asof(d, Split(hot_rows=27, unit="day"))
 
 
+@query("j_asof_bucketed", _ASOF)
+def j_asof_bucketed(d: Data) -> DataFrame:
+    """The purchases are laid out by user once; the lookup reads them without moving them."""
+    purchases = d.events.where(F.col("event_type") == "purchase").select("user_id", "ts", "event_id", "value")
+    name = f"purchases_{uuid.uuid4().hex}"
+    laid = publish_bucketed(FeatureTable("purchases", purchases, ("user_id", "ts"), "ts"), name, f"{work_dir(d.spark)}/{name}", 16)
+    labels = d.cancel_labels.select("cancel_id", "cancel_user_id", "cancel_created_at")
+    renames = {"event_id": "purchase_id", "value": "purchase_value"}
+    lookup = training.Lookup(laid, "cancel_user_id", "cancel_created_at", tuple(renames), renames)
+    return training.build_training_set(labels, [lookup]).withColumn("purchase_id", F.col("purchase_id").cast("double"))
+
+
 @query(
     "j_asof_one_instant",
     """SELECT l.event_id, p.value AS last_spent FROM (

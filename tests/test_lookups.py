@@ -24,7 +24,7 @@ from tidemark.operators.running import (
 )
 from tidemark.plans import specs, training
 from tidemark.plans.jobs import attach_group_stats, attach_nested_stats
-from tidemark.sources.tables import FeatureTable, KeyViolation, publish, read_sql
+from tidemark.sources.tables import FeatureTable, KeyViolation, publish, publish_bucketed, read_sql
 
 START = dt.datetime(2024, 1, 1)
 
@@ -64,6 +64,48 @@ def test_one_shuffle_for_several_tables(spark):
     assert plan(found).count("Exchange hashpartitioning") == 1
 
 
+def test_bucketed_features_stay_where_they_lie(spark, tmp_path):
+    table, labels = once(log(spark, 12)).where("k is not null"), log(spark, 13)
+    laid = publish_bucketed(FeatureTable("f", table, ("k", "at"), "at"), "features_by_key", str(tmp_path / "f"), 8)
+    assert laid.buckets == 8
+    want = asof_join(labels, table, {"u": "k"}, "t", "at", {"v": "x"})
+    for split in (None, Split(20), Split(1)):
+        for strict in (False, True):
+            found = asof_join(labels, laid.df, {"u": "k"}, "t", "at", {"v": "x"}, split=split, strict=strict, buckets=8)
+            same(found, asof_join(labels, table, {"u": "k"}, "t", "at", {"v": "x"}, split=None, strict=strict))
+    # the labels are moved, and nothing else
+    text = plan(asof_join(labels, laid.df, {"u": "k"}, "t", "at", {"v": "x"}, split=None, buckets=8))
+    assert text.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in text and "Bucketed: true" in text
+    lookups = [training.Lookup(laid, "u", "t", ("v",), {"v": "x"}), training.Lookup(laid, "u", "t", ("n",))]
+    built = training.build_training_set(labels, lookups[:1])
+    same(built, want)
+    both = training.build_training_set(labels, lookups)
+    same(both, asof_join(want, table, {"u": "k"}, "t", "at", ["n"]))
+    assert asof_join(labels.limit(0), laid.df, {"u": "k"}, "t", "at", ["n"], buckets=8).isEmpty()
+
+
+def test_bucketed_by_two_keys_and_refusals(spark, tmp_path):
+    cells = log(spark, 14, users=(1, 2, 3)).groupBy(F.col("u").alias("k"), (F.col("id") % 3).alias("g"), F.col("t").alias("at")).agg(F.max("v").alias("v"))
+    table = FeatureTable("cells", cells, ("k", "g", "at"), "at")
+    laid = publish_bucketed(table, "cells_by_key", str(tmp_path / "c"), 5)
+    labels = log(spark, 15).withColumn("h", F.when(F.col("id") % 7 > 0, F.col("id") % 4))
+    on = {"u": "k", "h": "g"}
+    found = asof_join(labels, laid.df, on, "t", "at", {"v": "x"}, split=None, buckets=5)
+    assert plan(found).count("Exchange hashpartitioning") == 1
+    same(found, asof_join(labels, cells, on, "t", "at", {"v": "x"}, split=None))
+    with pytest.raises(FileExistsError):
+        publish_bucketed(table, "cells_by_key", str(tmp_path / "other"), 5)
+    with pytest.raises(FileExistsError):
+        publish_bucketed(table, "cells_again", str(tmp_path / "c"), 5)
+    with pytest.raises(KeyViolation):
+        publish_bucketed(FeatureTable("cells", cells.union(cells), ("k", "g", "at"), "at"), "cells_twice", str(tmp_path / "d"), 5)
+    assert not spark.catalog.tableExists("cells_twice")
+    with pytest.raises(ValueError):
+        publish_bucketed(table, "cells_none", str(tmp_path / "e"), 0)
+    with pytest.raises(ValueError):
+        publish_bucketed(FeatureTable("no_entity", cells, ("at",), "at"), "cells_time", str(tmp_path / "g"), 2)
+
+
 def test_shared_instants_are_looked_up_once(spark):
     labels = log(spark, 5, 200).withColumn("t", F.when(F.col("id") % 3 == 0, F.lit(START) + F.expr("interval 50 hours")).when(F.col("id") % 50 != 1, F.col("t")))
     table = once(log(spark, 6))

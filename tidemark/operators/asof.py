@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hot import SPLIT, Split, all_present
+from .hot import SPLIT, Split, all_present, any_missing
 from .running import run_last, running
 
 
@@ -42,6 +42,7 @@ def asof_join(
     left_rows: DataFrame | None = None,
     right_rows: DataFrame | None = None,
     right_ties: Sequence[str] = (),
+    buckets: int | None = None,
 ) -> DataFrame:
     """Attach to every left row the right row with equal key and the greatest time <= its own.
 
@@ -51,6 +52,10 @@ def asof_join(
     key and time are compared in the type of the right side. Of right rows with equal key and time
     the one greatest in ``right_ties`` counts; without ties they must be unique. Left rows without a key match nothing and are spread by time. ``left_rows`` and
     ``right_rows`` name cheaper tables with at least as many rows per key, to count hot keys in.
+
+    ``buckets`` says that ``right`` is a table bucketed into so many by its keys, in the order of ``on`` (see
+    ``publish_bucketed``): labels are then dealt to the same buckets, and the right side is read where it lies, without a
+    shuffle. Only rows of hot keys leave their bucket. Labels without a key don't take part; they are read once more and added.
     """
     pairs = key_pairs(on)
     right_keys = [r for _, r in pairs]
@@ -75,8 +80,10 @@ def asof_join(
         F.lit(-1 if strict else 1).alias("__side"),
         F.struct(*left.columns).alias("__label"),
     )
-    stacked = labels.unionByName(lookups, allowMissingColumns=True)
     left_keys = [l for l, _ in pairs]
+    if buckets is not None:
+        labels = labels.where(all_present(keys)).repartition(buckets, *keys)
+    stacked = labels.unionByName(lookups, allowMissingColumns=True)
 
     def keyed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
         return df.select(*[F.col(c).cast(types[k]).alias(k) for c, k in names.items()])
@@ -92,9 +99,14 @@ def asof_join(
             keyed(left if left_rows is None else left_rows, dict(zip(left_keys, keys))),
             keyed(right if right_rows is None else right_rows, dict(zip(right_keys, keys))),
         ],
-        spread_null_keys=True,
+        spread_null_keys=buckets is None,
     )
-    return carried.where(F.col("__side") != 0).select("__label.*", "__hit.*")
+    met = carried.where(F.col("__side") != 0).select("__label.*", "__hit.*")
+    if buckets is None:
+        return met
+    types = dict(met.dtypes)
+    nothing = [F.lit(None).cast(types[out]).alias(out) for out in renames.values()]
+    return met.unionByName(left.where(any_missing(left_keys)).select(*left.columns, *nothing))
 
 
 @dataclass(frozen=True)

@@ -62,7 +62,8 @@ def _check_binding(feature: Derived, columns: Sequence[str]) -> None:
 
 
 def _stacks(lookups: Sequence[Lookup]) -> list[list[Lookup]]:
-    """Neighbouring lookups by the same columns of the labels, in tables with a time key and keys of one type."""
+    """Neighbouring lookups by the same columns of the labels, in tables with a time key and keys of one type.
+    A bucketed table is looked up on its own, where it lies."""
 
     def kind(f: Lookup):
         types = dict(f.table.df.dtypes)
@@ -73,7 +74,8 @@ def _stacks(lookups: Sequence[Lookup]) -> list[list[Lookup]]:
     for f in lookups:
         timed = f.table.timestamp_key is not None and f.timestamp_lookup_key is not None
         last = stacks[-1][0] if stacks else None
-        if timed and last is not None and last.table.timestamp_key is not None and kind(last) == kind(f):
+        laid_out = f.table.buckets is not None or (last is not None and last.table.buckets is not None)
+        if timed and not laid_out and last is not None and last.table.timestamp_key is not None and kind(last) == kind(f):
             stacks[-1].append(f)
         else:
             stacks.append([f])
@@ -125,6 +127,7 @@ def build_training_set(
             split=split,
             right_rows=feature.table.rows,
             left_rows=left_rows,
+            buckets=feature.table.buckets,
         )
     for feature in [f for f in features if isinstance(f, Derived)]:
         _check_binding(feature, built.columns)

@@ -24,6 +24,7 @@ class FeatureTable:
     ``rows`` may name a cheaper table with the entity keys and at least as many rows per entity; hot
     keys are then counted there and the features are not computed for the count. ``observed`` is what
     ``publish`` saw while writing: rows, null_keys (rows with an incomplete key), first and last time.
+    ``buckets`` is set by ``publish_bucketed``: the files are dealt to so many by the entity keys.
     """
 
     name: str
@@ -33,6 +34,7 @@ class FeatureTable:
     description: str = ""
     rows: DataFrame | None = field(default=None, repr=False)
     observed: Mapping[str, object] | None = field(default=None, repr=False, compare=False)
+    buckets: int | None = None
 
     def __post_init__(self) -> None:
         columns = {c.lower() for c in self.df.columns}
@@ -175,6 +177,35 @@ def publish(
     )
 
 
+def publish_bucketed(table: FeatureTable, name: str, path: str, buckets: int) -> FeatureTable:
+    """Write a feature table for lookups: bucketed by its entity keys, sorted by key and time, under ``name`` in the catalog.
+
+    Lookups then leave it where it lies (``asof_join`` with ``buckets``). A table of that name or files at ``path`` are refused;
+    bad keys raise and leave no table. One task writes a bucket; a bucket that a hot key makes
+    big is cut among several by adaptive execution, each sorted on its own. Choose ``buckets`` so that one fits a task.
+    """
+    spark = table.df.sparkSession
+    if buckets < 1:
+        raise ValueError(f"{table.name}: buckets must be positive, not {buckets}")
+    if not table.entity_keys:
+        raise ValueError(f"{table.name}: no entity key to bucket by")
+    if spark.catalog.tableExists(name) or existing(spark, path) is not None:
+        raise FileExistsError(f"{table.name}: a table exists as {name} or at {path}")
+    place = _beside(path)
+    staged = stage(table.df, place)
+    try:
+        check_keys(staged, table.primary_keys, table.name)
+        keys = list(table.entity_keys)
+        order = keys + ([table.timestamp_key] if table.timestamp_key else [])
+        dealt = staged.hint("rebalance", buckets, *keys)
+        dealt.write.bucketBy(buckets, *keys).sortBy(*order).option("path", path).format("parquet").saveAsTable(name)
+    finally:
+        _drop(spark, place)
+    return FeatureTable(
+        table.name, spark.table(name).select(*table.df.columns), table.primary_keys, table.timestamp_key, table.description, buckets=buckets
+    )
+
+
 def upserted(current: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The table after a merge: updates replace rows of equal key, new keys are added."""
     kept = current.join(updates.select(*keys), list(keys), "left_anti")
