@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import shift_hours, start_slot
 from tidemark.operators.dedupe import most_frequent
 from tidemark.operators.history import change_points
-from tidemark.operators.radius import CROWD, near_places
 from tidemark.operators.vectors import vector_total
+from tidemark.operators.within import CROWD, sums_within
 from tidemark.plans.jobs import next_hour
 
 from .base import Data, job_of, query
@@ -52,32 +52,25 @@ _RADIUS_COUNTS = f"""WITH u AS (SELECT c_custkey, 25 + (c_custkey * 7919 % 2400)
 
 
 def _radius_counts(d: Data, crowd: int) -> DataFrame:
-    """Near places are met once and their users summed, so nothing is counted by several distincts."""
+    """Users are summed per site and the sites around a job counted at once, so nothing is counted by several distincts."""
     users = d.customer.select(
         F.col("c_nationkey").alias("nation"),
-        F.col("c_custkey").alias("user_id"),
         (25 + (F.col("c_custkey") * 7919 % 2400) / 100.0).alias("ulat"),
         (-120 + (F.col("c_custkey") * 104729 % 5000) / 100.0).alias("ulon"),
         (F.col("c_acctbal") > 0).cast("int").alias("good"),
     )
-    sites = users.groupBy("nation", "ulat", "ulon").agg(
-        F.min("user_id").alias("site"), F.count(F.lit(1)).alias("every"), F.sum("good").alias("good")
-    )
+    sites = users.groupBy("nation", "ulat", "ulon").agg(F.count(F.lit(1)).alias("all"), F.sum("good").alias("good"))
     jobs = d.supplier.select(
         F.col("s_suppkey").alias("job_id"),
         F.col("s_nationkey").alias("nation"),
         (25 + (F.col("s_suppkey") * 7919 % 2400) / 100.0).alias("jlat"),
         (-120 + (F.col("s_suppkey") * 104729 % 5000) / 100.0).alias("jlon"),
     )
-    places = near_places(jobs, sites, ("jlat", "jlon"), ("ulat", "ulon"), "site", _RADII, by=["nation"], crowd=crowd)
-    weights = places.members.join(sites, "site").groupBy("level", "place").agg(
-        F.sum("every").alias("every"), F.sum("good").alias("good")
-    )
-    counted = places.near.join(weights, ["level", "place"]).groupBy("job_id").agg(
-        *[F.sum(F.when(F.col("reach") <= r, F.col(c))).alias(f"{n}_{r}_mile")
-          for c, n in (("every", "all"), ("good", "good")) for r in _RADII]
+    counted = sums_within(
+        jobs, sites, "job_id", ("jlat", "jlon"), ("ulat", "ulon"), _RADII, ["all", "good"], by=["nation"], crowd=crowd
     )
-    return jobs.select("job_id").join(counted, "job_id", "left").fillna(0)
+    names = {f"{kind}_{r}": f"{kind}_{r}_mile" for kind in ("all", "good") for r in _RADII}
+    return jobs.select("job_id").join(counted.withColumnsRenamed(names), "job_id", "left").fillna(0)
 
 
 @query("a_radius_counts", _RADIUS_COUNTS)
@@ -87,7 +80,7 @@ def a_radius_counts(d: Data) -> DataFrame:
 
 @query("a_radius_counts_crowded", _RADIUS_COUNTS)
 def a_radius_counts_crowded(d: Data) -> DataFrame:
-    """Cubes with more than four sites are halved, at 60 customers a nation three times and more."""
+    """Points are halved until four are left, so most of the sites are added up for several points at once."""
     return _radius_counts(d, 4)
 
 
