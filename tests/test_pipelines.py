@@ -216,6 +216,23 @@ def test_market_against_pairing_with_hot_counties(spark, frame):
                 assert r[f"active_cms_{radius}_mile"] == len(active & near)
 
 
+def test_market_counts_form_no_rows_of_jobs_and_sites(spark, frame):
+    """A crowded town: jobs and users' changes meet as groups, and only sums leave them."""
+    users_df = spark.range(300).select(
+        F.col("id").alias("user_id"), F.lit("C").alias("county"),
+        (40 + F.col("id") / 30000).alias("user_address_latitude"), F.lit(-100.0).alias("user_address_longitude"),
+    )
+    changes = users_df.select("user_id", F.lit(ts("2024-01-05")).alias("at"), F.lit(1).alias("d_eligible"), F.lit(1).alias("d_active"))
+    jobs_df = spark.range(200).select(
+        F.col("id").alias("job_id"), F.lit("C").alias("county"), F.lit(ts("2024-01-09")).alias("job_created_at"),
+        (40 + F.col("id") / 30000).alias("job_address_latitude"), F.lit(-100.0).alias("job_address_longitude"),
+    )
+    supply = jobs.supply_counts(jobs_df, users_df, changes, (1, 5))
+    assert "CoGroup" in plan(supply)
+    counts = supply.agg(F.count("county"), F.min("eligible_cms_5_mile"), F.max("active_cms_5_mile"), F.max("eligible_users"))
+    assert rows(counts) == [(200, 300, 300, 300)]
+
+
 def jobs_module_users(spark, users, zips):
     df = spark.createDataFrame(users, "user_id int, user_zipcode string, user_address_latitude double, user_address_longitude double")
     return jobs.users_with_county(df, zips)

@@ -11,8 +11,8 @@ from ..functions import complete_units, percent_delta, ratio
 from ..operators.asof import asof_join
 from ..operators.history import change_log_to_history, change_points, in_force_counts
 from ..operators.hot import SPLIT, Split, if_hot
-from ..operators.radius import CROWD, near_places
 from ..operators.running import run_sum, running
+from ..operators.within import CROWD, sums_within
 from ..sources.staging import stage
 
 
@@ -364,6 +364,10 @@ JOB_AT = ("job_address_latitude", "job_address_longitude")
 USER_AT = ("user_address_latitude", "user_address_longitude")
 
 
+def micros(at: str) -> Column:
+    return F.unix_micros(F.col(at).cast("timestamp"))
+
+
 def count_names(radii: Sequence[float]) -> list[str]:
     near = [f"{kind}_cms_{r}_mile" for kind in ("eligible", "active") for r in radii]
     return ["eligible_users", "active_users_7_days", *near]
@@ -379,49 +383,31 @@ def supply_counts(
     user_id, county, user_address_latitude / _longitude. ``changes``: see ``presence_changes``.
     One row per county, job site and instant of creation.
 
-    Counts in force are running sums per county and per place, looked up as of the creation. A place
-    is a user site near the job or a whole cube of sites inside a circle (see ``near_places``).
+    Counts in force are sums of the changes up to the creation: per county as running sums that are looked up, within
+    the radii over the sites around a job, which form no rows with it (see ``sums_within``; ``crowd`` is its).
     """
-    located = located.select("job_id", "county", *JOB_AT, "job_created_at")
-    # sites are counted at every level of cubes and met by all jobs: grouped once
-    user_sites = stage(
-        users.where(F.col("county").isNotNull()).groupBy("county", *USER_AT).agg(F.min("user_id").alias("user_site"))
-    )
-    placed = users.join(user_sites, ["county", *USER_AT], "left")
     kind = dict(located.dtypes)["job_created_at"]
     deltas = (
-        changes.join(placed.select("user_id", "county", "user_site"), "user_id")
-        .groupBy("county", "user_site", F.col("at").cast(kind).alias("at"))
+        changes.join(users.where(F.col("county").isNotNull()).select("user_id", "county", *USER_AT), "user_id")
+        .groupBy("county", *USER_AT, F.col("at").cast(kind).alias("at"))
         .agg(F.sum("d_eligible").alias("d_eligible"), F.sum("d_active").alias("d_active"))
     )
-    deltas = stage(deltas)  # the base of two histories
+    deltas = stage(deltas)  # counted by county and by distance
     outputs = {"eligible": "d_eligible", "active": "d_active"}
     county_split = if_hot(split, [located, deltas], ["county"])
     by_county = in_force_counts(deltas, ["county"], "at", outputs, split=county_split)
-    spots = located.groupBy("county", *JOB_AT, "job_created_at").agg(F.min("job_id").alias("spot"))
+    spots = stage(
+        located.select("county", *JOB_AT, "job_created_at").distinct().withColumn("spot", F.monotonically_increasing_id())
+    )
     county_wide = asof_join(
         spots, by_county, "county", "job_created_at", "at",
         {"eligible": "eligible_users", "active": "active_users_7_days"},
         split=county_split, left_rows=located, right_rows=deltas,
     )
-    places = near_places(spots, user_sites, JOB_AT, USER_AT, "user_site", radii, by=["county"], crowd=crowd)
-    place = ["level", "place"]
-    # counted per place and then looked up: the pairs are formed once
-    met = stage(places.near.select("spot", "job_created_at", *place, "reach"))
-    at_places = deltas.join(places.members.withColumnRenamed("site", "user_site"), "user_site").select(
-        *place, "at", *outputs.values()
-    )
-    place_split = if_hot(split, [met, at_places], place)
-    by_place = in_force_counts(at_places, place, "at", outputs, split=place_split)
-    seen = asof_join(
-        met, by_place, place, "job_created_at", "at", ["eligible", "active"], split=place_split, right_rows=at_places
-    )
-    within = [
-        F.sum(F.when(F.col("reach") <= r, F.col(state))).alias(f"{state}_cms_{r}_mile")
-        for state in ("eligible", "active")
-        for r in radii
-    ]
-    nearby = seen.groupBy("spot").agg(*within)
+    nearby = sums_within(
+        spots.withColumn("__created", micros("job_created_at")), deltas.withColumn("__at", micros("at")), "spot", JOB_AT, USER_AT, radii,
+        list(outputs.values()), by=["county"], time=("__created", "__at"), crowd=crowd,
+    ).withColumnsRenamed({f"{d}_{r}": f"{state}_cms_{r}_mile" for state, d in outputs.items() for r in radii})
     return county_wide.join(nearby, "spot", "left").fillna(0, count_names(radii)).drop("spot")
 
 
