@@ -174,3 +174,27 @@ def test_sieve_keeps_all_that_is_wanted(spark, monkeypatch, most):
     assert left.filter("h % 50 in (0, 7)").count() == wanted.count() == 800
     assert left.count() < 4000 or most == 50
     assert jaccard.sieve(rows, wanted.limit(0), {"a": "i", "h": "g"}).count() == 0
+
+
+def test_marks_are_a_quarter_of_a_sketch_and_tell_what_is_alike():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    loose = 2 * jaccard.THRESHOLD - 1 - 0.05
+    for size in (1, 9, 90, 900):
+        sets = [rng.integers(0, 2**64, size, np.uint64) for _ in range(60)]
+        # a ninth of the shingles exchanged: 8 of 10 are shared
+        near = [np.r_[s[: size - size // 9], rng.integers(0, 2**64, size // 9, np.uint64)] for s in sets]
+        marks = jaccard._marks(np.stack([jaccard.signature(s) for s in sets + near]))
+        assert marks.dtype == np.uint8 and marks.shape == (120, jaccard.HASHES // 4)
+        alike = jaccard._marks_alike(marks)
+        assert (alike[np.arange(60), np.arange(60, 120)] >= loose).all()
+        assert (alike[:60, :60][~np.eye(60, dtype=bool)] < loose).all()
+
+
+def test_no_sketch_travels_beside_the_signature(spark):
+    df = spark.createDataFrame([(1, "a b c d e f"), (2, None)], "doc_id long, text string")
+    sets = jaccard.sets_of(df, "doc_id", "text")
+    assert sets.columns == ["id", "hash", "class", "n", "signature"]
+    classes = sets.withColumnRenamed("id", "rep")
+    assert {len(r.marks) for r in jaccard.shortened(classes, "marks", jaccard._marks).collect()} == {jaccard.HASHES // 4}

@@ -15,7 +15,7 @@ of links of each class and a spanning forest, never the pairs themselves.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -94,23 +94,22 @@ def class_of(values: np.ndarray) -> bytes:
 
 
 def sets_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, hash (of the text), class, n (shingles), signature and its sketch (empty sets have them too)."""
+    """id, hash (of the text), class, n (shingles) and signature (empty sets have one too)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for text in text_bytes(batch.column(2)):
                 values = shingles(text)
-                own = signature(values)
-                found.append((class_of(values), len(values), own.tobytes(), _sketch(own).tobytes()))
-            kinds = (pa.binary(), pa.int64(), pa.binary(), pa.binary())
+                found.append((class_of(values), len(values), signature(values).tobytes()))
+            kinds = (pa.binary(), pa.int64(), pa.binary())
             columns = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
-            yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=["id", "hash", "class", "n", "signature", "sketch"])
+            yield pa.record_batch([batch.column(0), batch.column(1), *columns], names=["id", "hash", "class", "n", "signature"])
 
     text = F.col(f"`{text_col}`")
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     kind = df.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(describe, f"id {kind}, hash long, class binary, n long, signature binary, sketch binary")
+    return rows.mapInArrow(describe, f"id {kind}, hash long, class binary, n long, signature binary")
 
 
 def survival(depth: int) -> float:
@@ -174,6 +173,30 @@ def _sketch(signatures: np.ndarray) -> np.ndarray:
     return signatures.astype(np.uint8)
 
 
+def _marks(signatures: np.ndarray) -> np.ndarray:
+    """Two bits of each min-hash, four to a byte. They hang on all bits of the value, so that sets of few shingles differ."""
+    two = ((signatures * np.uint32(0x9E3779B1)) >> np.uint32(30)).astype(np.uint8).reshape(len(signatures), -1, 4)
+    return two[:, :, 0] | two[:, :, 1] << 2 | two[:, :, 2] << 4 | two[:, :, 3] << 6
+
+
+def _marks_alike(marks: np.ndarray) -> np.ndarray:
+    """Estimated similarity of all rows with all; a quarter of the marks of different min-hashes are equal."""
+    two = np.stack([marks >> k & 3 for k in (0, 2, 4, 6)], axis=2).reshape(len(marks), -1)
+    return (_alike(two, two) - 0.25) / 0.75
+
+
+def shortened(classes: DataFrame, name: str, short: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """rep and ``short`` of its signature as ``name``."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                rows = short(_signatures(batch.column(1).to_pylist()))
+                yield pa.record_batch([batch.column(0), pa.array([row.tobytes() for row in rows], pa.binary())], names=["rep", name])
+
+    return classes.select("rep", "signature").mapInArrow(emit, f"rep long, {name} binary")
+
+
 def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated similarity of all rows of a with all of b."""
     return np.stack([(row[None, :] == b).mean(axis=1) for row in a]) if len(a) and len(b) else np.zeros((len(a), len(b)))
@@ -221,7 +244,7 @@ def in_tiles(rows: DataFrame, group: str, size: Column) -> DataFrame:
 
 def compare(rows: DataFrame, loose: float) -> DataFrame:
     """Spanning forests (a, b) of what is alike in each tile and not known to belong together; rows are
-    in_tiles with rep, label and sketch."""
+    in_tiles with rep, label and marks."""
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -229,8 +252,8 @@ def compare(rows: DataFrame, loose: float) -> DataFrame:
             rep, label = tile.column("rep").to_numpy(), tile.column("label").to_numpy()
             if len(rep) < 2 or (label == label[0]).all():
                 continue
-            sketches = np.frombuffer(b"".join(tile.column("sketch").to_pylist()), np.uint8).reshape(len(rep), HASHES)
-            tied = (_alike(sketches, sketches) >= loose) & (label[:, None] != label[None, :])
+            marks = np.frombuffer(b"".join(tile.column("marks").to_pylist()), np.uint8).reshape(len(rep), HASHES // 4)
+            tied = (_marks_alike(marks) >= loose) & (label[:, None] != label[None, :])
             if tile.column("low")[0] != tile.column("high")[0]:
                 side = tile.column("side").to_numpy()
                 tied &= side[:, None] != side[None, :]
@@ -245,7 +268,7 @@ def compare(rows: DataFrame, loose: float) -> DataFrame:
         yield _edges(a, b)
 
     keys = ["group", "low", "high"]
-    placed = rows.select(*keys, "side", "rep", "label", "sketch").repartition(*keys).sortWithinPartitions(*keys)
+    placed = rows.select(*keys, "side", "rep", "label", "marks").repartition(*keys).sortWithinPartitions(*keys)
     return placed.mapInArrow(tiles, "a long, b long")
 
 
@@ -317,7 +340,9 @@ def sized(nodes: DataFrame) -> DataFrame:
 def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
     """Edges (a, b) between classes that may belong together, from as many runs as the recall needs."""
     loose = 2 * threshold - 1 - 0.05
-    sketches, signatures = classes.select("rep", "sketch"), classes.select("rep", "signature")
+    signatures = classes.select("rep", "signature")
+    # most rows of nodes are only compared: they travel with marks, a quarter of a sketch
+    marks, sketches = stage_lean(shortened(classes, "marks", _marks)), shortened(classes, "sketch", _sketch)
     found: list[DataFrame] = []
     done, depth = 0, 2
     while (needed := runs_needed(recall, depth)) > done:
@@ -325,7 +350,7 @@ def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFram
         done, level = needed, 1
         while True:
             live = stage_lean(sized(stage_lean(nodes)))
-            small = live.filter(F.col("n_node") <= SMALL).join(sketches, "rep")
+            small = live.filter(F.col("n_node") <= SMALL).join(marks, "rep")
             found.append(stage_lean(compare(in_tiles(small, "node", F.col("n_node")), loose)))
             large = live.filter(F.col("n_node") > SMALL)
             if large.isEmpty():
@@ -334,7 +359,7 @@ def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFram
             found.append(met.filter("rep is not null").select(F.col("rep").alias("a"), F.col("label").alias("b")))
             found.append(met.select(F.col("label").alias("a"), F.col("other").alias("b")))
             left = stage_lean(sized(met.filter("node is not null").select("rep", "label", "node")))
-            rest = left.filter(F.col("n_node") <= LEFT).join(sketches, "rep")
+            rest = left.filter(F.col("n_node") <= LEFT).join(marks, "rep")
             found.append(stage_lean(compare(in_tiles(rest, "node", F.col("n_node")), loose)))
             more = left.filter(F.col("n_node") > LEFT)
             if more.isEmpty():
@@ -456,7 +481,7 @@ def jaccard_groups(
     members = stage_lean(sets_of(df, id_col, text_col))
     first = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
     classes = members.groupBy("class").agg(
-        F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("signature").alias("signature"), F.max("sketch").alias("sketch")
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("copies"), F.max("n").alias("n"), F.max("signature").alias("signature")
     )
     classes = stage_lean(classes.withColumn("rep", F.monotonically_increasing_id()))
     joined = classes.filter("n > 0")
