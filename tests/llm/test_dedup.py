@@ -176,6 +176,39 @@ def test_sieve_keeps_all_that_is_wanted(spark, monkeypatch, most):
     assert jaccard.sieve(rows, wanted.limit(0), {"a": "i", "h": "g"}).count() == 0
 
 
+def test_sieve_lets_few_others_through(spark):
+    rows = spark.range(40_000).selectExpr("id AS a", "xxhash64(id) AS h")
+    left = jaccard.sieve(rows, rows.filter("a % 20 = 0"), {"a": "a", "h": "h"})
+    assert left.filter("a % 20 = 0").count() == 2_000
+    assert left.count() - 2_000 <= 38_000 / 100
+
+
+def test_rows_of_classes_outside_large_nodes_are_not_joined_with_them(spark, monkeypatch):
+    """Signatures, sketches and marks of all classes would be shuffled anew for every level, to meet a few."""
+    for name, value in (("SMALL", 8), ("LEFT", 20), ("CHUNK", 16), ("PIVOTS", 4), ("TILE", 10)):
+        monkeypatch.setattr(jaccard, name, value)
+    met = Counter()
+    sieve = jaccard.sieve
+
+    def seen(rows, wanted, keys):
+        left = sieve(rows, wanted, keys)
+        if keys == {"rep": "rep"}:
+            ours = wanted.select("rep").distinct()
+            assert left.join(ours, "rep").count() == ours.count()
+            assert left.count() <= ours.count() + 20
+            met[rows.columns[-1]] += left.count() < rows.count() / 2
+        return left
+
+    monkeypatch.setattr(jaccard, "sieve", seen)
+    rng = random.Random(7)
+    shared = words(rng, 40)
+    rows = [(k, words(rng, 50) + " " + shared + " " + words(rng, 60), None) for k in range(60)]
+    rows += [(100 + k, words(rng, 60), None) for k in range(400)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    check_groups(rows, jaccard.jaccard_groups(df).collect())
+    assert met["signature"] and met["marks"]
+
+
 def test_marks_are_a_quarter_of_a_sketch_and_tell_what_is_alike():
     import numpy as np
 

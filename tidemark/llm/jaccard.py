@@ -15,7 +15,7 @@ of links of each class and a spanning forest, never the pairs themselves.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -39,8 +39,8 @@ SMALL = 256
 CHUNK, PIVOTS, LEFT = 1024, 16, 2048
 # classes of a node or group are compared in tiles of about twice so many
 TILE = 256
-# bits of the filter in front of the exact step: for each row wanted, and in all (16 MB)
-ROW_BITS, FILTER_BITS = 16, 2**27
+# bits of a filter in front of a join: for each row wanted, and in all (16 MB); bits a row has
+ROW_BITS, FILTER_BITS, PROBES = 16, 2**27, 3
 
 _WORD_HASHES = WordHashes()
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -342,7 +342,12 @@ def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFram
     loose = 2 * threshold - 1 - 0.05
     signatures = classes.select("rep", "signature")
     # most rows of nodes are only compared: they travel with marks, a quarter of a sketch
-    marks, sketches = stage_lean(shortened(classes, "marks", _marks)), shortened(classes, "sketch", _sketch)
+    marks = stage_lean(shortened(classes, "marks", _marks))
+
+    def its_own(table: DataFrame, rows: DataFrame) -> DataFrame:
+        """Few classes are in large nodes and below them: the others' rows of ``table`` need not be shuffled to be joined."""
+        return sieve(table, rows, {"rep": "rep"})
+
     found: list[DataFrame] = []
     done, depth = 0, 2
     while (needed := runs_needed(recall, depth)) > done:
@@ -350,21 +355,24 @@ def loose_edges(classes: DataFrame, threshold: float, recall: float) -> DataFram
         done, level = needed, 1
         while True:
             live = stage_lean(sized(stage_lean(nodes)))
-            small = live.filter(F.col("n_node") <= SMALL).join(marks, "rep")
+            small = live.filter(F.col("n_node") <= SMALL)
+            small = small.join(marks if level == 1 else its_own(marks, small), "rep")
             found.append(stage_lean(compare(in_tiles(small, "node", F.col("n_node")), loose)))
             large = live.filter(F.col("n_node") > SMALL)
             if large.isEmpty():
                 break
+            sketches = shortened(its_own(signatures, large), "sketch", _sketch)
             met = stage_lean(settle(large.join(sketches, "rep"), threshold, loose))
             found.append(met.filter("rep is not null").select(F.col("rep").alias("a"), F.col("label").alias("b")))
             found.append(met.select(F.col("label").alias("a"), F.col("other").alias("b")))
             left = stage_lean(sized(met.filter("node is not null").select("rep", "label", "node")))
-            rest = left.filter(F.col("n_node") <= LEFT).join(marks, "rep")
+            rest = left.filter(F.col("n_node") <= LEFT)
+            rest = rest.join(its_own(marks, rest), "rep")
             found.append(stage_lean(compare(in_tiles(rest, "node", F.col("n_node")), loose)))
             more = left.filter(F.col("n_node") > LEFT)
             if more.isEmpty():
                 break
-            nodes, level = split(more.join(signatures, "rep"), threshold), level + 1
+            nodes, level = split(more.join(its_own(signatures, more), "rep"), threshold), level + 1
         depth = max(depth, level)
     edges = found[0]
     for more in found[1:]:
@@ -450,18 +458,27 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
 def sieve(rows: DataFrame, wanted: DataFrame, keys: dict[str, str]) -> DataFrame:
     """``rows`` less most of those whose keys no row of ``wanted`` has; rows that have them all stay.
 
-    ``keys`` maps columns of ``rows`` to those of ``wanted``. One bit per key, set for the wanted ones, in maps of 4 KB of
-    which at most 4096 are broadcast. Of other rows one in ``ROW_BITS`` stays, more only where ``wanted`` has over
+    ``keys`` maps columns of ``rows`` to those of ``wanted``. A key sets one bit in each of ``PROBES`` maps of 4 KB, of which
+    at most 4096 are broadcast. Of other rows one in two hundred stays, more only where ``wanted`` has over
     ``FILTER_BITS / ROW_BITS`` rows; a join settles these.
     """
-    bits = min(FILTER_BITS, max(1, wanted.count() * ROW_BITS))
-    bit = lambda names: F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
-    marks = wanted.select(bit(keys.values()).alias("bit"))
-    maps = marks.groupBy(F.bitmap_bucket_number("bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_map"))
-    place = F.bitmap_bit_position(bit(keys))
-    byte = F.conv(F.hex(F.substring("_map", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(bit(keys)) == F.col("_bucket"))
-    return met.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(*rows.columns)
+    bits = max(1, min(FILTER_BITS, wanted.count() * ROW_BITS) // PROBES)
+
+    def places(names: Iterable[str]) -> tuple[Column, list[Column]]:
+        """Number of the key's maps, and its bit in each."""
+        within = F.lit(min(bits, 2**15))
+        bucket = F.bitmap_bucket_number(F.pmod(F.xxhash64(*names), F.lit(bits)) + 1)
+        return bucket, [F.pmod(F.xxhash64(*names, F.lit(k)), within) for k in range(PROBES)]
+
+    bucket, at = places(keys.values())
+    found = wanted.select(bucket.alias("_bucket"), *[bit.alias(f"_bit{k}") for k, bit in enumerate(at)])
+    maps = found.groupBy("_bucket").agg(*[F.bitmap_construct_agg(f"_bit{k}").alias(f"_map{k}") for k in range(PROBES)])
+    bucket, at = places(keys)
+    met = rows.join(F.broadcast(maps), bucket == F.col("_bucket"))
+    for k, bit in enumerate(at):
+        byte = F.conv(F.hex(F.substring(f"_map{k}", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        met = met.filter(F.getbit(byte, (bit % 8).cast("int")) == 1)
+    return met.select(*rows.columns)
 
 
 @shipped
@@ -489,7 +506,7 @@ def jaccard_groups(
 
     # exact comparison: shingles of the classes in groups, from the text of each one's first document
     sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    wanted = groups.join(sizes, "component").join(joined, "rep")
+    wanted = groups.join(sizes, "component").join(sieve(joined.select("rep", "copies", "class", "first"), groups, {"rep": "rep"}), "rep")
     wanted = stage_lean(wanted.select("rep", "component", "members", "copies", "class", F.col("first.id").alias("id"), F.col("first.hash").alias("hash")))
     text = F.col(f"`{text_col}`")
     texts = df.select(F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(text).alias("own_hash"), text.alias("text"))
