@@ -100,6 +100,48 @@ def test_slices_are_bounded_by_bytes(spark, monkeypatch):
     assert len(slices) == 2 and found.count() == len(rows)
 
 
+def test_texts_are_scanned_once(spark, monkeypatch):
+    """Only the first step scans whole texts; the later ones read what lies around marked positions."""
+    rng = random.Random(6)
+    passage = words(rng, 60)
+    rows = [(k, words(rng, 60) + passage[rng.randrange(90) : rng.randrange(200, 300)] + words(rng, 60)) for k in range(40)]
+    monkeypatch.setattr(repeats, "HOT", 20)
+    steps = []
+    by_slice = repeats._by_slice
+    monkeypatch.setattr(repeats, "_by_slice", lambda docs, marks, f, schema: steps.append((docs, marks, f)) or by_slice(docs, marks, f, schema))
+    repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    scanned = []
+    scan = repeats.Scan.__init__
+    monkeypatch.setattr(repeats.Scan, "__init__", lambda self, texts, *rest: scanned.append(sum(map(len, texts))) or scan(self, texts, *rest))
+    for docs, marks, f in steps:
+        f(None, docs.toArrow(), marks.toArrow())
+    assert len(steps) == 2 and sum(scanned) < sum(len(text) for _, text in rows) / 2
+
+
+def test_contexts_give_one_span(spark):
+    """However many rows of a core agree with a row, what they cover together is one span of it."""
+    rng = random.Random(7)
+    passage = words(rng, 60)[:168].encode()
+    rows = [(1, 68, k, 68, bytes([k]) * k + passage[k : 168 - k] + bytes([k]) * k) for k in range(30)]
+    open_ = spark.createDataFrame(rows, "core long, left long, place long, off long, context binary")
+    found = {r["place"]: (r["low"], r["high"]) for r in repeats.compared(open_).collect()}
+    assert repeats.compared(open_).count() == 29 and found == {k: (k, 168 - k) for k in range(1, 30)}
+
+
+@pytest.mark.parametrize("bits, hot, pairs", [(8, 256, 7), (2, 256, 2**15), (8, 3, 50), (2, 3, 50), (4, 1, 1)])
+def test_passages_in_any_order(spark, bits, hot, pairs, monkeypatch):
+    """Strings across the seam of two repeated passages occur for the first time late, in bytes that are covered."""
+    monkeypatch.setattr(repeats, "SLICE_BITS", bits)
+    monkeypatch.setattr(repeats, "HOT_IN_SLICE", hot)
+    monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "PAIRS", pairs, raising=False)
+    rng = random.Random(8)
+    passages = [words(rng, rng.randrange(18, 60)) for _ in range(6)] + ["ab" * 90, "é" * 70, "x" * 130]
+    cut = lambda p: p[rng.randrange(len(p) // 2) :] if rng.random() < 0.5 else p
+    rows = [(k, "".join(cut(rng.choice(passages)) for _ in range(rng.randrange(6)))) for k in range(70)]
+    check(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows)
+
+
 @pytest.mark.parametrize("most", [0, 700])
 def test_small_slices(spark, most, monkeypatch):
     monkeypatch.setattr(repeats, "SLICE_BYTES", most)
