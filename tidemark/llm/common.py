@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,16 +23,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# bytes of an Arrow batch; by default there are 10,000 rows in one, whatever their size
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 2**22
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """Actions in here hand texts to Python in batches of about ``BATCH_BYTES``, a longer text alone; a limit the session sets stays.
+    Executors and workers hold several copies of a batch and keep that memory for the next."""
+    if spark.conf.get(BATCH, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH)
 
 
 def stage_lean(df: DataFrame) -> DataFrame:
     """``stage``, after which the shuffle files of the job are removed: what is written is all that is
-    read again. Keeps the disk of a long chain of shuffles at that of its largest step."""
+    read again. Keeps the disk of a long chain of shuffles at that of its largest step. Arrow batches are small."""
     spark = df.sparkSession
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        return stage(df)
+        with small_batches(spark):
+            return stage(df)
     finally:
         spark.conf.set(CLEANUP, before)
 
@@ -46,6 +65,30 @@ def shipped(operator):
     return run
 
 
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """An Arrow function that gives back what Arrow's pool keeps, once its task is over. Workers serve task after task of
+    any step, and each would stay as large as its largest batches made it."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from task(batches)
+        pa.default_memory_pool().release_unused()
+
+    return run
+
+
+_held: dict = {}
+
+
+def hold(words: dict) -> dict:
+    """``words``, which this worker remembers from now on. Those of another operator are dropped, so that a worker holds one's at a time."""
+    global _held
+    if words is not _held:
+        _held.clear()
+        _held = words
+    return words
+
+
 def packed(df: DataFrame) -> Column:
     """All columns as one struct, so that working columns clash with none of them."""
     return F.struct(*(F.col(f"`{name}`") for name in df.columns))
@@ -71,8 +114,6 @@ class WordHashes(dict):
 
 def text_bytes(column) -> list[bytes]:
     """The texts of an Arrow string column as UTF-8; null is the empty text."""
-    import pyarrow as pa
-
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 

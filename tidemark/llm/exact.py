@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import packed, shipped, unpack
+from tidemark.llm.common import packed, shipped, tidy, unpack
 from tidemark.sources.staging import stage
 
 # a digest on more than one in HEAVY_SHARE rows is heavy
@@ -50,6 +50,7 @@ def heavy_candidates(digests: DataFrame, share: int = HEAVY_SHARE) -> DataFrame:
     """
     size = 4 * share
 
+    @tidy
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary, n = MisraGries(size), 0
         for batch in batches:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, packed, shipped, stage_lean, text_bytes, unpack
+from tidemark.llm.common import WordHashes, hold, packed, shipped, stage_lean, text_bytes, tidy, unpack
 from tidemark.llm.components import components
 
 WORDS = 5
@@ -59,7 +59,7 @@ def shingles(text: bytes) -> np.ndarray:
     words = text.split()
     if not words:
         return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(hold(_WORD_HASHES).__getitem__, words), np.uint64, len(words))
     n = max(1, len(words) - WORDS + 1)
     with np.errstate(over="ignore"):
         rolled = np.full(n, len(words) if len(words) < WORDS else WORDS, np.uint64)
@@ -96,6 +96,7 @@ def class_of(values: np.ndarray) -> bytes:
 def sets_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, hash (of the text), class, n (shingles) and signature (empty sets have one too)."""
 
+    @tidy
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
@@ -143,6 +144,7 @@ def first_nodes(classes: DataFrame, runs: range, threshold: float) -> DataFrame:
     """rep, node: the children of every run's root."""
     roots = mix(np.arange(runs.start + 1, runs.stop + 1, dtype=np.uint64))
 
+    @tidy
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             signatures, rep = _signatures(batch.column(1).to_pylist()), batch.column(0).to_numpy()
@@ -188,6 +190,7 @@ def _marks_alike(marks: np.ndarray) -> np.ndarray:
 def shortened(classes: DataFrame, name: str, short: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """rep and ``short`` of its signature as ``name``."""
 
+    @tidy
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
@@ -246,6 +249,7 @@ def compare(rows: DataFrame, loose: float) -> DataFrame:
     """Spanning forests (a, b) of what is alike in each tile and not known to belong together; rows are
     in_tiles with rep, label and marks."""
 
+    @tidy
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for tile in groups_of(batches, 3):
@@ -322,6 +326,7 @@ def settle(rows: DataFrame, threshold: float, loose: float) -> DataFrame:
 def split(rows: DataFrame, threshold: float) -> DataFrame:
     """rep, label, node: the children of each class's node; rows are node, rep, label, signature."""
 
+    @tidy
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rep, label, node = (batch.column(k).to_numpy() for k in range(3))
@@ -406,6 +411,7 @@ def verify(rows: DataFrame, threshold: float) -> DataFrame:
     taken within a tile if low = high, else between its sides, so every pair of a group is met once.
     """
 
+    @tidy
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[np.ndarray] = []
 
@@ -511,6 +517,7 @@ def jaccard_groups(
     text = F.col(f"`{text_col}`")
     texts = df.select(F.col(f"`{id_col}`").alias("own_id"), F.xxhash64(text).alias("own_hash"), text.alias("text"))
 
+    @tidy
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [(k, values.tobytes()) for k, text in enumerate(text_bytes(batch.column(5))) if class_of(values := shingles(text)) == batch.column(4)[k].as_py()]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import in_slices, shipped, text_bytes
+from tidemark.llm.common import hold, in_slices, shipped, small_batches, text_bytes, tidy
 from tidemark.sources.staging import stage
 
 CAPACITY = 2048
@@ -117,7 +117,7 @@ class Encoder:
         """The ids of each text as little-endian 32-bit words."""
         # control strings, which begin with <|, are matched as they are written
         split = [(text if b"<|" in text else self.SIGN.sub(rb" \g<0>", text.lower())).split() for text in texts]
-        if len(self.words) > self.most:
+        if len(hold(self.words)) > self.most:
             self.words.clear()
         self._learn(set(filterfalse(self.words.__contains__, chain.from_iterable(split))))
         known = self.words.__getitem__
@@ -179,6 +179,7 @@ def pieces(df: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity:
     """Pieces of all documents: id, place (of the document), start, length, ids_crc32, doc_tokens[, ids]."""
     fields = ["id", "place", "start", "length", "ids_crc32", "doc_tokens"]
 
+    @tidy
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer).encode
         end = np.array([END_ID], "<u4").tobytes()
@@ -222,7 +223,8 @@ def pack(
     is encoded in one task, at about thirty bytes of memory per byte (27 measured on 16 MB), and cut into as many pieces as it needs.
     Other columns don't matter, whatever their names. An empty table gives an empty result.
     """
-    cut = stage(pieces(df, tokenizer, id_col, text_col, capacity, with_ids))
+    with small_batches(df.sparkSession):
+        cut = stage(pieces(df, tokenizer, id_col, text_col, capacity, with_ids))
     # blocks of whole windows and blocks of items to be packed, both of bounded size on average
     blocks = max(1, cut.count() // BLOCK)
     dealt = cut.withColumn("block", F.pmod(F.xxhash64("place", "start"), F.lit(blocks)))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import shipped, text_bytes
+from tidemark.llm.common import shipped, small_batches, text_bytes, tidy
 from tidemark.sources.staging import stage
 
 # labelled documents the ranking is fitted on, at most; all if there are fewer
@@ -125,6 +125,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     thinned = judged.filter(F.pmod(by_hash, F.lit(2**31)) < int(min(1.0, share) * 2**31))
     chosen = F.broadcast(stage(thinned.orderBy(by_hash, "id").limit(most)))
 
+    @tidy
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [describe(text).tolist() for text in text_bytes(batch.column(2))]
@@ -136,7 +137,8 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     kind = df.schema[id_col].dataType.simpleString()
     described = rows.select("id", "label", "text").mapInArrow(features, f"id {kind}, label int, x array<double>")
     # ids may repeat, so the limit holds for the rows too
-    sample = described.orderBy(by_hash, "id", "x").limit(most).select("label", "x").toPandas()
+    with small_batches(df.sparkSession):
+        sample = described.orderBy(by_hash, "id", "x").limit(most).select("label", "x").toPandas()
     x = np.array(sample["x"].tolist(), float).reshape(len(sample), N_FEATURES)
     return fit(x, sample["label"].to_numpy())
 
